@@ -502,7 +502,7 @@ def argmax_row(spark, sf):
     "oot", f"SELECT {re('a', 4)} AS champion_ks, {re('b', 4)} AS challenger_ks, {re('(b - a)', 4)} AS ks_diff, b > a AS challenger_wins "
     "FROM (SELECT (SELECT max(tpr - fpr) FROM champ) AS a, (SELECT max(tpr - fpr) FROM chall) AS b)", _CHAMP, _CHALL))
 def compare_ks(spark, sf):
-    return ranking.compare_ks(R.oot(spark, sf))
+    return ranking.compare_ks(R.stored_oot(spark, sf))
 
 
 _RANKED = ("ranked AS (SELECT is_bad, row_number() OVER (ORDER BY chall_pd DESC, md5(CAST(id AS VARCHAR)), id) AS place FROM oot)")
@@ -515,14 +515,14 @@ _TOP = ("tops AS (SELECT place, sum(is_bad) OVER (ORDER BY place) AS bads, sum(i
     f"{re('(bads * 100e0 / all_bads)', 6)} AS gains, {re('((bads * 100e0 / all_bads) / (place * 100e0 / n))', 6)} AS lift "
     "FROM tops, (SELECT unnest(range(1, 101)) AS k) WHERE place = CAST(ceil(n * k / 100e0) AS BIGINT)", _RANKED, _TOP))
 def gains_lift(spark, sf):
-    return R.rounded(ranking.gains_lift(R.challenger_oot(spark, sf)), 6, "pct_pop", "gains", "lift")
+    return R.rounded(ranking.gains_lift(materialize(R.challenger_oot(spark, sf))), 6, "pct_pop", "gains", "lift")
 
 
 @query("capture_at", S.sql(
     "oot", f"SELECT share, place AS n_top, {re('(bads * 100e0 / all_bads)', 6)} AS captured_pct "
     "FROM tops, (SELECT unnest([0.1e0, 0.3e0]) AS share) WHERE place = CAST(floor(n * share) AS BIGINT) + 1", _RANKED, _TOP))
 def capture_at(spark, sf):
-    return R.rounded(ranking.capture_at(R.challenger_oot(spark, sf)), 6, "captured_pct")
+    return R.rounded(ranking.capture_at(materialize(R.challenger_oot(spark, sf))), 6, "captured_pct")
 
 
 def _measured() -> str:
@@ -596,8 +596,12 @@ _SUMMARY = ("summary AS (SELECT model, count(*) AS n_replicates, avg(auc) AS mea
 _BOOT = (_DRAWN, _WEIGHTED, _REPLICATES, _SUMMARY)
 
 
+def _replicates(loans):
+    return materialize(bootstrap.hashed_replicates(loans, evaluation.MODELS, REPLICATES))
+
+
 def _hashed(spark, sf):
-    return materialize(bootstrap.hashed_replicates(R.oot(spark, sf), evaluation.MODELS, REPLICATES))
+    return _replicates(R.stored_oot(spark, sf))
 
 
 @query("bootstrap_auc", S.sql("oot", "SELECT model, n_replicates, " + ", ".join(
@@ -665,9 +669,10 @@ _EVERYTHING = (*_BOOT, _SIDES, _TESTED, *_POSTERIOR, _CHAMP, _CHALL, _KS_BOTH)
 @query("decide", S.sql("oot", f"SELECT significant, prob_challenger_wins, challenger_wins, {_VERDICT} FROM "
                        f"(SELECT {_TEST_OUT} FROM tested), posterior, ks_both", *_EVERYTHING))
 def decide(spark, sf):
-    replicates = _hashed(spark, sf)
+    loans = R.stored_oot(spark, sf)
+    replicates = _replicates(loans)
     return champion.decide(champion.ztest_auc(bootstrap.summarize_replicates(replicates)),
-                           champion.bayesian_ab(replicates, DRAWS), ranking.compare_ks(R.oot(spark, sf)))
+                           champion.bayesian_ab(replicates, DRAWS), ranking.compare_ks(loans))
 
 
 _AUC_OUT = ", ".join(f"{re(f'{m}.{v}', 6)} AS {m}_auc_{v}" for m in evaluation.MODELS for v in ("mean", "std", "lower", "upper"))
@@ -685,7 +690,7 @@ _RECORD = (f"SELECT *, {re('(chall_approval_rate - champ_approval_rate)', 4)} AS
 
 @query("decision_record", S.sql("oot", _RECORD, *_EVERYTHING, _IMPACT))
 def decision_record(spark, sf):
-    record = evaluation.compare_models(R.oot(spark, sf), REPLICATES, DRAWS, hashed=True)
+    record = evaluation.compare_models(R.stored_oot(spark, sf), REPLICATES, DRAWS, hashed=True)
     names = [n for n in record.columns if "_auc_" in n or n.endswith("_gini")]
     return R.rounded(R.rounded(record, 6, *names), 4, "approval_rate_diff")
 

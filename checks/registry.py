@@ -10,6 +10,7 @@ from checks import loan_view as L
 from riskloom.functions.numeric import half_even
 from riskloom.functions.scoring import odds_scale
 from riskloom.operators import cleaning, features, models, staging, woe as woe_ops
+from riskloom.session import configure
 from riskloom.sources.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +22,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query named twice: {name}")
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, sf_dir: function(configure(spark), sf_dir)
         if oracle is not None:
             ORACLES[name] = oracle
         return function
@@ -65,6 +66,11 @@ def oot(spark: SparkSession, sf: str) -> DataFrame:
     return scored(spark, sf).where(F.col("split") == "oot")
 
 
+def stored_oot(spark: SparkSession, sf: str) -> DataFrame:
+    """For measures that pass over the scored loans several times."""
+    return materialize(oot(spark, sf))
+
+
 def challenger_oot(spark: SparkSession, sf: str) -> DataFrame:
     """The challenger's PDs need no WoE, so nothing is fitted."""
     part = derived(spark, sf).where(F.col("split") == "oot")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,20 +76,22 @@ def score_histogram(scored: DataFrame, probability: str = "champ_pd", bins: int
 def correlation_matrix(df: DataFrame, columns: list[str] = V.CORRELATION_COLUMNS) -> DataFrame:
     """Pearson correlations over rows without any NULL, as (row, column, corr).
 
-    Every pair is an aggregate of the same single pass.
+    Two passes: means, then sums of centred products, one plain sum per pair.
     """
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    pairs = list(combinations(columns, 2))
-    wide = complete.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    means = complete.agg(*[F.avg(c).alias(c) for c in columns]).select(F.struct(*columns)).scalar()
+    centred = complete.withColumn("_mean", means).selectExpr(
+        *[f"`{c}` - _mean.`{c}` AS `{c}`" for c in columns])
+    # Text expressions: a hundred sums as Column objects are slow to build.
+    pairs = list(combinations_with_replacement(columns, 2))
+    sums = centred.selectExpr(*[f"sum(`{a}` * `{b}`) AS `{a}|{b}`" for a, b in pairs])
     cells = []
     for a, b in pairs:
-        value = F.col(f"`{a}|{b}`")
-        for row, column in ((a, b), (b, a)):
-            cells.append((row, column, value))
-    cells += [(c, c, F.lit(1.0)) for c in columns]
-    entries = F.array(*[F.struct(F.lit(r).alias("feature_a"), F.lit(c).alias("feature_b"),
-                                 v.alias("corr")) for r, c, v in cells])
-    return wide.select(F.inline(entries))
+        value = "1D" if a == b else f"try_divide(`{a}|{b}`, sqrt(`{a}|{a}`) * sqrt(`{b}|{b}`))"
+        cells += [(x, y, value) for x, y in sorted({(a, b), (b, a)})]
+    entries = ", ".join(f"named_struct('feature_a', '{x}', 'feature_b', '{y}', 'corr', {value})"
+                        for x, y, value in cells)
+    return sums.selectExpr(f"inline(array({entries}))")
 
 
 def target_correlation_rank(matrix: DataFrame, target: str = "is_bad") -> DataFrame:

@@ -238,9 +238,8 @@ def gains_lift(scored: DataFrame, probability: str = "prob", key: str = "id",
     """
     scored = _rounded(scored, probability, digits)
     table = threshold_table(scored, probability=probability, digits=digits)
-    n = F.col("n_pos") + F.col("n_neg")
-    cuts = F.array(*[F.struct(F.lit(k).alias("cut"), F.ceil(n * k / percentiles).alias("m"))
-                     for k in range(1, percentiles + 1)])
+    cuts = F.expr(f"transform(sequence(1, {percentiles}), k -> named_struct("
+                  f"'cut', k, 'm', ceil((n_pos + n_neg) * k / {float(percentiles)}D)))")
     top = _bads_in_top(scored, table, cuts, key, probability)
     pct_pop = F.col("m") * 100.0 / (F.col("n_pos") + F.col("n_neg"))
     gains = F.col("bads") * 100.0 / F.col("n_pos")

@@ -15,8 +15,9 @@ def filter_decided(loans: DataFrame) -> DataFrame:
 def stage_loans(raw: DataFrame) -> DataFrame:
     """Thirty-five typed columns of the decided loans, one narrow pass."""
     c = F.col
-    issued = P.parse_issue_month(c("issue_d"))
-    return filter_decided(raw).select(
+    issued = c("issue_date")
+    dated = filter_decided(raw).withColumn("issue_date", P.parse_issue_month(c("issue_d")))
+    return dated.select(
         "id", "loan_amnt", "funded_amnt",
         P.parse_term(c("term")).alias("term_months"),
         P.parse_percent(c("int_rate")).alias("int_rate"),
@@ -29,7 +30,7 @@ def stage_loans(raw: DataFrame) -> DataFrame:
         P.parse_percent(c("revol_util")).alias("revol_util"),
         "total_acc", "collections_12_mths_ex_med", "acc_now_delinq",
         "tot_coll_amt", "tot_cur_bal",
-        issued.alias("issue_date"),
+        issued,
         P.vintage_year(issued).alias("vintage_year"),
         P.vintage_quarter(issued).alias("vintage_quarter"),
         "application_type", "loan_status",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom import fixed_values as V
 from riskloom.functions.numeric import dround
 from riskloom.sources.layers import filter_split
 from riskloom.sources.storage import materialize, small_side
 
+LOOKUP_BINS = 1000   # a map is searched entry by entry, so it has to stay short
+
 
 def union_feature_bins(df: DataFrame, features: list[str]) -> DataFrame:
     """Counts per (feature, bin), all features in one scan and one shuffle.
@@ -61,14 +63,36 @@ def iv_summary(woe: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("iv"), "feature"))
 
 
+def _woe_maps(woe: DataFrame, features: list[str]) -> Column:
+    """One struct value with a map from bin to WoE per feature."""
+    known = woe.where(F.col("bin").isNotNull())
+    maps = [F.map_from_entries(F.collect_list(
+        F.when(F.col("feature") == feature, F.struct("bin", "woe")))).alias(feature)
+        for feature in features]
+    return known.agg(*maps).select(F.struct(*features)).scalar()
+
+
 def apply_woe(df: DataFrame, woe: DataFrame,
               features: list[str] = V.BINNED_FEATURES) -> DataFrame:
     """``df`` with one ``<feature>_woe`` per feature; unknown and NULL bins give NULL.
 
-    (feature, bin) is unique in ``woe``, so rows never multiply.  One size check
-    covers all joins, as each side is a part of ``woe``: small parts are
-    broadcast and the loans stay where they are, larger ones are shuffled.
+    (feature, bin) is unique in ``woe``, so rows never multiply.  The table is
+    counted first.  With few bins it becomes one value of maps and encoding is
+    a projection; with more, each feature is a join, broadcast if the table is
+    small and shuffled otherwise.
     """
+    if woe.limit(LOOKUP_BINS + 1).count() <= LOOKUP_BINS:
+        maps = F.col("_woe")
+        looked_up = df.withColumn("_woe", _woe_maps(woe, features)).select(
+            *df.columns, *[F.try_element_at(maps[feature], F.col(feature)).alias(f"{feature}_woe")
+                           for feature in features])
+        return looked_up
+    return join_woe(df, woe, features)
+
+
+def join_woe(df: DataFrame, woe: DataFrame,
+             features: list[str] = V.BINNED_FEATURES) -> DataFrame:
+    """``apply_woe`` by one left join per feature, for tables of any size."""
     lookup = small_side(woe.select("feature", "bin", "woe"))
     encoded = df
     for feature in features:

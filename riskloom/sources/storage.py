@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,18 +19,16 @@ def shared_dir(spark: SparkSession) -> str:
     is lost with that machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if folder is None:
-        current = context.getCheckpointDir()
-        if current is not None:
-            folder = current
-        elif context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="riskloom-")
-        else:
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    if folder is not None:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _own_folder()
+
+
+@lru_cache(maxsize=None)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="riskloom-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -38,9 +37,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once into the shared folder and read it back.
+
+    The written rows outlive any executor, cut the lineage, and are columnar,
+    so later steps read only what they need.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
