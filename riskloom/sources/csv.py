@@ -23,23 +23,29 @@ def rejected_types() -> dict[str, T.DataType]:
 
 def _read_known(spark: SparkSession, path: str, types: dict[str, T.DataType],
                 multi_line: bool) -> DataFrame:
-    """Rows of a CSV file that has at least the columns of ``types``.
+    """Well-formed rows of a CSV file that has at least the columns of ``types``.
 
     Spark maps a given schema by position, so the file's header line decides
-    the order; columns we do not know are read as text and dropped.  Column
-    pruning is off for this read: with it on, only the selected columns would
-    be parsed and a row broken elsewhere would not count as malformed.
+    the order.  Rows with a wrong number of fields are dropped by the parser,
+    for which its column pruning is off.  The parser would test types only of
+    columns that a query goes on to use, which makes the rows depend on the
+    query, so fields are read as text and a row with an ill-typed one is
+    dropped by a filter.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
     missing = [name for name in types if name not in header]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    schema = T.StructType([T.StructField(name, types.get(name, T.StringType()))
-                           for name in header])
-    return (spark.read.schema(schema)
-            .options(mode="DROPMALFORMED", columnPruning=False, **options)
-            .csv(path).select(*[F.col(f"`{name}`") for name in types]))
+    text = (spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+            .options(mode="DROPMALFORMED", columnPruning=False, **options).csv(path))
+    fine = F.lit(True)
+    for name, kind in types.items():
+        if not isinstance(kind, T.StringType):
+            column = F.col(f"`{name}`")
+            fine = fine & (column.isNull() | column.try_cast(kind).isNotNull())
+    return text.where(fine).select(*[F.col(f"`{name}`").cast(kind).alias(name)
+                                     for name, kind in types.items()])
 
 
 def read_accepted(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
