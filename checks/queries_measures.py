@@ -188,7 +188,7 @@ def correlation_matrix(spark, sf):
     return R.rounded(distributions.correlation_matrix(R.staged(spark, sf)), 6, "corr")
 
 
-@query("target_correlation_rank", S.sql("staged", f"SELECT feature_a AS feature, {S.dr('corr', 4)} AS corr FROM ({_MATRIX}) "
+@query("target_correlation_rank", S.sql("staged", f"SELECT feature_a AS feature, {re('corr', 4)} AS corr FROM ({_MATRIX}) "
        "WHERE feature_b = 'is_bad' AND feature_a <> 'is_bad'", _COMPLETE, f"pairs AS ({_CORRELATIONS})"))
 def target_correlation_rank(spark, sf):
     return distributions.target_correlation_rank(distributions.correlation_matrix(R.staged(spark, sf)))
@@ -706,7 +706,7 @@ def _split_metrics(spark, sf, fit, names):
 
 @query("fit_scorecard")
 def fit_scorecard(spark, sf):
-    ready = W.model_input(R.derived(spark, sf), R.fitted_woe(spark, sf))
+    ready = materialize(W.model_input(R.derived(spark, sf), R.fitted_woe(spark, sf)))
     model = models.fit_scorecard(ready.where(c("split") == "train"))
     coefficients, _ = models.coefficients_of(model)
     return models.scorecard_points(ready, coefficients)

@@ -67,7 +67,7 @@ def _profile_sql() -> str:
     one = [f"SELECT '{n}' AS \"column\", CAST({n} AS DOUBLE) AS v FROM staged" for n in V.PROFILE_COLUMNS]
     q = {f"p{p}": f"quantile_cont(v, {p / 100})" for p in (25, 50, 75)}
     return ("SELECT \"column\", count(*) AS total_rows, count(*) - count(v) AS null_count, "
-            + S.dr("((count(*) - count(v)) * 100e0 / count(*))", 2) + " AS null_pct, "
+            + "round_even((count(*) - count(v)) * 100e0 / count(*), 2) AS null_pct, "
             "count(DISTINCT v) AS distinct_count, " + S.dr("avg(v)", 4) + " AS mean, "
             + S.dr("stddev_samp(v)", 4) + " AS std_dev, " + S.dr("min(v)", 4) + " AS min, "
             + S.dr("max(v)", 4) + " AS max, "

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskloom import fixed_values as V
 from riskloom.operators.ranking import (CELL_COUNTS, ROUNDED_DIGITS, accumulate, auc_gini,
                                         long_scores, ticks)
+from riskloom.sources.storage import materialize
 
 DRAWS_PER_DIGEST = 4
 LARGEST_DRAW = 12   # Poisson(1) above this is rarer than one in 2^32
@@ -69,7 +70,7 @@ def hashed_replicates(scored: DataFrame, models: dict[str, str], n: int,
     counts = long.groupBy(*by, prob).agg(
         F.sum(F.col("weight") * F.col("is_bad")).alias("pos"),
         F.sum(F.col("weight") * (1 - F.col("is_bad"))).alias("neg"))
-    auc = auc_gini(accumulate(counts, by, CELL_COUNTS[:1]), by)
+    auc = auc_gini(accumulate(materialize(counts), by, CELL_COUNTS[:1]), by)
     return auc.where(F.col("auc").isNotNull()).select(*by, F.round("auc", 12).alias("auc"))
 
 

@@ -7,22 +7,29 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import fixed_values as V
-from riskloom.functions.numeric import dround
+from riskloom.functions.numeric import half_even
 from riskloom.functions.scoring import score_minmax
 from riskloom.operators.profile import unpivot_numeric
 from riskloom.operators.quantiles import exact_quantiles, value_counts
+from riskloom.sources.storage import materialize
+
+
+def upper_caps(counts: DataFrame, p: float, reference: int) -> DataFrame:
+    """A quantile of one outcome group as the cap of each column: a row per column."""
+    good = counts.where(F.col("is_bad") == reference)
+    return materialize(exact_quantiles(good, ["column"], [p]).select(
+        "column", F.col("quantile").alias("cap")))
 
 
 def winsorize_at(df: DataFrame, columns: list[str], p: float = 0.99,
                  reference: int = 0, ids: list[str] = ()) -> DataFrame:
     """Long form of ``columns`` capped at a quantile of one outcome group.
 
-    NULL values are left out.  The caps are one row per column.
+    NULL values are left out.
     """
     long = unpivot_numeric(df, columns, [*ids, "is_bad"]).where(F.col("value").isNotNull())
     good = long.where(F.col("is_bad") == reference)
-    caps = exact_quantiles(value_counts(good, ["column"]), ["column"], [p]).select(
-        "column", F.col("quantile").alias("cap"))
+    caps = upper_caps(materialize(value_counts(good, ["column", "is_bad"])), p, reference)
     return (long.join(F.broadcast(caps), "column", "left")
             .withColumn("value", F.least("value", "cap"))
             .select(*ids, "is_bad", "column", "value", "cap"))
@@ -35,27 +42,32 @@ def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 
 def class_histogram(df: DataFrame, columns: list[str] = V.HISTOGRAM_COLUMNS,
-                    bins: int = 50, p: float = 0.99) -> DataFrame:
+                    bins: int = 50, p: float = 0.99, reference: int = 0) -> DataFrame:
     """Density histogram per column and outcome over its own capped range.
 
-    Empty bins are kept.  Ranges are one row per column and outcome, and so is
-    what gets broadcast.  A range of a single value is widened by a half.
+    The loans are scanned once, into value counts.  Empty bins are kept.  Ranges
+    are one row per column and outcome, and bins a fixed number of each, so both
+    are broadcast.  A range of a single value is widened by a half.
     """
     keys = ["column", "is_bad"]
-    capped = winsorize_at(df, columns, p)
+    long = unpivot_numeric(df, columns, ["is_bad"]).where(F.col("value").isNotNull())
+    counts = materialize(value_counts(long, keys))
+    caps = upper_caps(counts, p, reference)
+    capped = (counts.join(F.broadcast(caps), "column", "left")
+              .withColumn("value", F.least("value", "cap")))
     flat = F.col("low_raw") == F.col("high_raw")
     ranges = (capped.groupBy(*keys)
               .agg(F.min("value").alias("low_raw"), F.max("value").alias("high_raw"),
-                   F.count("*").alias("n"))
+                   F.sum("n").alias("n"))
               .select(*keys, "n",
                       F.when(flat, F.col("low_raw") - 0.5).otherwise(F.col("low_raw")).alias("low"),
                       F.when(flat, F.col("high_raw") + 0.5).otherwise(F.col("high_raw")).alias("high")))
-    counts = (capped.join(F.broadcast(ranges), keys)
+    placed = (capped.withColumnRenamed("n", "loans").join(F.broadcast(ranges), keys)
               .withColumn("bin", bin_number(F.col("value"), F.col("low"), F.col("high"), bins))
-              .groupBy(*keys, "bin").agg(F.count("*").alias("in_bin")))
+              .groupBy(*keys, "bin").agg(F.sum("loans").alias("in_bin")))
     frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("high") - F.col("low")) / bins
-    filled = frame.join(F.broadcast(counts), [*keys, "bin"], "left").fillna(0, ["in_bin"])
+    filled = frame.join(F.broadcast(placed), [*keys, "bin"], "left").fillna(0, ["in_bin"])
     return filled.select(
         *keys, "bin",
         (F.col("low") + F.col("bin") * width).alias("left_edge"),
@@ -97,5 +109,5 @@ def correlation_matrix(df: DataFrame, columns: list[str] = V.CORRELATION_COLUMNS
 def target_correlation_rank(matrix: DataFrame, target: str = "is_bad") -> DataFrame:
     """Correlations with the target, strongest first whatever the sign."""
     return (matrix.where((F.col("feature_b") == target) & (F.col("feature_a") != target))
-            .select(F.col("feature_a").alias("feature"), dround(F.col("corr"), 4).alias("corr"))
+            .select(F.col("feature_a").alias("feature"), half_even(F.col("corr"), 4).alias("corr"))
             .orderBy(F.desc(F.abs("corr")), "feature"))

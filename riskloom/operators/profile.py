@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import fixed_values as V
-from riskloom.functions.numeric import dround
+from riskloom.functions.numeric import dround, half_even
 from riskloom.operators.quantiles import exact_quantiles, value_counts
+from riskloom.sources.storage import materialize
+
+QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
 
 def unpivot_numeric(df: DataFrame, columns: list[str], ids: list[str] = (),
@@ -20,42 +23,47 @@ def profile_columns(df: DataFrame, columns: list[str] = V.PROFILE_COLUMNS,
                     approximate: bool = False) -> DataFrame:
     """One row per column: counts, distinct values, moments, range, quartiles.
 
-    All columns share one scan for the moments.  Distinct counts and quartiles
-    are exact and come from value counts; ``approximate`` replaces them with
-    sketches, which leaves a single pass without a shuffle of values.
+    All is exact and the layer is scanned once, into counts per column and
+    value.  ``approximate`` takes moments and sketches in a single pass instead
+    and never shuffles values.
     """
     long = unpivot_numeric(df, columns)
-    measures = {
-        "total_rows": F.count("*"),
-        "null_count": F.count("*") - F.count("value"),
-        "mean": dround(F.avg("value"), 4),
-        "std_dev": dround(F.stddev_samp("value"), 4),
-        "min": dround(F.min("value"), 4),
-        "max": dround(F.max("value"), 4),
-    }
-    quartiles = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
-    if approximate:
-        sketched = {name: dround(F.percentile_approx("value", p, 10000), 4)
-                    for name, p in quartiles.items()}
-        stats = long.groupBy("column").agg(
-            *[c.alias(name) for name, c in measures.items()],
-            F.approx_count_distinct("value").alias("distinct_count"),
-            *[c.alias(name) for name, c in sketched.items()])
-    else:
-        counts = value_counts(long, ["column"])
-        distinct = counts.groupBy("column").agg(F.count("value").alias("distinct_count"))
-        quantiles = exact_quantiles(counts, ["column"], list(quartiles.values()))
-        wide = quantiles.groupBy("column").agg(*[
-            dround(F.max(F.when(F.col("probability") == p, F.col("quantile"))), 4).alias(name)
-            for name, p in quartiles.items()])
-        # One row per profiled column on every side of these joins.
-        stats = (long.groupBy("column").agg(*[c.alias(n) for n, c in measures.items()])
-                 .join(F.broadcast(distinct), "column", "left")
-                 .join(F.broadcast(wide), "column", "left"))
-    null_pct = dround(F.try_divide(F.col("null_count") * 100.0, F.col("total_rows")), 2)
-    return stats.withColumn("null_pct", null_pct).select(
-        "column", "total_rows", "null_count", "null_pct", "distinct_count",
-        "mean", "std_dev", "min", "max", "p25", "p50", "p75")
+    stats = _sketched(long) if approximate else _exact(materialize(value_counts(long, ["column"])))
+    null_pct = half_even(F.try_divide(F.col("null_count") * 100.0, F.col("total_rows")), 2)
+    return stats.select(
+        "column", "total_rows", "null_count", null_pct.alias("null_pct"), "distinct_count",
+        *[dround(F.col(name), 4).alias(name)
+          for name in ("mean", "std_dev", "min", "max", *QUARTILES)])
+
+
+def _sketched(long: DataFrame) -> DataFrame:
+    return long.groupBy("column").agg(
+        F.count("*").alias("total_rows"), (F.count("*") - F.count("value")).alias("null_count"),
+        F.approx_count_distinct("value").alias("distinct_count"),
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std_dev"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        *[F.percentile_approx("value", p, 10000).alias(name) for name, p in QUARTILES.items()])
+
+
+def _exact(counts: DataFrame) -> DataFrame:
+    """Statistics from value counts.  Joined sides have a row per profiled column."""
+    value, n = F.col("value"), F.col("n")
+    present = F.sum(F.when(value.isNotNull(), n))
+    base = counts.groupBy("column").agg(
+        F.sum("n").alias("total_rows"),
+        F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"),
+        F.try_divide(F.sum(value * n), present).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    centred = counts.join(F.broadcast(base.select("column", "mean")), "column")
+    spread = centred.groupBy("column").agg(F.sqrt(F.try_divide(
+        F.sum(n * F.pow(value - F.col("mean"), 2)), present - 1)).alias("std_dev"))
+    quantiles = exact_quantiles(counts, ["column"], list(QUARTILES.values()))
+    wide = quantiles.groupBy("column").agg(*[
+        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
+        for name, p in QUARTILES.items()])
+    return (base.join(F.broadcast(spread), "column", "left")
+            .join(F.broadcast(wide), "column", "left"))
 
 
 def top_null_columns(profile: DataFrame, n: int = 10) -> DataFrame:

@@ -41,7 +41,8 @@ def exact_quantiles(counts: DataFrame, by: list[str], probabilities: list[float]
                     value: str = "value") -> DataFrame:
     """One row per group and probability, linear between neighbouring ranks.
 
-    ``counts`` comes from ``value_counts``.  The chosen groups are broadcast:
+    ``counts`` comes from ``value_counts`` and is read three times, so it should
+    be materialized.  The chosen groups are broadcast:
     they number two per probability and ``by`` group, so ``by`` is meant for
     few groups such as profiled columns.
     """

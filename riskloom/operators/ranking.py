@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.functions.numeric import dround
+from riskloom.sources.storage import materialize
 
 CELL_COUNTS = (1_000, 1_000_000)
 ROUNDED_DIGITS = 6
@@ -73,15 +74,18 @@ def threshold_table(scored: DataFrame, by: list[str] = (), probability: str = "p
     Columns: ``by``, prob, pos, neg, pos_before, neg_before, n_pos, n_neg, where
     "before" means strictly riskier.  With ``digits`` probabilities are rounded
     first, which bounds the ticks and needs one level of cells only.
+
+    The ticks are computed here and now, as several steps read them: the loans
+    are scanned once, whatever is measured on the table afterwards.
     """
     by = list(by)
     levels = CELL_COUNTS[:1] if digits is not None and digits <= ROUNDED_DIGITS else CELL_COUNTS
-    return accumulate(ticks(scored, by, probability, digits), by, levels)
+    return accumulate(materialize(ticks(scored, by, probability, digits)), by, levels)
 
 
 def accumulate(tick_counts: DataFrame, by: list[str] = (),
                levels: tuple[int, ...] = CELL_COUNTS) -> DataFrame:
-    """``threshold_table`` from ready tick counts."""
+    """``threshold_table`` from materialized tick counts."""
     by = list(by)
     above = _totals_before(tick_counts, by, levels)
     if not by and len(levels) == 1:
