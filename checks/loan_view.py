@@ -91,8 +91,8 @@ DUCK_WORDS = {"S": "VARCHAR", "Y": "strftime(o_orderdate, '%b-%Y')"}
 
 
 def _spark_select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(text.format(**SPARK_WORDS)).alias(name)
-                       for name, text in columns.items()])
+    return df.selectExpr(*[f"{text.format(**SPARK_WORDS)} AS `{name}`"
+                           for name, text in columns.items()])
 
 
 def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:

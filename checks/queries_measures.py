@@ -68,8 +68,8 @@ def apply_woe(spark, sf):
 @query("lookup_woe", S.sql("encoded", "SELECT id, grade_woe, dti_band_woe, CASE WHEN application_type = 'Joint App' "
                            "THEN 0e0 ELSE application_type_woe END AS application_type_woe FROM encoded"))
 def lookup_woe(spark, sf):
-    known = R.fitted_woe(spark, sf).where(c("bin") != "Joint App")
-    return W.lookup_woe(R.derived(spark, sf), known).select(
+    made, woe = R.with_woe(spark, sf)
+    return W.lookup_woe(made, woe.where(c("bin") != "Joint App")).select(
         "id", "grade_woe", "dti_band_woe", "application_type_woe")
 
 
@@ -281,7 +281,7 @@ def _spread_points(df):
 
 @query("score_points", S.sql("encoded", f"SELECT id, {_ALL_POINTS} FROM encoded"))
 def score_points(spark, sf):
-    inputs = W.lookup_woe(R.derived(spark, sf), R.fitted_woe(spark, sf))
+    inputs = W.lookup_woe(*R.with_woe(spark, sf))
     pointed = A.score_points(inputs, _stored_points(spark))
     return _spread_points(pointed.select("id", "scorecard_points"))
 
@@ -338,7 +338,7 @@ _ERRORS = "concat_ws('; ', " + ", ".join(
 
 @query("validate_applications", S.sql("encoded", f"SELECT id, {_ERRORS} = '' AS is_valid, {_ERRORS} AS errors FROM apps", _APPS))
 def validate_applications(spark, sf):
-    valid, rejects = A.validate_applications(R.applications(spark, sf))
+    valid, rejects = A.validate_applications(R.applications(R.derived(spark, sf)))
     return valid.select("id", F.lit(True).alias("is_valid"), F.lit("").alias("errors")).unionByName(
         rejects.select("id", F.lit(False).alias("is_valid"), F.concat_ws("; ", "errors").alias("errors")))
 
@@ -349,23 +349,21 @@ _APP_SCORES = (f"SELECT id, score AS credit_score, {re('pd', 6)} AS probability_
                f"FROM (SELECT *, {S.minmax_score('pd')} AS score FROM (SELECT *, {_RAW_PD} AS pd FROM apps WHERE {_ERRORS} = ''))")
 
 
-def _score(spark, sf, apps):
-    return A.score_applications(apps, R.fitted_woe(spark, sf), R.points_table(spark),
-                                L.CHAMPION_COEFFICIENTS, L.CHAMPION_INTERCEPT)
-
-
 @query("score_applications", S.sql("encoded", _APP_SCORES, _APPS))
 def score_applications(spark, sf):
-    return _spread_points(_score(spark, sf, R.applications(spark, sf)))
+    made, woe = R.with_woe(spark, sf)
+    return _spread_points(A.score_applications(
+        R.applications(made), woe, R.points_table(spark), L.CHAMPION_COEFFICIENTS, L.CHAMPION_INTERCEPT))
 
 
 @query("score_stream", S.sql("encoded", _APP_SCORES, _APPS))
 def score_stream(spark, sf):
     inbox, output, state = (scratch_path(spark, n) for n in ("inbox", "scores", "stream-state"))
-    apps = R.applications(spark, sf)
+    made, woe = R.with_woe(spark, sf)
+    apps = R.applications(made)
     apps.repartition(4).write.parquet(inbox)
     source = stream.read_application_stream(spark, inbox, apps.schema, files_per_batch=2)
-    running = stream.score_stream(source, R.fitted_woe(spark, sf), R.points_table(spark),
+    running = stream.score_stream(source, woe, R.points_table(spark),
                                   L.CHAMPION_COEFFICIENTS, L.CHAMPION_INTERCEPT, output, state)
     running.awaitTermination()
     return _spread_points(spark.read.parquet(output))
@@ -697,7 +695,7 @@ def decision_record(spark, sf):
 
 # --------------------------------------------------------------------- models
 def _split_metrics(spark, sf, fit, names):
-    ready = materialize(W.model_input(R.derived(spark, sf), R.fitted_woe(spark, sf)))
+    ready = materialize(W.model_input(*R.with_woe(spark, sf)))
     model = fit(ready.where(c("split") == "train"))
     result = models.score_with(model, ready.where(c("split") != "train"), names, "prob")
     table = ranking.threshold_table(result, ["split"], digits=models.PD_DIGITS)
@@ -706,7 +704,7 @@ def _split_metrics(spark, sf, fit, names):
 
 @query("fit_scorecard")
 def fit_scorecard(spark, sf):
-    ready = materialize(W.model_input(R.derived(spark, sf), R.fitted_woe(spark, sf)))
+    ready = materialize(W.model_input(*R.with_woe(spark, sf)))
     model = models.fit_scorecard(ready.where(c("split") == "train"))
     coefficients, _ = models.coefficients_of(model)
     return models.scorecard_points(ready, coefficients)

@@ -47,7 +47,7 @@ def write_layer(spark, sf):
 @query("read_split", S.sql("encoded", "SELECT id, loan_amnt, grade_woe, is_bad FROM encoded WHERE split = 'oot'"))
 def read_split(spark, sf):
     path = scratch_path(spark, "model-input")
-    layers.write_layer(W.model_input(R.derived(spark, sf), R.fitted_woe(spark, sf)), path, "split")
+    layers.write_layer(W.model_input(*R.with_woe(spark, sf)), path, "split")
     return layers.read_split(spark, path, "oot", ["id", "loan_amnt", "grade_woe", "is_bad", "loan_amnt"])
 
 

@@ -50,8 +50,14 @@ def fitted_woe(spark: SparkSession, sf: str) -> DataFrame:
     return woe_ops.fit_woe(derived(spark, sf))
 
 
+def with_woe(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The features and the WoE table fitted on them."""
+    made = derived(spark, sf)
+    return made, woe_ops.fit_woe(made)
+
+
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
-    return woe_ops.apply_woe(derived(spark, sf), fitted_woe(spark, sf))
+    return woe_ops.apply_woe(*with_woe(spark, sf))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,8 +84,9 @@ def challenger_oot(spark: SparkSession, sf: str) -> DataFrame:
         "id", "is_bad", "loan_amnt", F.col("chall_pd").alias("prob"))
 
 
-def applications(spark: SparkSession, sf: str) -> DataFrame:
-    return derived(spark, sf).where(F.col("split") == "validation").select(*L.APPLICATION_COLUMNS)
+def applications(made: DataFrame) -> DataFrame:
+    """The validation loans as applications."""
+    return made.where(F.col("split") == "validation").select(*L.APPLICATION_COLUMNS)
 
 
 def spread(spark: SparkSession, sf: str) -> DataFrame:

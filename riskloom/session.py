@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 # then run interpreted; with this limit Spark splits them instead.
 SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
-    "spark.sql.adaptive.enabled": ("false", "true"),
 }
 
 
