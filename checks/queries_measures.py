@@ -52,6 +52,18 @@ def iv_summary(spark, sf):
     return W.iv_summary(W.woe_table(R.derived(spark, sf)))
 
 
+@query("read_points", S.sql("woe", f"SELECT feature || '_woe' AS feature, {re(f'(-({S.FACTOR!r}e0) * iv)', 4)} "
+                            f"AS points_per_unit_woe FROM ({_IV})"))
+def read_points(spark, sf):
+    """Points from the information values, written as a report and read as points."""
+    factor, _ = Sc.odds_scale()
+    iv = W.iv_summary(W.woe_table(R.derived(spark, sf)))
+    path = scratch_path(spark, "points")
+    csv.write_csv_report(iv.select(F.concat("feature", F.lit("_woe")).alias("feature"), "iv",
+                                   (-F.lit(factor) * c("iv")).alias("points_per_unit_woe")), path)
+    return R.rounded(csv.read_points(spark, path), 4, "points_per_unit_woe")
+
+
 @query("iv_strength", S.sql("woe", "SELECT feature, CASE WHEN iv > 0.3 THEN 'strong' WHEN iv > 0.1 THEN 'medium' "
                             f"WHEN iv >= 0.02 THEN 'weak' ELSE 'useless' END AS strength FROM ({_IV})"))
 def iv_strength(spark, sf):

@@ -37,6 +37,16 @@ def read_rejected(spark, sf):
     return csv.read_rejected(spark, path)
 
 
+@query("create_layers", S.sql("staged", "SELECT grade, is_bad, count(*) AS n FROM staged GROUP BY ALL"))
+def create_layers(spark, sf):
+    root = scratch_path(spark, "layers")
+    names = tuple(f"{layer}_{root[-12:]}" for layer in layers.LAYERS)
+    for _ in range(2):   # a second time changes nothing
+        layers.create_layers(spark, names, root)
+    stored = layers.write_layer(R.staged(spark, sf), f"{names[1]}.loans")
+    return stored.groupBy("grade", "is_bad").agg(F.count("*").alias("n"))
+
+
 @query("write_layer", S.sql("features", "SELECT split, grade, count(*) AS n FROM features GROUP BY ALL"))
 def write_layer(spark, sf):
     path = scratch_path(spark, "features")

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 LAYERS = ("raw", "staging", "profile", "features")
 
 
-def create_layers(spark: SparkSession, names: tuple[str, ...] = LAYERS) -> None:
+def create_layers(spark: SparkSession, names: tuple[str, ...] = LAYERS,
+                  root: str | None = None) -> None:
+    """A namespace per layer, its tables under ``root`` or the warehouse folder."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        place = "" if root is None else f" LOCATION '{root.rstrip('/')}/{name}'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def write_layer(df: DataFrame, target: str, partition_by: str | None = None) -> DataFrame:
