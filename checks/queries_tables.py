@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import loan_sql as S, loan_view as L, registry as R
 from checks.registry import query
 from riskloom import fixed_values as V
-from riskloom.functions import bands as B, cleaning as C, numeric as N, parsing as P
+from riskloom.functions import bands as B, cleaning as C, parsing as P
 from riskloom.operators import (applications as A, cleaning, distributions, features, portfolio,
                                 profile, staging, woe as W)
 from riskloom.sources import csv, layers

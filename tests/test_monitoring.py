@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from checks import registry as Q
 from riskloom import fixed_values as V
