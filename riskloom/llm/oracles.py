@@ -25,3 +25,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * n_dup_lines > n_words) AS kept
 FROM f
 """
+
+# Positions: gaps between matches come from marking each match with chr(1) and chr(2).
+SECRETS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
+                  concat_ws('/', source, lang) AS repository FROM documents),
+every AS (
+  SELECT doc_id, owner, repository, 'assign' AS kind, 1 AS rank, 6 AS least, string_split(regexp_replace(text,
+    '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)',
+    chr(1) || '\0' || chr(2) || '\2' || chr(1), 'g'), chr(1)) AS p FROM d
+  UNION ALL SELECT doc_id, owner, repository, 'access', 2, 20, string_split(regexp_replace(text,
+    'AKIA[A-Z0-9]{16,}', chr(1) || '\0' || chr(2) || '\0' || chr(1), 'g'), chr(1)) FROM d
+  UNION ALL SELECT doc_id, owner, repository, 'hex', 3, 24, string_split(regexp_replace(text,
+    '[0-9a-f]{24,}', chr(1) || '\0' || chr(2) || '\0' || chr(1), 'g'), chr(1)) FROM d
+  UNION ALL SELECT doc_id, owner, repository, 'vendor', 4, 20, string_split(regexp_replace(text,
+    '(?:gh[pousr]_|glpat-|xox[abprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}',
+    chr(1) || '\0' || chr(2) || '\0' || chr(1), 'g'), chr(1)) FROM d),
+parts AS (SELECT doc_id, owner, repository, kind, rank, least, unnest(p) AS part,
+                 generate_subscripts(p, 1) AS i FROM every),
+placed AS (SELECT *, split_part(part, chr(2), 1) AS body, split_part(part, chr(2), 2) AS value,
+                  sum(length(split_part(part, chr(2), 1))) OVER (PARTITION BY doc_id, rank ORDER BY i) AS "end"
+           FROM parts),
+found AS (SELECT doc_id, owner, repository, kind, rank, CAST("end" AS BIGINT) AS "end",
+                 CAST("end" - length(body) AS BIGINT) AS start, CAST("end" - length(value) AS BIGINT) AS value_start, value
+          FROM placed WHERE i % 2 = 0 AND length(value) >= least),
+owned AS (SELECT value, count(DISTINCT owner) AS n_owners FROM found GROUP BY value),
+judged AS (SELECT f.*, n_owners >= 3 AS example, n_owners < 3 AND length(f.value) >= 12
+                  AND regexp_matches(f.value, '[0-9]')
+                  AND NOT list_bool_or(list_transform(range(1, length(f.value) - 2), lambda j:
+                      f.value[j] = f.value[j + 1] AND f.value[j] = f.value[j + 2] AND f.value[j] = f.value[j + 3])) AS live
+           FROM found f JOIN owned USING (value)),
+spans AS (SELECT doc_id, kind, rank, start, "end", example FROM judged
+          UNION ALL SELECT DISTINCT doc_id, 'live', 5, value_start, "end", FALSE FROM judged WHERE live)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) FILTER (rank < 4), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank, "end"), '') AS spans,
+       count(*) FILTER (kind = 'live') AS n_live,
+       count(*) FILTER (example AND rank < 4) AS n_example
+FROM (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id) d LEFT JOIN spans s ON d.doc_id = s.doc_id
+GROUP BY d.doc_id
+"""

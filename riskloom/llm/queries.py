@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import oracles, quality
+from riskloom.llm import oracles, quality, secrets
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,14 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.judge(docs, quality.order_rules(docs, quality.RULES))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept")
+
+
+def repository_and_owner() -> tuple:
+    """A source counts as an owner, its documents in one language as a repository."""
+    return F.concat_ws("/", "source", "lang"), F.col("source")
+
+
+@query("op7_secret_ownership", oracles.SECRETS)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return secrets.span_digests(docs, secrets.find_secrets(docs, *repository_and_owner()))
