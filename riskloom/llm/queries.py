@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import oracles, quality, secrets
+from riskloom.llm import bpe, oracles, packing, quality, secrets
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +41,16 @@ def repository_and_owner() -> tuple:
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return secrets.span_digests(docs, secrets.find_secrets(docs, *repository_and_owner()))
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    definition = bpe.tokenizer_of_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                        public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf, "documents"), definition, public_tokenizers.PATTERN)
+
+
+@query("op9_best_fit_packing")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    definition = bpe.tokenizer_of_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf, "documents"), definition, public_tokenizers.PATTERN)
