@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, oracles, packing, quality, secrets
+from riskloom.llm import bpe, ngram_join, oracles, packing, quality, secrets
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     definition = bpe.tokenizer_of_file(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(table(spark, sf, "documents"), definition, public_tokenizers.PATTERN)
+
+
+@query("op10_ngram_partenum")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf, "documents"))
