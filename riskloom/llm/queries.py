@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, ngram_join, oracles, packing, quality, secrets
+from riskloom.llm import bpe, ngram_join, oracles, packing, paragraphs, quality, secrets
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_ngram_partenum")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op5_paragraph_minhash")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return paragraphs.digests(table(spark, sf, "documents"))

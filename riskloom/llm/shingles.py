@@ -34,16 +34,18 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each ``width`` words in a row, by the place of the first."""
+    last = len(hashes) - width + 1
+    found = mix(hashes[:last], width)
+    for j in range(1, width):
+        found = mix(found * np.uint64(0xD6E8FEB86659FD93) + hashes[j:last + j], width)
+    return found
+
+
 def shingles(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of all windows of ``width`` words; of all words if there are fewer."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    span = min(width, n)
-    windows = mix(hashes[:n - span + 1], span)
-    for j in range(1, span):
-        windows = mix(windows * np.uint64(0xD6E8FEB86659FD93) + hashes[j:n - span + 1 + j], span)
-    return np.unique(windows)
+    return np.unique(windows(hashes, min(width, len(hashes)))) if len(hashes) else hashes
 
 
 def words_of(text: str) -> list[bytes]:
