@@ -65,64 +65,118 @@ def at_least(threshold: int, both: Column, a: Column, b: Column) -> Column:
     return 100 * both >= threshold * (a + b - both)
 
 
-def verified(pairs: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose item sets have that Jaccard similarity, exactly."""
+def compared(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with how many items both have, ``both``, and set sizes ``na``, ``nb``."""
     left = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(at_least(threshold, both, F.size("x"), F.size("y"))).select("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size(F.array_intersect("x", "y")).alias("both"),
+        F.size("x").alias("na"), F.size("y").alias("nb"))
 
 
-def linked_components(shared: DataFrame, items_of: Items, threshold: int) -> DataFrame:
+def similar(pairs: DataFrame, threshold: int) -> DataFrame:
+    """The compared pairs whose Jaccard similarity reaches the threshold, exactly."""
+    return pairs.where(at_least(threshold, F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
+
+
+def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds: int = 1) -> DataFrame:
     """(id, component) of all ids that link with another one.
 
     ``shared`` (sig, id) is stored and holds every pair that can link in some
     bucket; ``items_of(ids)`` gives the item arrays of ids.
 
-    First each bucket is compared with one leader only, the id with most shared
-    signatures, which is linear in the rows and joins a group of near copies
-    around its centre.  What is left are pairs of one bucket in different
-    components.  Those are compared as far as the items that anyone else has
-    allow a link at all; items of one id alone cannot be in an intersection.
-    So no link is lost, and a group of copies does not cost its square.
+    First each bucket is compared with one leader only, the id whose signatures
+    are in the largest buckets, which is linear in the rows and joins a group of
+    near copies around its centre.  Further ``rounds`` compare what meets under
+    a leader with one more of them.  What is left are pairs under a leader in
+    different components; ``_between`` lists those of them that the counts
+    known by then let link.  So no link is lost, and a group of copies does not
+    cost its square.
     """
-    weight = shared.groupBy("id").agg(F.count(F.lit(1)).alias("weight"))
+    size = shared.groupBy("sig").agg(F.floor(8 * F.log2(F.count(F.lit(1)))).alias("size"))
+    weight = materialize(shared.join(size, "sig").groupBy("id").agg(F.sum("size").alias("weight")))
     items = materialize(items_of(weight.select("id")))
     leader = (shared.join(weight, "id").groupBy("sig")
               .agg(F.max(F.struct("weight", "id"))["id"].alias("leader")))
-    first = materialize(shared.join(leader, "sig").where("id <> leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
-    links = materialize(verified(first, items, threshold))
+    first = shared.join(leader, "sig").where("id <> leader").select(
+        F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+    first = materialize(compared(first, items))
+    links = materialize(similar(first, threshold))
     classes = materialize(components(links))
-
-    rest = _between(shared, classes, items, threshold)
-    more = materialize(verified(rest.join(first, ["a", "b"], "left_anti"), items, threshold))
+    for _ in range(1, rounds):
+        links = materialize(links.unionByName(similar(compared(_next_leaders(first, classes), items), threshold)))
+        classes = materialize(components(links))
+    more = materialize(similar(compared(_between(first, classes, items, threshold), items), threshold))
     if more.isEmpty():
         return classes
     return components(links.unionByName(more))
 
 
-def _between(shared: DataFrame, classes: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of one bucket in different components that could still link."""
-    placed = shared.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = materialize(placed.join(mixed.where("low <> high").select("sig"), "sig"))
-    ids = open_rows.select("id").distinct()
-    item = items.join(ids, "id", "left_semi").select("id", F.size("items").alias("n"), F.explode("items").alias("item"))
-    common = item.groupBy("item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    able = (item.join(common.select("item"), "item", "left_semi").groupBy("id", "n")
-            .agg(F.count(F.lit(1)).alias("v")).where(F.col("v") * 100 >= F.col("n") * threshold))
-    rows = open_rows.join(able, "id")
-    main = (rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("sig").agg(F.max(F.struct("c", "component"))["component"].alias("main")))
-    rows = materialize(rows.join(main, "sig"))
-    a = rows.where("component <> main").select("sig", F.col("id").alias("i"), F.col("component").alias("ci"),
-                                               F.col("n").alias("ni"), F.col("v").alias("vi"))
-    b = rows.select("sig", F.col("id").alias("j"), F.col("component").alias("cj"), F.col("main"),
-                    F.col("n").alias("nj"), F.col("v").alias("vj"))
-    # of two that are both outside the main component, one order is enough
-    once = (F.col("cj") == F.col("main")) | (F.col("i") < F.col("j"))
-    enough = (100 + threshold) * F.least("vi", "vj") >= threshold * (F.col("ni") + F.col("nj"))
-    return (a.join(b, "sig").where((F.col("ci") != F.col("cj")) & once & enough)
-            .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
+def _members(first: DataFrame, classes: DataFrame) -> DataFrame:
+    """(leader, id, both, n, leader_n, component) of leaders under which several components meet."""
+    members = (first.select(F.col("a").alias("id"), F.col("b").alias("leader"), "both",
+                            F.col("na").alias("n"), F.col("nb").alias("leader_n"))
+               .join(classes, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    mixed = members.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(mixed.where("low <> high").select("leader"), "leader")
+
+
+def _main(members: DataFrame) -> DataFrame:
+    """(leader, main): the component that most members of a leader are in."""
+    return (members.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("leader").agg(F.max(F.struct("c", "component"))["component"].alias("main")))
+
+
+def _next_leaders(first: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of one more leader, the most like the first outside its main component, with all others."""
+    members = materialize(_members(first, classes))
+    likeness = F.col("both") / (F.col("n") + F.col("leader_n") - F.col("both"))
+    chosen = (members.join(_main(members), "leader").where("component <> main").groupBy("leader")
+              .agg(F.max(F.struct(likeness.alias("likeness"), "id", "component")).alias("next")))
+    return (members.join(chosen, "leader").where("component <> next.component")
+            .select(F.least("id", "next.id").alias("a"), F.greatest("id", "next.id").alias("b")).distinct())
+
+
+def _between(first: DataFrame, classes: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) under one leader, in different components, that could still link.
+
+    Two sets of sizes n and m link only if they share t / (100 + t) * (n + m)
+    items.  Items inside the leader give at most the lesser of what each shares
+    with the leader, which is known.  Where that is not enough, the two must
+    share items outside the leader, and these are joined on.  They are few and
+    rare in a group of near copies, as all they have in common is the leader.
+    """
+    members = materialize(_members(first, classes).drop("leader_n"))
+    inside = items.select(F.col("id").alias("leader"), F.col("items").alias("inside"))
+    outside = materialize(
+        members.join(items, "id").join(inside, "leader")
+        .select("leader", "id", F.explode(F.array_except("items", "inside")).alias("item")))
+    common = outside.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    outside = materialize(outside.join(common.select("leader", "item"), ["leader", "item"], "left_semi"))
+    extra = outside.groupBy("leader", "id").agg(F.count(F.lit(1)).alias("extra"))
+    # what a set shares with the leader or with anyone else under it has to reach the threshold
+    able = (members.join(extra, ["leader", "id"], "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
+            .where(100 * (F.col("both") + F.col("extra")) >= threshold * F.col("n")))
+    able = materialize(able.join(_main(able), "leader"))
+
+    def side(rows: DataFrame, k: str) -> DataFrame:
+        names = {"id": "i", "component": "c", "n": "n", "both": "b", "extra": "e"}
+        return rows.select(*[F.col(o) for o in rows.columns if o not in names],
+                           *[F.col(o).alias(f"{new}{k}") for o, new in names.items()])
+
+    def possible(shared: Column) -> Column:
+        """Whether two members with ``shared`` items outside the leader can link."""
+        return ((100 + threshold) * (F.least("b1", "b2") + shared) >= threshold * (F.col("n1") + F.col("n2")))
+
+    # one of two is outside the main component; if both are, one order is enough
+    differ = (F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("i1") < F.col("i2")))
+    pair = [F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")]
+    one, two = side(able.where("component <> main").drop("main"), "1"), side(able, "2")
+    without = one.join(two, "leader").where(differ & possible(F.lit(0))).select(*pair)
+
+    held = outside.join(able, ["leader", "id"])
+    one, two = side(held.where("component <> main").drop("main"), "1"), side(held, "2")
+    sharing = (one.join(two, ["leader", "item"]).where(differ & possible(F.least("e1", "e2")))
+               .groupBy("leader", "i1", "i2", "b1", "b2", "n1", "n2")
+               .agg(F.count(F.lit(1)).alias("shared")).where(possible(F.col("shared"))).select(*pair))
+    return without.unionByName(sharing).distinct()

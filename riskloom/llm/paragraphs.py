@@ -164,7 +164,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = materialize(units(docs))
     rows = found.where("sigs is not null").select(F.explode("sigs").alias("sig"), "id")
     shared = materialize(shared_only(rows))
-    classes = linked_components(shared, partial(_items, docs, found), THRESHOLD)
+    classes = linked_components(shared, partial(_items, docs, found), THRESHOLD, rounds=4)
     # first by id, with partial aggregation, then by component
     by_id = found.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start")).alias("first"))
     by_id = materialize(by_id.join(classes, "id", "left").where("n > 1 or component is not null")
