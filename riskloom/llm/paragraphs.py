@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.llm.common import identified, map_batches
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import WIDTH, mix, shingles, windows, word_hashes
+from riskloom.llm.spans import merged, without
 from riskloom.sources.storage import materialize, small_side
 
 THRESHOLD = 75
@@ -177,22 +178,6 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             .select("doc_id", "start", "end"))
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs of overlapping or touching spans."""
-    runs: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if runs and start <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
-        else:
-            runs.append((start, end))
-    return runs
-
-
-def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
-    edges = [0, *[e for run in runs for e in run], len(data)]
-    return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-
-
 def cleaned(docs: DataFrame, *others: str) -> DataFrame:
     """(doc_id, text, n_spans, n_removed) and ``others``: texts without repeated paragraphs.
 
