@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -48,22 +48,21 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
-def map_batches(df: DataFrame, function: Callable[[dict[str, list]], Iterable[dict[str, list]]],
-                schema: str, columns: list[str] | None = None) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str, columns: list[str] | None = None,
+                streaming: bool = False) -> DataFrame:
     """Apply ``function`` to batches as lists by column name; it yields such lists.
 
+    With ``streaming`` it is given an iterator of all batches of a task instead.
     Columns may also come back as NumPy or Arrow arrays.
     """
     small_batches(df.sparkSession)
     arrow = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for made in function(batch.to_pydict()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
+        given = (batch.to_pydict() for batch in batches if batch.num_rows)
+        for made in function(given) if streaming else (m for g in given for m in function(g)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return (df.select(*columns) if columns else df).mapInArrow(run, schema)
 

@@ -48,17 +48,18 @@ BANDS, ROWS = tune_bands(THRESHOLD / 100, RECALL)
 
 
 class Lines:
-    """The lines of a batch of texts that have five words or more, with all their words in a row."""
+    """The lines of a batch of texts with at least so many words, and all their words in a row."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], least: int = WIDTH, fold: bool = True):
         words: list[bytes] = []
         docs, starts, ends, counts, bodies = [], [], [], [], []
         for doc, text in enumerate(texts):
-            data, at = text.encode().lower(), 0
+            data, at = text.encode(), 0
+            data = data.lower() if fold else data
             for line in data.split(b"\n"):
                 end = min(at + len(line) + 1, len(data))
                 found = line.split()
-                if len(found) >= WIDTH:
+                if len(found) >= least:
                     words += found
                     docs.append(doc)
                     starts.append(at)

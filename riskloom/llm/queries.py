@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, ngram_join, oracles, packing, paragraphs, quality, secrets, suffixes
+from riskloom.llm import bpe, ngram_join, oracles, packing, paragraphs, quality, secrets, sketches, suffixes
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     kept = suffixes.remove_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_paragraph_iblt")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return sketches.compare_versions(table(spark, sf, "documents"))
