@@ -139,7 +139,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the least of their component, all columns as they were."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(small_side(materialize(kept)), "doc_id", "left_semi")
+def keep_one(docs: DataFrame, *others: str) -> DataFrame:
+    """(doc_id, text) and ``others`` of the document with the least id of every component."""
+    known = identified(docs, *others)
+    kept = near_duplicates(known).where("doc_id = component_id").select("doc_id")
+    return known.join(small_side(materialize(kept)), "doc_id", "left_semi")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe, ngram_join, oracles, packing, paragraphs, quality, secrets, sketches, suffixes
+from riskloom.llm import (bpe, language, ngram_join, oracles, packing, paragraphs, quality,
+                         rendering, secrets, sketches, suffixes)
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +76,16 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_paragraph_iblt")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.compare_versions(table(spark, sf, "documents"))
+
+
+@query("op6_language_fusion")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and pages together; the labelled rows are the documents."""
+    docs, pages = table(spark, sf, "documents"), table(spark, sf, "pages")
+    rows = language.document_rows(docs).unionByName(language.page_rows(pages))
+    return language.identify(rows, docs.select("text", "lang"))
+
+
+@query("op8_page_layout")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return rendering.extract(table(spark, sf, "pages"))
