@@ -7,7 +7,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from riskloom.sources.storage import materialize
+
 TABLE = "{sf}/{name}.parquet"
+BROADCAST_BYTES = 48 * 1024 * 1024
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -41,6 +44,23 @@ def identified(docs: DataFrame, *others: str) -> DataFrame:
     return found.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, stored, with a broadcast hint if what it holds stays under ``limit`` bytes.
+
+    Array elements count 32 bytes each.  Beyond the limit the join is an
+    ordinary one, which Spark shuffles.
+    """
+    stored = materialize(df)
+    width = F.lit(64)
+    for name, kind in stored.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith("array"):
+            width = width + 32 * F.coalesce(F.greatest(F.size(name), F.lit(0)), F.lit(0))
+    size = stored.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(stored) if size <= limit else stored
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Let Python tasks get batches of ``rows`` rows unless the session says otherwise."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import map_batches
-from riskloom.sources.storage import materialize, small_side
+from riskloom.llm.common import map_batches, small_side
+from riskloom.sources.storage import materialize
 
 BINS = 1 << 14
 TEMPER = 1 / 3  # a byte is part of three trigrams
@@ -98,7 +98,7 @@ def fuse(scored: DataFrame, languages: list[str]) -> DataFrame:
     share = [(t + 1) / (sum(totals) + n) for t in totals]
     joined = scored
     for key in ("host", "domain", "suffix", "declared"):
-        joined = joined.join(small_side(materialize(_counts(scored, key, languages))), key, "left")
+        joined = joined.join(small_side(_counts(scored, key, languages)), key, "left")
 
     def others(key: str, i: int) -> Column:
         """Count of other rows with this key and language."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskloom.sources.storage import materialize
 
 ROUNDS = 50
+SMALL_BUCKET = 16
 
 
 # ------------------------------------------------------------- connected components
@@ -66,11 +67,11 @@ def at_least(threshold: int, both: Column, a: Column, b: Column) -> Column:
 
 
 def compared(pairs: DataFrame, items: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with how many items both have, ``both``, and set sizes ``na``, ``nb``."""
+    """``pairs`` (a, b, ...) with how many items both have, ``both``, and set sizes ``na``, ``nb``."""
     left = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
     right = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
     return pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.size(F.array_intersect("x", "y")).alias("both"),
+        *pairs.columns, F.size(F.array_intersect("x", "y")).alias("both"),
         F.size("x").alias("na"), F.size("y").alias("nb"))
 
 
@@ -79,7 +80,8 @@ def similar(pairs: DataFrame, threshold: int) -> DataFrame:
     return pairs.where(at_least(threshold, F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
-def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds: int = 1) -> DataFrame:
+def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds: int = 1,
+                      need: DataFrame | None = None) -> DataFrame:
     """(id, component) of all ids that link with another one.
 
     ``shared`` (sig, id) is stored and holds every pair that can link in some
@@ -88,30 +90,62 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
     First each bucket is compared with one leader only, the id whose signatures
     are in the largest buckets, which is linear in the rows and joins a group of
     near copies around its centre.  Further ``rounds`` compare what meets under
-    a leader with one more of them.  What is left are pairs under a leader in
-    different components; ``_between`` lists those of them that the counts
-    known by then let link.  So no link is lost, and a group of copies does not
-    cost its square.
+    a leader with one more of them.
+
+    What is left are pairs of one bucket in different components.  ``need`` (id,
+    need) says how many signatures an id shares with any id it links with, one
+    if not given.  Pairs that meet in small buckets are counted there.  An id
+    with fewer signatures in large buckets than it needs meets each partner in
+    a small one too.  For the others ``_between`` lists the pairs under a leader
+    that the counts known by then let link.  So no link is lost, and a group of
+    copies does not cost its square.
     """
-    size = shared.groupBy("sig").agg(F.floor(8 * F.log2(F.count(F.lit(1)))).alias("size"))
-    weight = materialize(shared.join(size, "sig").groupBy("id").agg(F.sum("size").alias("weight")))
+    sized = shared.join(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig")
+    large = (F.col("size") > SMALL_BUCKET).cast("int")
+    weight = materialize(sized.groupBy("id").agg(F.sum(F.floor(8 * F.log2("size"))).alias("weight"),
+                                                 F.sum(large).alias("large")))
+    if need is None:
+        need = weight.select("id", F.lit(1).alias("need"))
+    weight = materialize(weight.join(need, "id"))
     items = materialize(items_of(weight.select("id")))
-    leader = (shared.join(weight, "id").groupBy("sig")
-              .agg(F.max(F.struct("weight", "id"))["id"].alias("leader")))
-    first = shared.join(leader, "sig").where("id <> leader").select(
-        F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+    leader = sized.join(weight, "id").groupBy("sig").agg(
+        F.max(F.struct("weight", "id"))["id"].alias("leader"), F.max("size").alias("size"))
+    first = (shared.join(leader, "sig").where("id <> leader").groupBy(
+        F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.max(large).alias("large")))
     first = materialize(compared(first, items))
     links = materialize(similar(first, threshold))
     classes = materialize(components(links))
     for _ in range(1, rounds):
         links = materialize(links.unionByName(similar(compared(_next_leaders(first, classes), items), threshold)))
         classes = materialize(components(links))
-    more = materialize(similar(compared(_between(first, classes, items, threshold), items), threshold))
+    bound = first.where("large = 1").join(weight.where("large >= need").select(F.col("id").alias("a")), "a", "left_semi")
+    rest = _between(bound, classes, items, threshold).unionByName(_in_small_buckets(shared, weight, classes)).distinct()
+    rest = rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    more = materialize(similar(compared(rest, items), threshold))
     if more.isEmpty():
         return classes
     return components(links.unionByName(more))
 
 
+def _in_small_buckets(shared: DataFrame, weight: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of small buckets in different components that share enough signatures.
+
+    What the two may share in large buckets counts as shared.
+    """
+    placed = (shared.join(weight.select("id", "large", "need"), "id").join(classes, "id", "left")
+              .withColumn("component", F.coalesce("component", "id")))
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                      F.count(F.lit(1)).alias("size"))
+    rows = materialize(placed.join(mixed.where((F.col("low") != F.col("high")) & (F.col("size") <= SMALL_BUCKET))
+                                   .select("sig"), "sig"))
+    one = rows.select("sig", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "large", "need")])
+    two = rows.select("sig", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "large", "need")])
+    met = (one.join(two, "sig").where("id1 < id2 and component1 <> component2")
+           .groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("met"), F.max(F.least("large1", "large2")).alias("large"),
+                                      F.max(F.greatest("need1", "need2")).alias("need")))
+    return met.where("met + large >= need").select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+
+
 def _members(first: DataFrame, classes: DataFrame) -> DataFrame:
     """(leader, id, both, n, leader_n, component) of leaders under which several components meet."""
     members = (first.select(F.col("a").alias("id"), F.col("b").alias("leader"), "both",

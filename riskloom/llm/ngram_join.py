@@ -17,10 +17,10 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import identified, map_batches
+from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import mix, shingles, word_hashes, words_of
-from riskloom.sources.storage import materialize, small_side
+from riskloom.sources.storage import materialize
 
 THRESHOLD = 75
 BAND = 4  # a band reaches up to this many times its least size
@@ -96,7 +96,7 @@ def shingle_sets(docs: DataFrame, salt: int = 0) -> DataFrame:
 def items_of(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, items) for ``ids``, from the text of one document for each."""
     chosen = sets.join(ids, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = docs.join(small_side(materialize(chosen)), "doc_id")
+    wanted = docs.join(small_side(chosen), "doc_id")
 
     def run(batch):
         yield {"id": batch["id"], "items": [shingles(word_hashes(words_of(t))).view(np.int64)
@@ -126,10 +126,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = materialize(shared_only(rows))
     size = F.max("n_shingles")
     need = F.greatest(F.lit(1), F.floor(F.ceil(size * THRESHOLD / 100) / SPARE))
-    enough = (shared.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-              .join(sets.groupBy("id").agg(need.alias("need")), "id").where("c >= need").select("id"))
-    shared = materialize(shared_only(shared.join(enough, "id")))
-    classes = linked_components(shared, partial(items_of, known, sets), THRESHOLD)
+    enough = materialize(shared.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
+                         .join(sets.groupBy("id").agg(need.alias("need")), "id").where("c >= need"))
+    shared = materialize(shared_only(shared.join(enough, "id", "left_semi")))
+    classes = linked_components(shared, partial(items_of, known, sets), THRESHOLD, need=enough.select("id", "need"))
     placed = sets.select("doc_id", "n_shingles", "id").join(classes, "id", "left")
     # sets without shingles stay alone, all others go by class or by equal sets
     alone = F.col("n_shingles") == 0
@@ -143,4 +143,4 @@ def keep_one(docs: DataFrame, *others: str) -> DataFrame:
     """(doc_id, text) and ``others`` of the document with the least id of every component."""
     known = identified(docs, *others)
     kept = near_duplicates(known).where("doc_id = component_id").select("doc_id")
-    return known.join(small_side(materialize(kept)), "doc_id", "left_semi")
+    return known.join(small_side(kept), "doc_id", "left_semi")

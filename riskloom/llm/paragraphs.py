@@ -14,11 +14,11 @@ from functools import partial
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import identified, map_batches
+from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import WIDTH, mix, shingles, windows, word_hashes
 from riskloom.llm.spans import merged, without
-from riskloom.sources.storage import materialize, small_side
+from riskloom.sources.storage import materialize
 
 THRESHOLD = 75
 RECALL = 0.99
@@ -145,7 +145,7 @@ def _items(docs: DataFrame, found: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, items): the shingles of one occurrence of each line in ``ids``."""
     place = found.join(ids, "id").groupBy("id").agg(F.min(F.struct("doc_id", "start", "end")).alias("p"))
     listed = place.groupBy("p.doc_id").agg(F.collect_list(F.struct("id", "p.start", "p.end")).alias("lines"))
-    wanted = docs.join(small_side(materialize(listed)), "doc_id")
+    wanted = docs.join(small_side(listed), "doc_id")
 
     def run(batch):
         for text, lines in zip(batch["text"], batch["lines"]):
@@ -188,7 +188,7 @@ def cleaned(docs: DataFrame, *others: str) -> DataFrame:
     known = identified(docs, *others)
     spans = materialize(repeated_spans(known.select("doc_id", "text")))
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = known.join(small_side(materialize(listed)), "doc_id", "left")
+    joined = known.join(small_side(listed), "doc_id", "left")
 
     def run(batch):
         made = {name: batch[name] for name in ("doc_id", *others)}

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import identified
-from riskloom.sources.storage import materialize, small_side
+from riskloom.llm.common import identified, small_side
+from riskloom.sources.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -162,7 +162,7 @@ def redact_live(docs: DataFrame, repository: Column, owner: Column) -> DataFrame
     pieces = F.transform(edges, lambda x, i: F.substring(
         text, x["end"].cast("int") + 1,
         F.coalesce(F.get(edges, i + 1)["start"] - x["end"], F.length(text).cast("bigint")).cast("int")))
-    joined = docs.join(small_side(materialize(listed)), "doc_id", "left")
+    joined = docs.join(small_side(listed), "doc_id", "left")
     redacted = F.when(F.col("_live").isNotNull(), F.array_join(pieces, MARK)).otherwise(text)
     return (joined.withColumn("text", redacted).withColumn("n_chars", F.length("text").cast("bigint"))
             .select(*docs.columns))

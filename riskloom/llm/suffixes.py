@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.llm.common import identified, map_batches
+from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.shingles import mix
 from riskloom.llm.spans import merged, without
-from riskloom.sources.storage import materialize, small_side
+from riskloom.sources.storage import materialize
 
 Q = 50
 LENGTH = 2 * Q  # two q-grams make a string, so a pair of identifiers tells it
@@ -127,7 +127,7 @@ def refined(runs: DataFrame) -> DataFrame:
 def single_strings(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
     """(doc_id, low) of strings in ``open_runs`` of which an earlier copy exists."""
     listed = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("low", "span")).alias("runs"))
-    wanted = docs.join(small_side(materialize(listed)), "doc_id")
+    wanted = docs.join(small_side(listed), "doc_id")
 
     def rows(batch):
         ids = np.array(batch["doc_id"], np.int64)
@@ -150,13 +150,24 @@ def single_strings(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
     return pairs.withColumn("first", first).where(place != F.col("first")).select("doc_id", "low")
 
 
+def islands(spans: DataFrame) -> DataFrame:
+    """Overlapping and touching spans of a document joined into maximal ones."""
+    before = Window.partitionBy("doc_id").orderBy("start", "end")
+    reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("start") > F.col("reached"), F.lit(True)).cast("int")
+    return (spans.withColumn("reached", reached).withColumn("island", F.sum(new).over(before))
+            .groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .drop("island"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end) that together cover every byte of a string that also starts earlier."""
+    """(doc_id, start, end), maximal, of the bytes of strings that also start earlier."""
     found = materialize(refined(string_runs(docs)))
     whole = found.where("repeated").select("doc_id", F.col("low").alias("start"),
                                            (F.col("low") + F.col("span") + LENGTH).alias("end"))
     single = single_strings(docs, found.where("not repeated"))
-    return whole.unionByName(single.select("doc_id", F.col("low").alias("start"), (F.col("low") + LENGTH).alias("end")))
+    return islands(whole.unionByName(
+        single.select("doc_id", F.col("low").alias("start"), (F.col("low") + LENGTH).alias("end"))))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -171,7 +182,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     known = identified(docs)
     spans = materialize(repeated_spans(known))
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = known.join(small_side(materialize(listed)), "doc_id", "left")
+    joined = known.join(small_side(listed), "doc_id", "left")
 
     def rows(batch):
         made = {"doc_id": batch["doc_id"], "kept": [], "n_bytes": [], "n_removed": [], "n_spans": []}
