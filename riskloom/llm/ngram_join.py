@@ -79,30 +79,29 @@ def signatures(items: np.ndarray, salt: int = 0, threshold: int = THRESHOLD) ->
 
 
 def shingle_sets(docs: DataFrame, salt: int = 0) -> DataFrame:
-    """(doc_id, n_shingles, id, sigs) per document; ``id`` is a digest of the set."""
+    """(doc_id, n_shingles, set, sigs) per document; ``set`` is a digest of the shingles."""
     def run(batch):
-        made = {"doc_id": batch["doc_id"], "n_shingles": [], "id": [], "sigs": []}
+        made = {"doc_id": batch["doc_id"], "n_shingles": [], "set": [], "sigs": []}
         for text in batch["text"]:
             items = shingles(word_hashes(words_of(text)))
             sigs = signatures(items, salt)
             made["n_shingles"].append(len(items))
-            made["id"].append(xxhash.xxh3_64_intdigest(items.tobytes()) - 2**63)
+            made["set"].append(xxhash.xxh3_64_intdigest(items.tobytes()) - 2**63)
             made["sigs"].append(None if sigs is None else sigs.view(np.int64))
         yield made
 
-    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, id bigint, sigs array<bigint>")
+    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, set bigint, sigs array<bigint>")
 
 
-def items_of(docs: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, items) for ``ids``, from the text of one document for each."""
-    chosen = sets.join(ids, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = docs.join(small_side(chosen), "doc_id")
+def items_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, items) of the documents in ``ids``."""
+    wanted = docs.join(small_side(ids.select(F.col("id").alias("doc_id"))), "doc_id")
 
     def run(batch):
-        yield {"id": batch["id"], "items": [shingles(word_hashes(words_of(t))).view(np.int64)
-                                            for t in batch["text"]]}
+        yield {"id": batch["doc_id"], "items": [shingles(word_hashes(words_of(t))).view(np.int64)
+                                                for t in batch["text"]]}
 
-    return map_batches(wanted, run, "id bigint, items array<bigint>", ["id", "text"])
+    return map_batches(wanted, run, "id bigint, items array<bigint>", ["doc_id", "text"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -122,21 +121,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
     else:
         raise RuntimeError("no salt spreads every set over enough cells")
-    rows = sets.where("n_shingles > 0").select(F.explode("sigs").alias("sig"), "id")
-    shared = materialize(shared_only(rows))
-    size = F.max("n_shingles")
-    need = F.greatest(F.lit(1), F.floor(F.ceil(size * THRESHOLD / 100) / SPARE))
+    # from here on the first document of equal sets stands for all of them
+    filled = sets.where("n_shingles > 0")
+    equal = materialize(filled.select("doc_id", "n_shingles", "set").join(
+        filled.groupBy("set").agg(F.min("doc_id").alias("id")), "set").select("doc_id", "n_shingles", "id"))
+    single = filled.join(small_side(equal.where("doc_id <> id").select("doc_id")), "doc_id", "left_anti")
+    shared = materialize(shared_only(single.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))))
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * THRESHOLD / 100) / SPARE))
     enough = materialize(shared.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-                         .join(sets.groupBy("id").agg(need.alias("need")), "id").where("c >= need"))
+                         .join(equal.where("doc_id = id").select("id", need.alias("need")), "id").where("c >= need"))
     shared = materialize(shared_only(shared.join(enough, "id", "left_semi")))
-    classes = linked_components(shared, partial(items_of, known, sets), THRESHOLD, need=enough.select("id", "need"))
-    placed = sets.select("doc_id", "n_shingles", "id").join(classes, "id", "left")
-    # sets without shingles stay alone, all others go by class or by equal sets
-    alone = F.col("n_shingles") == 0
-    group = F.coalesce("component", "id")
-    least = placed.where(~alone).groupBy(group.alias("g")).agg(F.min("doc_id").alias("least"))
-    return (placed.withColumn("g", F.when(~alone, group)).join(least, "g", "left")
-            .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")))
+    classes = linked_components(shared, partial(items_of, known), THRESHOLD, need=enough.select("id", "need"))
+    placed = equal.join(classes, "id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    empty = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return placed.unionByName(empty)
 
 
 def keep_one(docs: DataFrame, *others: str) -> DataFrame:
