@@ -23,7 +23,7 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from riskloom.llm.common import map_batches, texts
 
-CACHED_WORDS = 150_000
+CACHED_WORDS = 400_000
 
 
 def byte_characters() -> dict[int, str]:
