@@ -7,7 +7,7 @@ from riskloom.llm.common import DOCUMENT_COLUMNS
 
 def test_stages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select(*DOCUMENT_COLUMNS).cache()
-    expected = {r.doc_id for r in quality.judge(docs, quality.RULES).where("kept").collect()}
+    expected = {r.doc_id for r in quality.judge(docs, quality.RULES).collect() if r.kept}
     before = docs
     for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, before, sf).cache()
