@@ -9,6 +9,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+DROP_SHUFFLE_FILES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
