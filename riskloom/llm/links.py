@@ -89,8 +89,10 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
 
     First each bucket is compared with one leader only, the id whose signatures
     are in the largest buckets, which is linear in the rows and joins a group of
-    near copies around its centre.  Further ``rounds`` compare what meets under
-    a leader with one more of them.
+    near copies around its centre.  Pairs that are neither needed as a bound
+    below nor share enough signatures under the leader wait for the small
+    buckets.  Further ``rounds`` compare what meets under a leader with one more
+    of them.
 
     What is left are pairs of one bucket in different components.  ``need`` (id,
     need) says how many signatures an id shares with any id it links with, one
@@ -110,8 +112,14 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
     items = materialize(items_of(weight.select("id")))
     leader = sized.join(weight, "id").groupBy("sig").agg(
         F.max(F.struct("weight", "id"))["id"].alias("leader"), F.max("size").alias("size"))
-    first = (shared.join(leader, "sig").where("id <> leader").groupBy(
-        F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.max(large).alias("large")))
+    met = (shared.join(leader, "sig").where("id <> leader").groupBy(
+        F.col("id").alias("a"), F.col("leader").alias("b"))
+        .agg(F.max(large).alias("large"), F.count(F.lit(1)).alias("met")))
+    one = weight.select(F.col("id").alias("a"), F.col("large").alias("own"), F.col("need").alias("need_a"))
+    two = weight.select(F.col("id").alias("b"), F.col("need").alias("need_b"))
+    bounding = (F.col("large") == 1) & (F.col("own") >= F.col("need_a"))
+    first = (met.join(one, "a").join(two, "b")
+             .where(bounding | (F.col("met") >= F.greatest("need_a", "need_b"))).select("a", "b", "large"))
     first = materialize(compared(first, items))
     links = materialize(similar(first, threshold))
     classes = materialize(components(links))
