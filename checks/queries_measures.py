@@ -19,7 +19,7 @@ from riskloom.sources.storage import materialize, scratch_path
 from riskloom.streaming import scoring as stream
 
 c = F.col
-REPLICATES = 20      # of the per-loan bootstrap, which SQL can follow
+REPLICATES = V.BOOTSTRAP_ITERATIONS  # of the per-loan bootstrap, which SQL can follow
 DRAWS = 100_000
 
 
@@ -512,7 +512,7 @@ def argmax_row(spark, sf):
     "oot", f"SELECT {re('a', 4)} AS champion_ks, {re('b', 4)} AS challenger_ks, {re('(b - a)', 4)} AS ks_diff, b > a AS challenger_wins "
     "FROM (SELECT (SELECT max(tpr - fpr) FROM champ) AS a, (SELECT max(tpr - fpr) FROM chall) AS b)", _CHAMP, _CHALL))
 def compare_ks(spark, sf):
-    return ranking.compare_ks(R.stored_oot(spark, sf))
+    return ranking.compare_ks(R.stored_oot(spark, sf), digits=models.PD_DIGITS)
 
 
 _RANKED = ("ranked AS (SELECT is_bad, row_number() OVER (ORDER BY chall_pd DESC, md5(CAST(id AS VARCHAR)), id) AS place FROM oot)")
@@ -682,7 +682,7 @@ def decide(spark, sf):
     loans = R.stored_oot(spark, sf)
     replicates = _replicates(loans)
     return champion.decide(champion.ztest_auc(bootstrap.summarize_replicates(replicates)),
-                           champion.bayesian_ab(replicates, DRAWS), ranking.compare_ks(loans))
+                           champion.bayesian_ab(replicates, DRAWS), ranking.compare_ks(loans, digits=models.PD_DIGITS))
 
 
 _AUC_OUT = ", ".join(f"{re(f'{m}.{v}', 6)} AS {m}_auc_{v}" for m in evaluation.MODELS for v in ("mean", "std", "lower", "upper"))

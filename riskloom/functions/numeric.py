@@ -26,7 +26,8 @@ def safe_ratio(a: Column, b: Column, digits: int = 4) -> Column:
 
 
 def clip(x: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(x, F.lit(float(low))), F.lit(float(high)))
+    """``x`` held between two numbers; NULL stays NULL, which ``greatest`` would skip."""
+    return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(float(low))), F.lit(float(high))))
 
 
 # Numerator and denominator of Hart's rational form of the normal

@@ -39,8 +39,8 @@ def score_odds(pd: Column, rounded: bool = True) -> Column:
     # pd = 0 has infinite odds: a NULL ratio falls through to the top score.
     odds = F.greatest(F.try_divide(1 - pd, pd), F.lit(V.ODDS_FLOOR))
     raw = F.lit(offset) + F.lit(factor) * F.log(odds)
-    score = F.when(pd == 0, F.lit(float(V.SCORE_MAX))).otherwise(
-        clip(raw, V.SCORE_MIN, V.SCORE_MAX))
+    score = F.when(pd == 0, F.lit(float(V.SCORE_MAX))).when(
+        pd.isNotNull(), clip(raw, V.SCORE_MIN, V.SCORE_MAX))
     return half_even(score) if rounded else score
 
 
@@ -48,7 +48,7 @@ def _tier_part(score: Column, part: int) -> Column:
     result = F
     for row in V.RISK_TIERS[:-1]:
         result = result.when(score >= row[0], row[part])
-    return result.otherwise(V.RISK_TIERS[-1][part])
+    return result.when(score.isNotNull(), V.RISK_TIERS[-1][part])
 
 
 def risk_tier(score: Column) -> Column:

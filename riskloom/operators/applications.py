@@ -27,7 +27,8 @@ def application_rules() -> dict[str, tuple[Column, str]]:
         "int_rate": ((c("int_rate") > 0) & (c("int_rate") <= 35), "above 0, at most 35"),
         "grade": (c("grade").isin(V.APPLICATION_GRADES), "A to G"),
         "emp_length_yrs": (c("emp_length_yrs").between(0, 10), "0 to 10"),
-        "annual_inc": (c("annual_inc") > 0, "above 0"),
+        # NaN is above every number in Spark
+        "annual_inc": ((c("annual_inc") > 0) & ~F.isnan("annual_inc"), "above 0"),
         "home_ownership": (c("home_ownership").isin(V.APPLICATION_OWNERSHIP),
                            "one of " + " ".join(V.APPLICATION_OWNERSHIP)),
         "dti": (c("dti").between(*V.DTI_RANGE), "0 to 60"),
@@ -37,7 +38,7 @@ def application_rules() -> dict[str, tuple[Column, str]]:
         "purpose": (c("purpose").isNotNull(), "present"),
     }
     for count in ("inq_last_6mths", "open_acc", "pub_rec", "total_acc", "delinq_2yrs"):
-        rules[count] = (c(count) >= 0, "0 or more")
+        rules[count] = ((c(count) >= 0) & ~F.isnan(count), "0 or more")
     return rules
 
 

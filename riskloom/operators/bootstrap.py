@@ -99,6 +99,10 @@ def bootstrap_replicates(scored: DataFrame, models: dict[str, str],
     call ever gets.  Spark has no Poisson function, hence the numpy draw; each
     cell is seeded by its number, so neither partitioning nor a rerun of a task
     changes a draw.  Cells are then joined by running sums per replicate.
+
+    Each model has ticks and draws of its own, so replicates of two models are
+    not pairs; ``replicate`` says so in its metadata, and a paired test refuses
+    them.  ``hashed_replicates`` draws the same loans for all models.
     """
     counts = ticks(long_scores(scored, models), ["model"], digits=ROUNDED_DIGITS)
     cells = counts.withColumn("cell", F.floor(F.col("prob") * CELL_COUNTS[0]))
@@ -110,7 +114,8 @@ def bootstrap_replicates(scored: DataFrame, models: dict[str, str],
     won = F.col("inside") + F.col("pos") * F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
     auc = F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg"))
     return (parts.withColumn("won", won).groupBy("model", "replicate").agg(auc.alias("auc"))
-            .where(F.col("auc").isNotNull()))
+            .where(F.col("auc").isNotNull())
+            .select("model", F.col("replicate").alias("replicate", metadata={"paired": False}), "auc"))
 
 
 def summarize_replicates(replicates: DataFrame, ci: float = 0.95) -> DataFrame:

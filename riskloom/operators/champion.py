@@ -28,12 +28,15 @@ def ztest_auc(summary: DataFrame, alpha: float = V.SIGNIFICANCE_LEVEL,
     """One-tailed z-test of the challenger's AUC against the champion's.
 
     Both bootstrap distributions count as independent.  Given paired
-    ``replicates`` the deviation is taken from the paired differences instead.
+    ``replicates`` the deviation is taken from the paired differences instead;
+    those of tick draws are not paired and raise a ValueError.
     """
     sides = summary.agg(
         _of(CHAMPION, "mean").alias("a"), _of(CHALLENGER, "mean").alias("b"),
         F.sqrt(_of(CHAMPION, "std") ** 2 + _of(CHALLENGER, "std") ** 2).alias("se"))
     if replicates is not None:
+        if not replicates.schema["replicate"].metadata.get("paired", True):
+            raise ValueError("replicates of tick draws are not paired; use hashed_replicates")
         paired = (replicates.groupBy("replicate")
                   .agg(_of(CHAMPION, "auc").alias("a"), _of(CHALLENGER, "auc").alias("b")))
         spread = paired.agg(F.stddev_pop(F.col("b") - F.col("a")).alias("se"))

@@ -36,9 +36,9 @@ def winsorize_at(df: DataFrame, columns: list[str], p: float = 0.99,
 
 
 def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """0-based equal-width bin; the last one is closed on both sides."""
+    """0-based equal-width bin; the last one is closed on both sides, NULL is in none."""
     position = F.floor((value - low) / (high - low) * bins)
-    return F.least(F.greatest(position, F.lit(0)), F.lit(bins - 1)).cast("int")
+    return F.when(value.isNotNull(), F.least(F.greatest(position, F.lit(0)), F.lit(bins - 1))).cast("int")
 
 
 def class_histogram(df: DataFrame, columns: list[str] = V.HISTOGRAM_COLUMNS,
@@ -76,11 +76,12 @@ def class_histogram(df: DataFrame, columns: list[str] = V.HISTOGRAM_COLUMNS,
 
 
 def score_histogram(scored: DataFrame, probability: str = "champ_pd", bins: int = 50) -> DataFrame:
-    """Loans per score bin and outcome on the unrounded min-max scale."""
+    """Loans per score bin and outcome on the unrounded min-max scale, loans without a PD left out."""
     score = score_minmax(F.col(probability), rounded=False)
     low, high = F.lit(float(V.SCORE_MIN)), F.lit(float(V.SCORE_MAX))
     width = (V.SCORE_MAX - V.SCORE_MIN) / bins
-    return (scored.select("is_bad", bin_number(score, low, high, bins).alias("bin"))
+    return (scored.where(F.col(probability).isNotNull())
+            .select("is_bad", bin_number(score, low, high, bins).alias("bin"))
             .groupBy("is_bad", "bin").agg(F.count("*").alias("total"))
             .withColumn("left_edge", low + F.col("bin") * width))
 
@@ -89,8 +90,9 @@ def correlation_matrix(df: DataFrame, columns: list[str] = V.CORRELATION_COLUMNS
     """Pearson correlations over rows without any NULL, as (row, column, corr).
 
     Two passes: means, then sums of centred products, one plain sum per pair.
+    The complete rows are written once, so ``df`` itself is computed once.
     """
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    complete = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna())
     means = complete.agg(*[F.avg(c).alias(c) for c in columns]).select(F.struct(*columns)).scalar()
     centred = complete.withColumn("_mean", means).selectExpr(
         *[f"`{c}` - _mean.`{c}` AS `{c}`" for c in columns])

@@ -73,11 +73,12 @@ def calibration_curve(scored: DataFrame, probability: str = "prob", bins: int =
                       by: list[str] = ()) -> DataFrame:
     """Mean prediction and bad share per uniform bin; empty bins are absent.
 
-    A probability on a bin edge belongs to the lower bin.
+    A probability on a bin edge belongs to the lower bin.  Loans without a
+    probability are in no bin.
     """
     prob = F.col(probability)
     number = F.least(F.greatest(F.ceil(prob * bins), F.lit(1)), F.lit(bins)).cast("int")
-    return (scored.select(*by, number.alias("bin"), prob.alias("p"), "is_bad")
+    return (scored.where(prob.isNotNull()).select(*by, number.alias("bin"), prob.alias("p"), "is_bad")
             .groupBy(*by, "bin")
             .agg(F.avg("p").alias("mean_predicted"), F.avg("is_bad").alias("bad_share"),
                  F.count("*").alias("total")))

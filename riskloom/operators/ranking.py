@@ -27,10 +27,10 @@ def long_scores(scored: DataFrame, models: dict[str, str], keep: list[str] = ())
 
 def ticks(scored: DataFrame, by: list[str] = (), probability: str = "prob",
           digits: int | None = None) -> DataFrame:
-    """Bad and good counts per distinct probability."""
+    """Bad and good counts per distinct probability; loans without one have no rank and are left out."""
     prob = F.col(probability)
     prob = prob if digits is None else F.round(prob, digits)
-    return (scored.groupBy(*by, prob.alias("prob"))
+    return (scored.where(F.col(probability).isNotNull()).groupBy(*by, prob.alias("prob"))
             .agg(F.sum("is_bad").cast("bigint").alias("pos"),
                  F.sum(1 - F.col("is_bad")).cast("bigint").alias("neg")))
 
@@ -215,9 +215,11 @@ def _bads_in_top(scored: DataFrame, table: DataFrame, cuts: Column, key: str,
                          F.col(key).alias("row_key"), _mixed(key).alias("mixed"))
     rows = rows.withColumn("bucket", F.substring("mixed", 1, 4))
     carried = ["cut", "m", "n_pos", "n_neg"]
-    buckets = (rows.join(split_ticks, "prob")
-               .groupBy(*carried, "bads", "rest", "prob", "bucket")
+    # counted before the join: a hot tick is repeated per cut as 65,536 buckets, not as loans
+    counted = (rows.join(F.broadcast(split_ticks.select("prob").distinct()), "prob", "left_semi")
+               .groupBy("prob", "bucket")
                .agg(F.count("*").alias("n"), F.sum("is_bad").alias("pos")))
+    buckets = counted.join(split_ticks, "prob")
     order = W.partitionBy("cut").orderBy("bucket")
     seen = _before("n", order)
     chosen = (buckets.withColumns({"seen": seen, "pos_seen": _before("pos", order)})

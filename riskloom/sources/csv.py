@@ -34,6 +34,7 @@ def _read_known(spark: SparkSession, path: str, types: dict[str, T.DataType],
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
+    options["enforceSchema"] = False  # a file with its columns in another order raises
     missing = [name for name in types if name not in header]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
