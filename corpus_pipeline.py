@@ -29,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the paragraphs that an earlier one has; ``n_chars`` follows."""
-    cleaned = paragraphs.cleaned(docs, "lang", "source")
+    """All documents without the paragraphs and passages that an earlier one has; ``n_chars`` follows."""
+    cleaned = paragraphs.cleaned(docs, "lang", "source", unwrap=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(*DOCUMENT_COLUMNS)
 
 

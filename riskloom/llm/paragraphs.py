@@ -4,6 +4,11 @@ A line is a paragraph.  Longer lines are also cut at places that only the words
 around them choose, so a passage inside a longer line gives the same pieces
 wherever it stands.  Whole lines get bands tuned for high recall and link by
 exact Jaccard similarity; pieces link when they are equal.
+
+The rest without lines that are only similar is also read as words without lines, and
+strings of it that are repeated go as far as they reach to both sides, so a
+passage goes wherever it stands in a line and however it is wrapped.  A changed
+word in it stays, unless its line is like another one.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from functools import partial
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.llm import suffixes
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import WIDTH, mix, shingles, windows, word_hashes
@@ -24,6 +30,7 @@ THRESHOLD = 75
 RECALL = 0.99
 REACH = 6  # a line is cut before a word whose hash is the least among so many on either side
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+BLANKS = re.compile(rb"[\x20\x09\x0B-\x0D]*")
 
 
 def tune_bands(threshold: float, recall: float, background: float = 0.1,
@@ -158,10 +165,11 @@ def _items(docs: DataFrame, found: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end): paragraphs of which an earlier one is in the same component.
+    """(doc_id, start, end, similar): paragraphs of which an earlier one is in the same component.
 
     ``docs`` has unique ids.  Earlier means a smaller ``doc_id`` or the same
     document and a smaller start; the first paragraph of a component stays.
+    ``similar`` ones do not equal that first one.
     """
     found = materialize(units(docs))
     rows = found.where("sigs is not null").select(F.explode("sigs").alias("sig"), "id")
@@ -173,28 +181,94 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                         .withColumn("component", F.coalesce("component", "id")))
     firsts = (by_id.groupBy("component").agg(F.sum("n").alias("total"), F.min("first").alias("first"))
               .where("total > 1").select("component", "first"))
-    known = by_id.select("id", "component").join(firsts, "component").select("id", "first")
+    known = (by_id.select("id", "component", F.col("first").alias("own")).join(firsts, "component")
+             .select("id", "first", (F.col("own") != F.col("first")).alias("similar")))
     return (found.select("doc_id", "start", "end", "id").join(known, "id")
             .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
-            .select("doc_id", "start", "end"))
+            .select("doc_id", "start", "end", "similar"))
+
+
+def passages(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Where the words stand in ``data`` that ``spans`` of its ``unwrapped`` form hold as a whole.
+
+    A run ends before the next word of its line; one that starts a line takes the line feed too.
+    """
+    words = np.array([m.span() for m in WORD.finditer(data)], np.int64).reshape(-1, 2)
+    ends = np.cumsum(words[:, 1] - words[:, 0] + 1) - 1
+    starts = ends - (words[:, 1] - words[:, 0])
+    found = []
+    for start, end in merged(spans):
+        first, last = np.searchsorted(starts, start), np.searchsorted(ends, end, "right") - 1
+        if first <= last:
+            a, b = words[first, 0], words[last, 1]
+            rest = BLANKS.match(data, b).end()
+            line = data.rfind(b"\n", 0, a) + 1
+            if not data[line:a].strip() and data[rest:rest + 1] in (b"\n", b""):
+                a, rest = line, min(rest + 1, len(data))
+            found.append((int(a), int(rest)))
+    return merged(found)
+
+
+def unwrapped(text: str) -> str:
+    """The words of ``text``, A-Z in lower case, with a space between them."""
+    return b" ".join(text.encode().lower().split()).decode()
+
+
+def _pairs(spans: list | None) -> list[tuple[int, int]]:
+    return [(x["start"], x["end"]) for x in spans or []]
+
+
+def _similar(spans: list | None) -> list[tuple[int, int]]:
+    return merged(_pairs([x for x in spans or [] if x["similar"]]))
+
+
+def replaced(spans: list[tuple[int, int]], removed: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``spans`` of what stays without ``removed`` as spans of the whole."""
+    sizes = np.cumsum([0] + [b - a for a, b in removed])
+    joints = np.array([a for a, _ in removed], np.int64) - sizes[:-1]
+    return [(int(a + sizes[np.searchsorted(joints, a, "right")]), int(b + sizes[np.searchsorted(joints, b, "left")]))
+            for a, b in spans]
+
+
+def repeated_passages(joined: DataFrame) -> DataFrame:
+    """(doc_id, start, end) in the unwrapped rests without similar lines of ``joined`` (doc_id, text, spans)."""
+    def run(batch):
+        yield {"doc_id": batch["doc_id"], "text": [
+            unwrapped(without(text.encode(), _similar(spans)).decode())
+            for text, spans in zip(batch["text"], batch["spans"])]}
+
+    rests = map_batches(joined, run, "doc_id bigint, text string", ["doc_id", "text", "spans"])
+    return suffixes.repeated_spans(materialize(rests))
 
 
-def cleaned(docs: DataFrame, *others: str) -> DataFrame:
+def cleaned(docs: DataFrame, *others: str, unwrap: bool = False) -> DataFrame:
     """(doc_id, text, n_spans, n_removed) and ``others``: texts without repeated paragraphs.
 
-    ``n_removed`` counts bytes.  Null texts count as empty; rows without id and
-    repeated ids are treated as ``identified`` says.
+    With ``unwrap`` they are without repeated passages too, which are strings of
+    at least ``suffixes.LENGTH`` bytes in the unwrapped rest.  ``n_removed``
+    counts bytes.  Null texts count as empty; rows without id and repeated ids
+    are treated as ``identified`` says.
     """
     known = identified(docs, *others)
     spans = materialize(repeated_spans(known.select("doc_id", "text")))
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "similar")).alias("spans"))
     joined = known.join(small_side(listed), "doc_id", "left")
+    if unwrap:
+        listed = repeated_passages(joined).groupBy("doc_id").agg(
+            F.collect_list(F.struct("start", "end")).alias("more"))
+        joined = joined.join(small_side(listed), "doc_id", "left")
+    else:
+        joined = joined.withColumn("more", F.lit(None).cast("array<struct<start:bigint,end:bigint>>"))
 
     def run(batch):
         made = {name: batch[name] for name in ("doc_id", *others)}
         made |= {"text": [], "n_spans": [], "n_removed": []}
-        for text, found in zip(batch["text"], batch["spans"]):
-            runs = merged([(x["start"], x["end"]) for x in found or []])
+        for text, found, more in zip(batch["text"], batch["spans"], batch["more"]):
+            runs = merged(_pairs(found))
+            if more:
+                removed = _similar(found)
+                inner = passages(without(text.encode(), removed), _pairs(more))
+                runs = merged(runs + replaced(inner, removed))
             made["text"].append(without(text.encode(), runs).decode() if runs else text)
             made["n_spans"].append(len(runs))
             made["n_removed"].append(sum(b - a for a, b in runs))
@@ -204,8 +278,9 @@ def cleaned(docs: DataFrame, *others: str) -> DataFrame:
     return map_batches(joined, run, "doc_id bigint, text string, n_spans bigint, n_removed bigint" + kinds)
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, unwrap: bool = False) -> DataFrame:
     """One row per document: what was removed and a digest of what stays."""
     kept: Column = F.sha2("text", 256)
-    return cleaned(docs).select("doc_id", (F.octet_length("text") + F.col("n_removed")).cast("bigint").alias("n_bytes"),
-                                "n_removed", "n_spans", kept.alias("kept_sha256"))
+    return cleaned(docs, unwrap=unwrap).select(
+        "doc_id", (F.octet_length("text") + F.col("n_removed")).cast("bigint").alias("n_bytes"),
+        "n_removed", "n_spans", kept.alias("kept_sha256"))

@@ -64,7 +64,7 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_paragraph_minhash")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return paragraphs.digests(table(spark, sf, "documents"))
+    return paragraphs.digests(table(spark, sf, "documents"), unwrap=True)
 
 
 @query("op2_bucket_pointer_dedup")

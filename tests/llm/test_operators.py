@@ -343,6 +343,43 @@ def test_passage_inside_other_lines_is_removed(spark):
         assert all(f"own{i}n{k}" in found[i].text for k in range(25))
 
 
+def test_passage_goes_however_it_is_wrapped(spark):
+    """In one line, in short lines, in lines that break elsewhere, and with one word changed."""
+    shared = [f"shared{i}" for i in range(60)]
+    changed = shared[:30] + ["Other"] + shared[31:]
+    forms = [(shared, 200)] + [(words, n) for words in (shared, changed) for n in (3, 4, 11, 17, 200)]
+
+    def own(d, name):
+        return [f"{name}{d}n{i}" for i in range(40)]
+
+    texts = []
+    for d, (words, n) in enumerate(forms):
+        words = own(d, "own") + words + own(d, "more")
+        texts.append("\n".join(" ".join(words[i:i + n]) for i in range(0, len(words), n)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = by_id(paragraphs.cleaned(docs, unwrap=True))
+    assert found[0].text == texts[0]
+    for d, (words, _) in list(enumerate(forms))[1:]:
+        left = found[d].text.split()
+        assert [w for w in left if w != "Other"] == own(d, "own") + own(d, "more")
+        assert found[d].n_removed == len(texts[d]) - len(found[d].text) and found[d].n_spans >= 1
+
+
+def test_passages_keep_line_feeds_of_what_stays():
+    data = b"a b\n c d \ne f"
+    plain = paragraphs.unwrapped(data.decode())
+    assert plain == "a b c d e f"
+
+    def without(*spans):
+        return paragraphs.without(data, paragraphs.passages(data, list(spans)))
+
+    assert without((4, 7)) == b"a b\ne f"
+    assert without((2, 5)) == b"a d \ne f"
+    assert without((3, 6)) == b"a b\n d \ne f"
+    assert without((1, 2), (5, 6)) == data
+    assert paragraphs.replaced([(0, 3), (3, 8)], [(3, 5), (7, 9)]) == [(0, 3), (5, 12)]
+
+
 # ------------------------------------------------------------------ 2
 def test_repeated_strings(case):
     docs, texts = case
