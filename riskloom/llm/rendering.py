@@ -31,6 +31,7 @@ CLOSES = {  # a start tag closes these if they are open, but not beyond the barr
     **dict.fromkeys(["thead", "tbody", "tfoot"], ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "p"}, {"table"})),
     "body": ({"head"}, set()),
 }
+IN_HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
 BARRIERS = {"table", "td", "th", "html", "body"}  # an end tag of something else does not reach beyond
 DEEPEST = 200  # what is nested deeper becomes a sibling
 
@@ -58,12 +59,22 @@ class Builder:
 
     def text(self, data: str) -> None:
         if data:
+            if data.strip(" \t\r\n\f"):
+                self.leave_head()
             self.open[-1].children.append(html.unescape(data))
 
+    def leave_head(self) -> None:
+        """What cannot stand in a head ends it, and the body begins."""
+        if self.open[-1].tag == "head":
+            self.open[-1] = Node("body")
+            self.open[-2].children.append(self.open[-1])
+
     def start(self, tag: str, source: str) -> None:
         if tag == "html":
             self.open[0].attributes |= attributes(source)
             return
+        if tag not in IN_HEAD and tag != "body":
+            self.leave_head()
         if tag in CLOSES:
             closed, barrier = CLOSES[tag]
             for depth in range(len(self.open) - 1, 0, -1):

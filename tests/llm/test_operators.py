@@ -468,6 +468,17 @@ def test_page_text(page, text):
     assert rendering.page_text(page).replace("\n\n\n", "\n\n") == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>T</title><p>text", "text"),
+    ("<head><meta charset=utf-8><title>T</title>text <b>more</b>", "text more"),
+    ("<title>T</title><p>text", "text"),
+    ("<html><head><style>p{}</style><div>a</div></head><body class=x>b</body></html>", "a\nb"),
+    ("<head><noscript><link></noscript><script>x</script>\n<body>a", "a"),
+])
+def test_pages_without_head_and_body_tags(page, text):
+    assert rendering.page_text(page) == text
+
+
 def test_pages_keep_every_row(spark):
     rows = [(1, "u", "<p>x"), (1, "u", "<p>x"), (2, None, None), (None, "u", "")]
     found = rendering.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
