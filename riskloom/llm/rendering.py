@@ -35,8 +35,11 @@ IN_HEAD = set("base basefont bgsound head link meta noframes noscript script sty
 BARRIERS = {"table", "td", "th", "html", "body"}  # an end tag of something else does not reach beyond
 DEEPEST = 200  # what is nested deeper becomes a sibling
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+# A quote counts only right after "="; elsewhere it is part of a name or value.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+NAMED = rf"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE}?+)?+"""
+TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{NAMED})*+)>""", re.S)
+ATTRIBUTE = re.compile(rf"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE}))?""")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -167,22 +170,49 @@ class Page:
             self.gap = spaced
 
 
+def holds_cells(node: Node) -> bool:
+    """Whether cells of the row that ``node`` is in are inside of it."""
+    waiting = [node]
+    while waiting:
+        part = waiting.pop()
+        if part.tag in ("td", "th"):
+            return True
+        if part.tag != "table":
+            waiting += [c for c in part.children if isinstance(c, Node)]
+    return False
+
+
 def table_lines(node: Node) -> list[str]:
-    """Rows of cells, each column as wide as its widest cell; captions come first."""
+    """Rows of cells, each column as wide as its widest cell; captions come first.
+
+    What is neither a row nor a cell comes first too; cells inside of it are cells.
+    """
     rows, above = [], []
 
+    def cells(row: Node) -> list[str]:
+        found, waiting = [], row.children[::-1]
+        while waiting:
+            child = waiting.pop()
+            if isinstance(child, str):
+                above.extend([child.strip()] if child.strip() else [])
+            elif visible(child) and child.tag in ("td", "th"):
+                found.append(" ".join(x for x in render(child) if x))
+            elif visible(child) and holds_cells(child):
+                waiting += child.children[::-1]
+            elif visible(child):
+                above.extend(x for x in render(Node("div", children=[child])) if x)
+        return found
+
     def collect(part: Node) -> None:
         for child in part.children:
             if isinstance(child, str):
                 above.extend([child.strip()] if child.strip() else [])
             elif visible(child) and child.tag == "tr":
-                rows.append([" ".join(x for x in render(c) if x) for c in child.children
-                             if isinstance(c, Node) and c.tag in ("td", "th") and visible(c)])
-                above.extend(c.strip() for c in child.children if isinstance(c, str) and c.strip())
+                rows.append(cells(child))
             elif visible(child) and child.tag in ("thead", "tbody", "tfoot"):
                 collect(child)
             elif visible(child):
-                above.extend(x for x in render(child) if x)
+                above.extend(x for x in render(Node("div", children=[child])) if x)
 
     collect(node)
     widths = [max(len(row[i]) for row in rows if i < len(row)) for i in range(max(map(len, rows), default=0))]

@@ -479,6 +479,20 @@ def test_pages_without_head_and_body_tags(page, text):
     assert rendering.page_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><form><td>x</td></form></tr></table>", "x"),
+    ("<table><tr><a>x</a><td>y</td></table>", "x\ny"),
+    ("<table><tr><td>a<form><td>b<td>c</form></table>", "a  b  c"),
+    ("<table><tr><img alt=pic><td>y</table>", "pic\ny"),
+    ("<p title=don't>text it's fine</p>", "text it's fine"),
+    ("""<a href="x"">link</a> said "hi" <i>there</i>""", 'link said "hi" there'),
+    ("""<p title='a > b' x"="hidden">c <b d = "e > f">g""", "c g"),
+    ("<p a=b'c>d</p>e'>f", "d\n\ne'>f"),
+])
+def test_pages_lose_no_visible_text(page, text):
+    assert rendering.page_text(page) == text
+
+
 def test_pages_keep_every_row(spark):
     rows = [(1, "u", "<p>x"), (1, "u", "<p>x"), (2, None, None), (None, "u", "")]
     found = rendering.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
