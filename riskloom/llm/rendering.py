@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import html
 import re
+import sys
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -33,7 +35,7 @@ CLOSES = {  # a start tag closes these if they are open, but not beyond the barr
 }
 IN_HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
 BARRIERS = {"table", "td", "th", "html", "body"}  # an end tag of something else does not reach beyond
-DEEPEST = 200  # what is nested deeper becomes a sibling
+CALLS = 4  # of Python functions for a level of the tree, at most
 
 # A quote counts only right after "="; elsewhere it is part of a name or value.
 VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
@@ -59,6 +61,18 @@ class Builder:
 
     def __init__(self) -> None:
         self.open = [Node("html")]
+        self.tags = Counter()  # of what is open
+        self.deepest = 1
+
+    def enter(self, node: Node) -> None:
+        self.open.append(node)
+        self.tags[node.tag] += 1
+        self.deepest = max(self.deepest, len(self.open))
+
+    def leave(self, depth: int) -> None:
+        """Close what is open from ``depth`` on."""
+        self.tags.subtract(n.tag for n in self.open[depth:])
+        del self.open[depth:]
 
     def text(self, data: str) -> None:
         if data:
@@ -69,8 +83,10 @@ class Builder:
     def leave_head(self) -> None:
         """What cannot stand in a head ends it, and the body begins."""
         if self.open[-1].tag == "head":
-            self.open[-1] = Node("body")
-            self.open[-2].children.append(self.open[-1])
+            self.leave(len(self.open) - 1)
+            body = Node("body")
+            self.open[-1].children.append(body)
+            self.enter(body)
 
     def start(self, tag: str, source: str) -> None:
         if tag == "html":
@@ -80,30 +96,31 @@ class Builder:
             self.leave_head()
         if tag in CLOSES:
             closed, barrier = CLOSES[tag]
-            for depth in range(len(self.open) - 1, 0, -1):
+            some = any(self.tags[t] for t in closed)
+            for depth in range(len(self.open) - 1, 0, -1) if some else ():
                 if self.open[depth].tag in barrier:
                     break
-                if self.open[depth].tag in closed and not any(n.tag in barrier for n in self.open[depth:]):
+                if self.open[depth].tag in closed:
                     least = depth
                     while least > 1 and self.open[least - 1].tag in closed:
                         least -= 1
-                    del self.open[least:]
+                    self.leave(least)
                     break
         node = Node(tag, attributes(source))
         self.open[-1].children.append(node)
-        if tag not in VOID and not source.rstrip().endswith("/") and len(self.open) < DEEPEST:
-            self.open.append(node)
+        if tag not in VOID and not source.rstrip().endswith("/"):
+            self.enter(node)
 
     def end(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
+        for depth in range(len(self.open) - 1, 0, -1) if self.tags[tag] else ():
             if self.open[depth].tag == tag:
-                del self.open[depth:]
+                self.leave(depth)
                 return
             if self.open[depth].tag in BARRIERS and tag not in BARRIERS | {"tr", "thead", "tbody", "tfoot"}:
                 return
 
 
-def parse(page: str) -> Node:
+def built(page: str) -> Builder:
     builder, at = Builder(), 0
     while token := TOKEN.search(page, at):
         builder.text(page[at:token.start()])
@@ -122,7 +139,7 @@ def parse(page: str) -> Node:
                 builder.text(inner)
             builder.end(tag)
     builder.text(page[at:])
-    return builder.open[0]
+    return builder
 
 
 def visible(node: Node) -> bool:
@@ -269,11 +286,17 @@ def render(node: Node, keep: bool = False) -> list[str]:
 
     visit(node, keep or node.tag == "pre")
     page.flush()
-    return [re.sub(r"[ \t]+$", "", x) for x in page.lines]
+    return [x.rstrip(" \t") for x in page.lines]
 
 
 def page_text(source: str) -> str:
-    return "\n".join(render(parse(source)))
+    """The visible text; Python may call as deep as the page nests, which takes no C stack."""
+    builder, limit = built(source), sys.getrecursionlimit()
+    try:
+        sys.setrecursionlimit(limit + CALLS * builder.deepest)
+        return "\n".join(render(builder.open[0]))
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def extract(pages: DataFrame) -> DataFrame:

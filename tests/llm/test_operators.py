@@ -493,6 +493,18 @@ def test_pages_lose_no_visible_text(page, text):
     assert rendering.page_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "font", "b", "section", "blockquote", "ul><li", "table><tr><td"])
+@pytest.mark.parametrize("depth", [300, 1500])
+def test_pages_nested_deep(tag, depth):
+    inner = ("<p hidden>no</p><div style='display:none'><div>no</div></div><table><tr><td>a<td>b<tr><td>c<td>d</table>"
+             "<ol><li>e<li>f</ol><div>g</div></u>h")
+    lines = [x.strip(" -") for x in rendering.page_text(f"<{tag}>" * depth + inner).split("\n") if x.strip()]
+    if "td" in tag:
+        assert lines == ["a  b c  d 1. e 2. f g h"]
+    else:
+        assert lines == ["a  b", "c  d", "1. e", "2. f", "g", "h"]
+
+
 def test_pages_keep_every_row(spark):
     rows = [(1, "u", "<p>x"), (1, "u", "<p>x"), (2, None, None), (None, "u", "")]
     found = rendering.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
