@@ -66,3 +66,56 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
 FROM (SELECT doc_id FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id) d LEFT JOIN spans s ON d.doc_id = s.doc_id
 GROUP BY d.doc_id
 """
+
+def _codes() -> str:
+    """Codebooks round by round; every part of 16 components is one list, sums add up component by component."""
+    rounds = [
+        """WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024e0 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+             row_number() OVER () AS row FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))),
+parts AS (SELECT row, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x
+          FROM kept, (VALUES (0), (1), (2), (3)) AS t(p)),
+first AS (SELECT row, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept
+          QUALIFY e < 256),
+book0 AS (SELECT p, e, x AS c FROM parts JOIN first USING (row))"""]
+    near = """near{k} AS (SELECT row, p, x, arg_min(e, d * 256 + e) AS e, min(d) AS d
+          FROM (SELECT row, parts.p, x, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+                FROM parts JOIN book{k} ON parts.p = book{k}.p) GROUP BY row, p, x)"""
+    for k in range(4):
+        rounds.append(near.format(k=k))
+        rounds.append(f"""means{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+          FROM (SELECT p, e, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+                FROM (SELECT p, e, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM near{k}) GROUP BY p, e, i)
+          GROUP BY p, e),
+book{k + 1} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m ON b.p = m.p AND b.e = m.e)""")
+    rounds.append(near.format(k=4))
+    rounds.append("""coded AS (SELECT row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM near4 GROUP BY row),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM book4)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (row), books""")
+    return ",\n".join(rounds[:-1]) + ",\n" + rounds[-1]
+
+
+CODES = _codes()
+
+# Windows of an item are lists of its words; documents are cut into lists of the same lengths.
+LEAKS = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+               FROM documents),
+tests AS (SELECT item_id, regexp_extract_all(translate(text,
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM benchmark WHERE text IS NOT NULL),
+phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM tests WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+windows AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g
+            FROM (SELECT doc_id, w, size, unnest(range(1, CAST(len(w) - size + 2 AS BIGINT))) AS i FROM words, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, i, windows.size, item_id FROM windows JOIN phrases USING (g) WHERE windows.size = phrases.size),
+hits AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) FROM found) GROUP BY doc_id),
+listed AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM found GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import (bpe, language, ngram_join, oracles, packing, paragraphs, quality,
-                         rendering, secrets, sketches, suffixes)
+from riskloom.llm import (bpe, decontamination, language, ngram_join, oracles, packing, paragraphs,
+                         quality, rendering, secrets, sketches, suffixes, vectors)
 from riskloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,14 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_page_layout")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return rendering.extract(table(spark, sf, "pages"))
+
+
+@query("op12_limb_split_codes", oracles.CODES)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.report(*vectors.compress(table(spark, sf, "embeddings")))
+
+
+@query("op13_fm_index_decontamination", oracles.LEAKS)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontamination.report(leaks)
