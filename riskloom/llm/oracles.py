@@ -119,3 +119,63 @@ SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+# Backward, turn by turn: for each state the cheapest (cost, audit, lines) of all that is to come,
+# the audit deciding between equal costs.  States: 0 start, 1 system, 2 user, 3 assistant.
+_OPTIONS = """least({{'c': {d}.c + 2, 'a': 'D' || {d}.a, 't': {d}.t}}, {others})"""
+_NOTHING = "{'c': 1000000000000, 'a': '~', 't': ''}"
+
+
+def _state(number: int) -> str:
+    after = {0: "r.q0", 1: "r.q1", 2: "r.q2", 3: "r.q3"}
+    follows = (2, 2, 3, 2)[number]
+    keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[number]
+    line = "role || ':' || text || chr(10) || "
+    kept = " ".join(f"WHEN fault IN ('', 'truncated') AND role[1] = '{initial}' THEN "
+                    f"{{'c': {after[to]}.c + late, 'a': 'K' || {after[to]}.a, 't': {line}{after[to]}.t}}"
+                    for initial, to in keeps.items())
+    name = {2: "user", 3: "assistant"}[follows]
+    reroled = (f"CASE WHEN fault IN ('', 'truncated') THEN {{'c': {after[follows]}.c + late + 1, 'a': 'R' || {after[follows]}.a, "
+               f"'t': '{name}:' || text || chr(10) || {after[follows]}.t}} ELSE {_NOTHING} END")
+    return _OPTIONS.format(d=after[number], others=f"CASE {kept} ELSE {_NOTHING} END, {reroled}")
+
+
+def _insert(state: str, to: str, name: str) -> str:
+    return f"least({state}, {{'c': {to}.c + 5, 'a': 'I' || {to}.a, 't': '{name}:' || chr(10) || {to}.t}})"
+
+
+CONVERSATIONS = rf"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+bits AS (SELECT k, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(k) + 1), lambda i: ascii(k[i])::BIGINT)),
+             lambda x, b: list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                 lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END)) AS crc FROM (SELECT DISTINCT k FROM c)),
+d AS (SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN m = 1 THEN '' WHEN m = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE WHEN m = 0 THEN 0 WHEN m = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM (SELECT c.*, xor(crc, 4294967295) % 20 AS m FROM c JOIN bits USING (k))),
+n AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS size, lag(role[1]) OVER w || role[1] AS pair,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+      FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS late FROM (
+      SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM n)),
+r AS (SELECT conv_id, max(size) AS left_, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS q0, {{'c': 10::BIGINT, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)}} AS q1,
+             {{'c': 5::BIGINT, 'a': 'I', 't': 'assistant:' || chr(10)}} AS q2, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS q3
+      FROM f GROUP BY conv_id
+      UNION ALL
+      SELECT conv_id, left_, {_insert('p0', 'u', 'user')}, {_insert('p1', 'u', 'user')}, u, {_insert('p3', 'p2', 'user')}
+      FROM (SELECT *, {_insert('p2', 'p3', 'assistant')} AS u
+            FROM (SELECT r.conv_id, r.left_ - 1 AS left_, {_state(0)} AS p0, {_state(1)} AS p1, {_state(2)} AS p2, {_state(3)} AS p3
+                  FROM r JOIN f ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.left_ = f.i))),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(q0.c, 0) AS cost,
+       coalesce(q0.a, '') AS audit, sha256(coalesce(q0.t[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted ON a.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN (SELECT * FROM r WHERE left_ = 0) e ON a.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

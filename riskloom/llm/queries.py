@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import (bpe, decontamination, language, ngram_join, oracles, packing, paragraphs,
+from riskloom.llm import (bpe, conversations, decontamination, language, ngram_join, oracles, packing, paragraphs,
                          quality, rendering, secrets, sketches, suffixes, vectors)
 from riskloom.llm.common import table
 
@@ -91,6 +91,12 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return rendering.extract(table(spark, sf, "pages"))
 
 
+@query("op11_checkpointed_repair", oracles.CONVERSATIONS)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf, "conversations"))
+    return conversations.report(conversations.repair(damaged))
+
+
 @query("op12_limb_split_codes", oracles.CODES)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.report(*vectors.compress(table(spark, sf, "embeddings")))
