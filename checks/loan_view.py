@@ -61,7 +61,7 @@ LOAN_COLUMNS = {
 
 # The rest of the accepted-loans file: free text and what is known only later.
 LATER_COLUMNS = {
-    "title": "concat('Loan \"', c_name, '\", ', o_orderpriority)",
+    "title": "concat('Loan \"', c_name, '\",', CASE WHEN o_orderkey % 40 = 3 THEN chr(10) ELSE ' ' END, o_orderpriority)",
     "initial_list_status": "CASE WHEN o_orderkey % 2 = 0 THEN 'w' ELSE 'f' END",
     "out_prncp": "CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice / 25e0 ELSE 0e0 END",
     "total_pymnt": "o_totalprice / 10e0",
@@ -76,7 +76,8 @@ LATER_COLUMNS = {
 REJECTED_VIEW = {
     "Amount Requested": "CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_totalprice / 10e0 END",
     "Application Date": "{Y}",
-    "Loan Title": "lower(o_orderpriority)",
+    "Loan Title": "CASE WHEN o_orderkey % 50 = 3 THEN concat('two,', chr(10), chr(10), '\"lines\"') "
+                  "ELSE lower(o_orderpriority) END",
     "Risk_Score": "CASE WHEN o_orderkey % 7 = 0 THEN NULL "
                   "ELSE CAST(500 + (o_orderkey * 17) % 300 AS DOUBLE) END",
     "Debt-To-Income Ratio": "concat(CAST((o_orderkey * 13) % 90 AS {S}), '%')",
@@ -113,6 +114,30 @@ def rejected_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_select(spark.read.parquet(f"{sf_dir}/orders.parquet"), REJECTED_VIEW)
 
 
+# Lines that are no loans, under the header of the accepted-loans file: some end
+# after two fields, some have a word for the amount.
+BROKEN = {
+    "cut": ("o_orderkey % 100 = 1", "concat(CAST(o_orderkey AS {S}), ',cut off')"),
+    "ill_typed": ("o_orderkey % 100 = 2", "concat(CAST(o_orderkey AS {S}), ',much', repeat(',', {n}))"),
+}
+
+
+def broken_lines(words: dict[str, str], kind: str) -> tuple[str, str]:
+    """Condition on orders and text of the broken lines of one kind."""
+    condition, text = BROKEN[kind]
+    return condition, text.format(n=len(LOAN_COLUMNS) + len(LATER_COLUMNS) - 2, **words)
+
+
+def write_loan_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The accepted-loans files: loans, some with line breaks in the title, and a file with broken lines."""
+    loans = loans_full(spark, sf_dir)
+    loans.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False).csv(path)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    parts = [orders.where(condition).selectExpr(f"{text} AS `{','.join(loans.columns)}`")
+             for condition, text in (broken_lines(SPARK_WORDS, kind) for kind in BROKEN)]
+    parts[0].unionByName(parts[1]).write.mode("append").options(header=True, sep="\u0001").csv(path)
+
+
 def duck_select(columns: dict[str, str]) -> str:
     return ", ".join(f'{text.format(**DUCK_WORDS)} AS "{name}"' for name, text in columns.items())
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from checks import loan_sql as S, loan_view as L, registry as R
 from checks.registry import query
@@ -23,11 +23,33 @@ _ACCEPTED = ", ".join(n if n in _TEXT else f"CAST({n} AS DOUBLE) AS {n}" for n i
 @query("read_accepted", f"WITH {S.FULL} SELECT {_ACCEPTED} FROM loans_full")
 def read_accepted(spark, sf):
     path = scratch_path(spark, "accepted-csv")
-    L.loans_full(spark, sf).write.options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False).csv(path)
+    L.write_loan_files(spark, sf, path)
     return csv.read_accepted(spark, path)
 
 
+def _broken(kind: str, reason: str) -> str:
+    condition, text = L.broken_lines(L.DUCK_WORDS, kind)
+    return f"SELECT '{reason}' AS reason, {text} AS record FROM orders WHERE {condition}"
+
+
+@query("malformed_records", f"{_broken('cut', 'number of fields')} UNION ALL {_broken('ill_typed', 'type')}")
+def malformed_records(spark, sf):
+    path = scratch_path(spark, "accepted-csv")
+    L.write_loan_files(spark, sf, path)
+    return csv.malformed_records(spark, path, csv.accepted_types())
+
+
+@query("count_malformed", f"WITH {S.FULL} SELECT (SELECT count(*) FROM loans_full) + n_cut + n_ill_typed AS n_records, n_cut, n_ill_typed "
+       "FROM (SELECT " + ", ".join(f"count(*) FILTER ({L.BROKEN[k][0]}) AS n_{k}" for k in L.BROKEN) + " FROM orders)")
+def count_malformed(spark, sf):
+    """What a reader counts while its rows are being written."""
+    path, out = (scratch_path(spark, name) for name in ("accepted-csv", "accepted"))
+    L.write_loan_files(spark, sf, path)
+    seen = Observation()
+    csv.read_accepted(spark, path, seen).write.parquet(out)
+    return spark.createDataFrame([seen.get], "n_records bigint, n_cut bigint, n_ill_typed bigint")
+
+
 @query("read_rejected", "WITH r AS (SELECT " + L.duck_select(L.REJECTED_VIEW) + " FROM orders) SELECT "
        + ", ".join(f'"{a}" AS {b}' for a, b in V.REJECTED_COLUMNS.items())
        + ' FROM r WHERE "Amount Requested" IS NOT NULL')
@@ -93,21 +115,18 @@ def profile_columns(spark, sf):
     return profile.profile_columns(R.staged(spark, sf))
 
 
-@query("write_csv_report", S.sql("staged", f"SELECT \"column\", total_rows, null_count, mean, p50 FROM ({_PROFILE})"))
+@query("write_csv_report", S.sql("staged", _PROFILE))
 def write_csv_report(spark, sf):
     path = scratch_path(spark, "profile-csv")
     csv.write_csv_report(profile.profile_columns(R.staged(spark, sf)), path)
     schema = ("column string, total_rows long, null_count long, null_pct double, distinct_count long, "
               "mean double, std_dev double, min double, max double, p25 double, p50 double, p75 double")
-    return (spark.read.schema(schema).option("header", True).csv(path)
-            .select("column", "total_rows", "null_count", "mean", "p50"))
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
-@query("top_null_columns", S.sql("staged", f"SELECT \"column\", null_count, null_pct, mean, min, max FROM ({_PROFILE}) "
-                                 "ORDER BY null_pct DESC, \"column\" LIMIT 10"))
+@query("top_null_columns", S.sql("staged", f"SELECT * FROM ({_PROFILE}) ORDER BY null_pct DESC, \"column\" LIMIT 10"))
 def top_null_columns(spark, sf):
-    report = profile.profile_columns(R.staged(spark, sf))
-    return profile.top_null_columns(report).select("column", "null_count", "null_pct", "mean", "min", "max")
+    return profile.top_null_columns(profile.profile_columns(R.staged(spark, sf)))
 
 
 @query("layer_summary", S.sql("features", " UNION ALL ".join(

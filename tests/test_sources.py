@@ -2,12 +2,15 @@
 
 import csv as text_csv
 
+import io
+import random
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
 from riskloom import fixed_values as V
 from riskloom.operators.staging import stage_loans
-from riskloom.sources import csv, layers, storage
+from riskloom.sources import csv, layers, records, storage
 
 
 def loan(i, **changes):
@@ -54,6 +57,98 @@ def test_read_accepted_then_stage(spark, accepted_file):
     assert len(staged[0]) == 35
 
 
+KNOWN = {"id": T.LongType(), "title": T.StringType(), "amount": T.DoubleType()}
+
+
+def written(path, rows, end="\n", header=("id", "title", "amount")):
+    out = io.StringIO()
+    text_csv.writer(out, lineterminator=end).writerows([header, *rows])
+    path.write_bytes(out.getvalue().encode())
+
+
+def random_rows(seed, n):
+    rng = random.Random(seed)
+    pieces = ["plain", 'a "quoted"', "x,y", "line\nbreak", "\n", '"', "é", '",\n"', "", " ", '""']
+    return [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(1, 4))) or "-", float(i)) for i in range(n)]
+
+
+@pytest.fixture
+def small_parts(spark):
+    """Files are cut into parts of 200 bytes, so that records cross from one to the next."""
+    names = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def read_back(spark, path):
+    seen = Observation()
+    rows = csv._read_known(spark, str(path), KNOWN, seen).collect()
+    return [tuple(r) for r in rows], seen.get
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quoted_line_breaks(spark, tmp_path, small_parts, seed, end):
+    """Records that cross parts come out as the csv module reads them, files without breaks untouched."""
+    rows = random_rows(seed, 120)
+    written(tmp_path / "a.csv", rows, end)
+    written(tmp_path / "b file.csv", [(1000 + i, 'plain, "b"', 1.0) for i in range(30)], end)
+    got, counts = read_back(spark, tmp_path)
+    text = (tmp_path / "a.csv").read_bytes().decode()
+    want = [(int(a), b.replace("\r\n", "\n"), float(c)) for a, b, c in list(text_csv.reader(io.StringIO(text, newline="")))[1:]]
+    trimmed = lambda rs: sorted((a, b.strip(), c) for a, b, c in rs)
+    assert trimmed(r for r in got if r[0] < 1000) == trimmed(want)
+    assert sum(r[0] >= 1000 for r in got) == 30
+    assert counts == {"n_records": 150, "n_cut": 0, "n_ill_typed": 0}
+
+
+def test_only_files_with_open_quotes_are_assembled(spark, tmp_path):
+    written(tmp_path / "closed.csv", [(1, 'a "b", c', 1.0), (2, ',"', 2.0)])
+    written(tmp_path / "open.csv", [(3, "a\nb", 1.0)])
+    found = records.files_with_open_quotes(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f in found] == ["open.csv"]
+
+
+def test_malformed_records_are_counted_and_shown(spark, tmp_path):
+    """In a file with breaks and in one without, rows that are cut or ill-typed are told from good ones."""
+    for name, title in (("open.csv", '"two\nlines"'), ("closed.csv", '"one, line"')):
+        (tmp_path / name).write_text(
+            f"id,title,amount\n1,{title},1.5\n2,short\n3,long,1,2,3\n4,{title},many\n\n5,,2\n")
+    got, counts = read_back(spark, tmp_path)
+    assert sorted(got, key=str) == sorted([(1, "two\nlines", 1.5), (1, "one, line", 1.5)] + [(5, None, 2.0)] * 2, key=str)
+    assert counts == {"n_records": 10, "n_cut": 4, "n_ill_typed": 2}
+    shown = csv.malformed_records(spark, str(tmp_path), KNOWN).collect()
+    assert sorted(map(tuple, shown)) == sorted(
+        [("number of fields", "2,short"), ("number of fields", "3,long,1,2,3")] * 2
+        + [("type", '4,"two\nlines",many'), ("type", '4,"one, line",many')])
+
+
+def test_stray_and_unclosed_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,title,amount\n1,5" pipe,1\n2,"a\nb",2\n3,"open,3\n4,rest,4\n')
+    got, counts = read_back(spark, tmp_path)
+    assert sorted(got) == [(1, '5" pipe', 1.0), (2, "a\nb", 2.0)]
+    assert counts["n_cut"] == 1
+
+
+def test_line_states():
+    for line, outside, inside in [("a,b", False, True), ('a,"b', True, False), ('"a,b"', False, False),
+                                  ('x",y', False, False), ('a""b', False, True), ('5" pipe,"x', True, True),
+                                  ('"a"x,"b', True, True), ("", False, True), ('"', True, False), ('""', False, True)]:
+        assert (records.ends_inside(line, False), records.ends_inside(line, True)) == (outside, inside), line
+
+
+@pytest.mark.parametrize("title", ["plain", "with\nbreak"])
+def test_headers_in_another_order_raise(spark, tmp_path, title):
+    written(tmp_path / "a.csv", [(1, title, 1.0)])
+    written(tmp_path / "b.csv", [(title, 2, 1.0)], header=("title", "id", "amount"))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_back(spark, tmp_path)
+
+
 def test_missing_column_is_reported(spark, tmp_path):
     path = tmp_path / "short.csv"
     path.write_text("id,term\n1, 36 months\n")
