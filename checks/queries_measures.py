@@ -299,12 +299,11 @@ def score_points(spark, sf):
 
 
 _LONG_POINTS = " UNION ALL ".join(
-    f"SELECT id, '{f}' AS feature, {f} AS woe, {_points(f)} AS points FROM encoded WHERE split = 'oot'" for f in _POINTED)
+    f"SELECT id, '{f}' AS feature, {f} AS woe, {_points(f)} AS points FROM encoded" for f in _POINTED)
 
 
 def _long_woe(spark, sf):
-    part = R.encoded(spark, sf).where(c("split") == "oot")
-    return part.select("id", *V.WOE_FEATURES).unpivot("id", V.WOE_FEATURES, "feature", "woe")
+    return R.encoded(spark, sf).select("id", *V.WOE_FEATURES).unpivot("id", V.WOE_FEATURES, "feature", "woe")
 
 
 @query("join_points", S.sql("encoded", _LONG_POINTS))
@@ -312,9 +311,10 @@ def join_points(spark, sf):
     return A.join_points(_long_woe(spark, sf), R.points_table(spark)).select("id", "feature", "woe", "points")
 
 
-@query("sort_contributions", S.sql("encoded", "SELECT id, CASE feature " + " ".join(
+@query("sort_contributions", S.sql("encoded", "SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY contribution NULLS FIRST, factor) "
+    "AS INTEGER) AS place FROM (SELECT id, CASE feature " + " ".join(
     f"WHEN '{f}' THEN '{n}'" for f, n in V.FACTOR_NAMES.items()) + " END AS factor, points AS contribution "
-    f"FROM ({_LONG_POINTS}) ORDER BY 1, 3, 2"))
+    f"FROM ({_LONG_POINTS}))"))
 def sort_contributions(spark, sf):
     return A.sort_contributions(A.join_points(_long_woe(spark, sf), R.points_table(spark)))
 
@@ -323,7 +323,7 @@ def sort_contributions(spark, sf):
 _APPS = ("apps AS (SELECT " + ", ".join(L.APPLICATION_COLUMNS)
          + ", fico_band, dti_band, loan_amnt_band, emp_stability, int_rate_band, "
          + ", ".join(f"coalesce({f}, 0e0) AS {f}" for f in V.WOE_FEATURES)
-         + " FROM encoded WHERE split = 'validation')")
+         + " FROM encoded)")
 _FIELD_CHECKS = [
     ("loan_amnt", "above 0, at most 40000", "loan_amnt > 0 AND loan_amnt <= 40000"),
     ("term_months", "36 or 60", "term_months IN (36, 60)"),
@@ -368,17 +368,21 @@ def score_applications(spark, sf):
         R.applications(made), woe, R.points_table(spark), L.CHAMPION_COEFFICIENTS, L.CHAMPION_INTERCEPT))
 
 
-@query("score_stream", S.sql("encoded", _APP_SCORES, _APPS))
+@query("score_stream", S.sql("encoded", f"SELECT *, NULL::VARCHAR AS errors FROM ({_APP_SCORES}) UNION ALL BY NAME "
+                             f"SELECT id, {_ERRORS} AS errors FROM apps WHERE {_ERRORS} <> ''", _APPS))
 def score_stream(spark, sf):
-    inbox, output, state = (scratch_path(spark, n) for n in ("inbox", "scores", "stream-state"))
+    """Two runs over a growing folder, the second from the checkpoint of the first; scores and rejects."""
+    inbox, output, state = (scratch_path(spark, n) for n in ("inbox", "scored", "stream-state"))
     made, woe = R.with_woe(spark, sf)
     apps = R.applications(made)
-    apps.repartition(4).write.parquet(inbox)
-    source = stream.read_application_stream(spark, inbox, apps.schema, files_per_batch=2)
-    running = stream.score_stream(source, woe, R.points_table(spark),
-                                  L.CHAMPION_COEFFICIENTS, L.CHAMPION_INTERCEPT, output, state)
-    running.awaitTermination()
-    return _spread_points(spark.read.parquet(output))
+    for half in (0, 1):
+        apps.where(c("id") % 2 == half).repartition(4).write.mode("append").parquet(inbox)
+        source = stream.read_application_stream(spark, inbox, apps.schema, files_per_batch=2)
+        stream.score_stream(source, woe, R.points_table(spark), L.CHAMPION_COEFFICIENTS,
+                            L.CHAMPION_INTERCEPT, output, state).awaitTermination()
+    rejects = stream.read_rejects(spark, output).select("id", F.concat_ws("; ", "errors").alias("errors"))
+    return _spread_points(stream.read_scores(spark, output).drop("batch")).unionByName(
+        rejects, allowMissingColumns=True)
 
 
 @query("batch_decision_summary", S.sql(

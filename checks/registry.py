@@ -85,8 +85,8 @@ def challenger_oot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def applications(made: DataFrame) -> DataFrame:
-    """The validation loans as applications."""
-    return made.where(F.col("split") == "validation").select(*L.APPLICATION_COLUMNS)
+    """All loans as applications."""
+    return made.select(*L.APPLICATION_COLUMNS)
 
 
 def spread(spark: SparkSession, sf: str) -> DataFrame:

@@ -68,13 +68,19 @@ def join_points(long: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def sort_contributions(pointed: DataFrame, key: str = "id") -> DataFrame:
-    """Named contributions of each application, most harmful first."""
+    """Named contributions of each application, most harmful first, numbered from 1.
+
+    The few contributions of one application are sorted as one array, so
+    applications are neither ordered among each other nor dealt out by range.
+    """
     named = F
     for feature, name in V.FACTOR_NAMES.items():
         named = named.when(F.col("feature") == feature, name)
     factor = named.otherwise(F.col("feature"))
-    return (pointed.select(key, factor.alias("factor"), F.col("points").alias("contribution"))
-            .orderBy(key, "contribution", "factor"))
+    listed = pointed.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(
+        F.col("points").alias("contribution"), factor.alias("factor")))).alias("listed"))
+    placed = listed.select(key, F.posexplode("listed").alias("place", "c"))
+    return placed.select(key, (F.col("place") + 1).alias("place"), "c.factor", "c.contribution")
 
 
 def points_struct(points: DataFrame, features: list[str] = V.WOE_FEATURES) -> Column:
@@ -95,15 +101,13 @@ def score_points(df: DataFrame, points: DataFrame,
         F.create_map(*entries), lambda _, value: value.isNotNull())).drop("_unit")
 
 
-def score_applications(apps: DataFrame, woe: DataFrame, points: DataFrame,
-                       coefficients: dict[str, float], intercept: float,
-                       key: str = "id") -> DataFrame:
-    """Score every valid application; the same plan serves batch and stream.
+def score_valid(valid: DataFrame, woe: DataFrame, points: DataFrame, coefficients: dict[str, float],
+                intercept: float, key: str = "id") -> DataFrame:
+    """Scores of checked applications.
 
     Narrow all through: the WoE table is broadcast (behind a size check) and the
     points come in as one value.
     """
-    valid, _ = validate_applications(apps)
     encoded = score_points(lookup_woe(add_bands(valid), woe), points)
     scored = encoded.withColumn("pd", predict_linear(coefficients, intercept))
     scored = scored.withColumn("credit_score", score_minmax(F.col("pd")))
@@ -114,6 +118,21 @@ def score_applications(apps: DataFrame, woe: DataFrame, points: DataFrame,
         decision_reason(score).alias("decision_reason"), "scorecard_points")
 
 
+def score_or_reject(apps: DataFrame, woe: DataFrame, points: DataFrame,
+                    coefficients: dict[str, float], intercept: float,
+                    key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Scores of the valid applications, and the rejected ones with their ``errors``."""
+    valid, rejects = validate_applications(apps)
+    return score_valid(valid, woe, points, coefficients, intercept, key), rejects
+
+
+def score_applications(apps: DataFrame, woe: DataFrame, points: DataFrame,
+                       coefficients: dict[str, float], intercept: float,
+                       key: str = "id") -> DataFrame:
+    """The scores of ``score_or_reject``; the same plan serves batch and stream."""
+    return score_or_reject(apps, woe, points, coefficients, intercept, key)[0]
+
+
 def batch_decision_summary(scored: DataFrame) -> DataFrame:
     """Totals of a batch; whatever is not approved counts as declined."""
     approved = F.count_if(F.col("decision") == "APPROVED")

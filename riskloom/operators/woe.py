@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from riskloom import fixed_values as V
 from riskloom.functions.numeric import dround
 from riskloom.sources.layers import filter_split
-from riskloom.sources.storage import materialize, small_side
+from riskloom.sources.storage import fits_broadcast, materialize
 
-LOOKUP_BINS = 1000   # a map is searched entry by entry, so it has to stay short
+BINS_PER_MAP = 8   # a map is searched entry by entry
 
 
 def union_feature_bins(df: DataFrame, features: list[str]) -> DataFrame:
@@ -63,40 +63,58 @@ def iv_summary(woe: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("iv"), "feature"))
 
 
-def _woe_maps(woe: DataFrame, features: list[str]) -> Column:
-    """One struct value with a map from bin to WoE per feature."""
-    known = woe.where(F.col("bin").isNotNull())
-    maps = [F.map_from_entries(F.collect_list(
-        F.when(F.col("feature") == feature, F.struct("bin", "woe")))).alias(feature)
-        for feature in features]
-    return known.agg(*maps).select(F.struct(*features)).scalar()
+def _one_row_per_bin(woe: DataFrame) -> int:
+    """The number of bins of the feature with most; a bin that is there twice raises."""
+    counts = woe.groupBy("feature", "bin").count()
+    repeated = counts.where("count > 1").select("feature", "bin").orderBy("feature", "bin").limit(5).collect()
+    if repeated:
+        raise ValueError(f"bins with several WoE values: {[tuple(r) for r in repeated]}")
+    return counts.groupBy("feature").count().agg(F.max("count")).first()[0] or 1
+
+
+def _bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+
+
+def _woe_maps(woe: DataFrame, features: list[str], buckets: int) -> Column:
+    """One struct value: for each feature an array of buckets, each a map from bin to WoE."""
+    known = woe.where(F.col("bin").isNotNull() & F.col("feature").isin(*features))
+    filled = (known.withColumn("bucket", _bucket(F.col("bin"), buckets)).groupBy("feature", "bucket")
+              .agg(F.collect_list(F.struct("bin", "woe")).alias("bins")))
+    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+    frame = filled.select("feature").distinct().select("feature", every)
+    listed = frame.join(filled, ["feature", "bucket"], "left").groupBy("feature").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("bucket", "bins"))), lambda b: F.map_from_entries(b["bins"])).alias("buckets"))
+    return listed.agg(*[F.first(F.when(F.col("feature") == feature, F.col("buckets")), ignorenulls=True).alias(feature)
+                        for feature in features]).select(F.struct(*features)).scalar()
 
 
 def apply_woe(df: DataFrame, woe: DataFrame,
               features: list[str] = V.BINNED_FEATURES) -> DataFrame:
     """``df`` with one ``<feature>_woe`` per feature; unknown and NULL bins give NULL.
 
-    (feature, bin) is unique in ``woe``, so rows never multiply.  The table is
-    counted first.  With few bins it becomes one value of maps and encoding is
-    a projection; with more, each feature is a join, broadcast if the table is
-    small and shuffled otherwise.
+    A (feature, bin) that ``woe`` holds twice raises a ValueError, so rows never
+    multiply.  A table that is small enough to broadcast becomes one value, in
+    which a bin is found by its hash, and encoding is a projection; one that is
+    not is joined feature by feature, with a shuffle and the same result.
     """
-    if woe.limit(LOOKUP_BINS + 1).count() <= LOOKUP_BINS:
-        maps = F.col("_woe")
-        looked_up = df.withColumn("_woe", _woe_maps(woe, features)).select(
-            *df.columns, *[F.try_element_at(maps[feature], F.col(feature)).alias(f"{feature}_woe")
-                           for feature in features])
-        return looked_up
-    return join_woe(df, woe, features)
+    most = _one_row_per_bin(woe)
+    if not fits_broadcast(woe):
+        return join_woe(df, woe, features)
+    buckets = -(-most // BINS_PER_MAP)
+    found = F.col("_woe")
+    return df.withColumn("_woe", _woe_maps(woe, features, buckets)).select(
+        *df.columns, *[F.try_element_at(F.get(found[name], _bucket(F.col(name), buckets)), F.col(name)).alias(f"{name}_woe")
+                       for name in features])
 
 
 def join_woe(df: DataFrame, woe: DataFrame,
              features: list[str] = V.BINNED_FEATURES) -> DataFrame:
     """``apply_woe`` by one left join per feature, for tables of any size."""
-    lookup = small_side(woe.select("feature", "bin", "woe"))
+    _one_row_per_bin(woe)
     encoded = df
     for feature in features:
-        side = (lookup.where(F.col("feature") == feature)
+        side = (woe.where(F.col("feature") == feature)
                 .select(F.col("bin").alias(feature), F.col("woe").alias(f"{feature}_woe")))
         encoded = encoded.join(side, feature, "left")
     return encoded.select(*df.columns, *[f"{feature}_woe" for feature in features])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskloom.sources import versions
+
 LAYERS = ("raw", "staging", "profile", "features")
 
 
@@ -18,21 +20,20 @@ def create_layers(spark: SparkSession, names: tuple[str, ...] = LAYERS,
 def write_layer(df: DataFrame, target: str, partition_by: str | None = None) -> DataFrame:
     """Replace a layer and return it as read back.
 
-    ``target`` is a path when it holds a slash, else a table name.
+    ``target`` is a path when it holds a slash, else a table name.  The layer
+    before stays as it is until all of the new one is there, and stays readable
+    if the write fails; ``df`` may be computed from it.
     """
-    writer = df.write.mode("overwrite")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    spark = df.sparkSession
     if "/" in target:
-        writer.parquet(target)
-        return spark.read.parquet(target)
-    writer.format("parquet").saveAsTable(target)
-    return spark.table(target)
+        versions.write_path(df, target, partition_by)
+    else:
+        versions.write_table(df, target, partition_by)
+    return read_layer(df.sparkSession, target)
 
 
 def read_layer(spark: SparkSession, source: str) -> DataFrame:
-    return spark.read.parquet(source) if "/" in source else spark.table(source)
+    """The current version of a layer, or any Parquet path or table."""
+    return versions.read_path(spark, source) if "/" in source else spark.table(source)
 
 
 def filter_split(df: DataFrame, split: str) -> DataFrame:

@@ -1,11 +1,13 @@
-"""Online scoring as a stream of application files."""
+"""Online scoring as a stream of application files, with the rejected ones beside the scores."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.operators.applications import score_applications
+from riskloom.operators.applications import check_applications, score_valid
+
+SCORES, REJECTS, BATCH = "scores", "rejects", "batch"
 
 
 def read_application_stream(spark: SparkSession, path: str, schema,
@@ -18,13 +20,35 @@ def read_application_stream(spark: SparkSession, path: str, schema,
 
 def score_stream(applications: DataFrame, woe: DataFrame, points: DataFrame,
                  coefficients: dict[str, float], intercept: float, output: str,
-                 checkpoint: str) -> StreamingQuery:
-    """Score all files that are there, each exactly once, and stop.
-
-    Stateless: one narrow stage per batch with a static broadcast side, so a
-    lost executor only repeats its tasks and the file sink drops the repeats.
+                 checkpoint: str, key: str = "id") -> StreamingQuery:
+    """Score all files that are there and stop; valid and rejected applications go to two sinks.
+
+    Every batch replaces its own folder in ``output/scores`` and in
+    ``output/rejects``, named by the batch's number.  A batch that was
+    interrupted, or written but not noted in ``checkpoint``, is computed from
+    the same files again after a restart and replaces what it had left, so
+    nothing is lost or repeated.  Stateless: one narrow stage per sink, and the
+    checked applications are read from their files once.
     """
-    scored = score_applications(applications, woe, points, coefficients, intercept)
-    return (scored.writeStream.format("parquet").outputMode("append")
-            .option("path", output).option("checkpointLocation", checkpoint)
+    def write(batch: DataFrame, number: int) -> None:
+        checked = check_applications(batch).persist()
+        try:
+            good = F.size("errors") == 0
+            scores = score_valid(checked.where(good).drop("errors"), woe, points, coefficients, intercept, key)
+            for part, name in ((scores, SCORES), (checked.where(~good), REJECTS)):
+                part.write.mode("overwrite").parquet(f"{output}/{name}/{BATCH}={number}")
+        finally:
+            checked.unpersist()
+
+    return (applications.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def read_scores(spark: SparkSession, output: str) -> DataFrame:
+    """The scores of all batches, with ``batch``."""
+    return spark.read.parquet(f"{output}/{SCORES}")
+
+
+def read_rejects(spark: SparkSession, output: str) -> DataFrame:
+    """The rejected applications of all batches with their ``errors`` and ``batch``."""
+    return spark.read.parquet(f"{output}/{REJECTS}")

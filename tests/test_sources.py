@@ -192,6 +192,42 @@ def test_layers_by_name_and_path(spark, tmp_path):
             spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
+@pytest.mark.parametrize("kind", ["path", "table"])
+@pytest.mark.parametrize("split", [None, "split"])
+def test_failed_write_leaves_the_layer(spark, tmp_path, kind, split):
+    """Readers find the old layer after a write that failed half-way, and versions expire."""
+    name = "riskloom_versions_test"
+    target = str(tmp_path / "loans") if kind == "path" else f"{name}.loans"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{tmp_path}/db'")
+    try:
+        df = spark.range(100).withColumn("split", F.when(F.col("id") < 30, "007").otherwise("train"))
+        layers.write_layer(df, target, split)
+        reader = layers.read_layer(spark, target)
+        broken = df.withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("broken row")).cast("bigint"))
+                               .otherwise(F.col("id") + 1000)).repartition(4)
+        with pytest.raises(Exception, match="broken row"):
+            layers.write_layer(broken, target, split)
+        again = layers.read_layer(spark, target)
+        assert again.where("split = '007'").agg(F.sum("id")).first()[0] == sum(range(30))
+        # a layer may be computed from itself, and who reads the old one goes on
+        for step in (1, 2, 3):
+            made = layers.write_layer(layers.read_layer(spark, target).withColumn("id", F.col("id") + 1), target, split)
+            assert made.agg(F.min("id")).first()[0] == step
+            if step == 1:
+                assert reader.agg(F.min("id")).first()[0] == 0
+        assert made.columns == df.columns and made.dtypes == df.dtypes
+        left = ([p for p in (tmp_path / "loans" / "_versions").iterdir()] if kind == "path"
+                else [t for t in spark.catalog.listTables(name) if t.name != "loans"])
+        assert len(left) == 2
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_plain_folders_are_layers_too(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "plain"))
+    assert layers.read_layer(spark, str(tmp_path / "plain")).count() == 5
+
+
 def test_samples(spark):
     df = spark.range(1000).withColumn("split", F.when(F.col("id") % 2 == 0, "oot").otherwise("train"))
     first = {r.id for r in layers.sample_split(df, 100, "oot").collect()}

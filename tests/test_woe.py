@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import woe as W
@@ -43,18 +44,36 @@ def test_encoding_ways_agree(spark):
     assert filled.where("grade_woe IS NULL OR purpose_woe IS NULL").count() == 0
 
 
-def test_many_bins_take_the_join(spark):
+def test_many_bins(spark, monkeypatch):
+    """Thousands of bins are found by hash, and by joins where the table is too large to send."""
     many = spark.range(3000).select(
         F.lit("grade").alias("feature"), F.col("id").cast("string").alias("bin"),
-        (F.col("id") / 1000.0).alias("woe"))
-    df = spark.createDataFrame([("7",), ("2999",), ("x",), (None,)], "grade string")
-    got = {r.grade: r.grade_woe for r in W.apply_woe(df, many, ["grade"]).collect()}
-    assert got == {"7": 0.007, "2999": 2.999, "x": None, None: None}
+        (F.col("id") / 1000.0).alias("woe")).unionByName(spark.createDataFrame(
+            [("grade", None, 9.0), ("purpose", "7", 5.0)], "feature string, bin string, woe double"))
+    df = spark.createDataFrame([("7",), ("2999",), ("x",), (None,)], "grade string").withColumn("purpose", F.lit("7"))
+    want = {"7": (0.007, 5.0), "2999": (2.999, 5.0), "x": (None, 5.0), None: (None, 5.0)}
+    for fits in (True, False):
+        monkeypatch.setattr(W, "fits_broadcast", lambda _, fits=fits: fits)
+        encoded = W.apply_woe(df, many, ["grade", "purpose"])
+        assert {r.grade: (r.grade_woe, r.purpose_woe) for r in encoded.collect()} == want
+        assert ("Join LeftOuter, (grade" in encoded._jdf.queryExecution().optimizedPlan().toString()) == (not fits)
+
+
+def test_repeated_bins_raise(spark):
+    """However large the table is and whichever way it would be used."""
+    for extra in (0, 3000):
+        table = spark.createDataFrame([("grade", "A", 1.0), ("grade", "A", 2.0)]
+                                      + [("grade", str(i), 0.5) for i in range(extra)],
+                                      "feature string, bin string, woe double")
+        df = spark.createDataFrame([("A",)], "grade string")
+        for encode in (W.apply_woe, W.join_woe, W.lookup_woe):
+            with pytest.raises(ValueError, match="several WoE"):
+                encode(df, table, features=["grade"])
 
 
 def test_facts_are_not_shuffled(spark):
     df = frame(spark, rows())
     table = W.fit_woe(df, ["grade", "purpose"])
-    for encode in (W.apply_woe, W.join_woe):
-        plan = encode(df, table, ["grade", "purpose"])._jdf.queryExecution().executedPlan().toString()
+    for encode in (W.apply_woe, W.lookup_woe):
+        plan = encode(df, table, features=["grade", "purpose"])._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan.split("Subquery")[0]
