@@ -142,7 +142,7 @@ MODEL_INPUT_COLUMNS = ["id", "is_bad", "split", "vintage_year", "vintage",
 
 
 def logistic(coefficients: dict[str, float], intercept: float) -> str:
-    terms = "".join(f" + ({w!r}e0) * coalesce(CAST({c} AS DOUBLE), 0e0)" for c, w in coefficients.items())
+    terms = "".join(f" + CAST('{w!r}' AS DOUBLE) * coalesce(CAST({c} AS DOUBLE), 0e0)" for c, w in coefficients.items())
     return f"(1e0 / (1e0 + exp(-(({intercept!r}e0){terms}))))"
 
 

@@ -149,8 +149,13 @@ CHAMPION_COEFFICIENTS = {
     "emp_stability_woe": 0.1, "int_rate_band_woe": 0.3, "home_ownership_woe": 0.1,
     "verification_status_woe": 0.1, "purpose_woe": 0.1, "application_type_woe": 0.1,
 }
-CHALLENGER_INTERCEPT = -2.3
-CHALLENGER_COEFFICIENTS = {"int_rate": 0.1, "fico_avg": -0.001, "dti": 0.01}
+CHALLENGER_INTERCEPT = -2.5
+CHALLENGER_COEFFICIENTS = {
+    "loan_amnt": 1e-05, "term_months": 0.005, "int_rate": 0.1, "annual_inc": -1e-06, "dti": 0.01,
+    "fico_avg": -0.001, "revol_util": 0.002, "open_acc": 0.005, "total_acc": -0.004, "delinq_2yrs": 0.02,
+    "inq_last_6mths": 0.03, "pub_rec": 0.05, "emp_length_yrs": -0.01, "installment_to_income": 0.2,
+    "loan_to_income": 0.1, "revol_bal_to_income": 0.05, "open_to_total_acc_ratio": 0.1, "has_derogatory": 0.04,
+}
 
 # Split years of this view: its dates run from 1995 to 2001.
 TRAIN_LAST, VALIDATION = 1998, 1999

@@ -20,7 +20,6 @@ from riskloom.streaming import scoring as stream
 
 c = F.col
 REPLICATES = V.BOOTSTRAP_ITERATIONS  # of the per-loan bootstrap, which SQL can follow
-DRAWS = 100_000
 
 
 def re(x: str, digits: int) -> str:
@@ -252,7 +251,7 @@ def risk_tier(spark, sf):
 
 @query("predict_linear", S.sql("encoded", f"SELECT id, {re(S.CHALLENGER_PD, 6)} AS pd FROM encoded"))
 def predict_linear(spark, sf):
-    filled = R.derived(spark, sf).fillna(0, ["dti"])
+    filled = R.derived(spark, sf).fillna(0, list(L.CHALLENGER_COEFFICIENTS))
     pd = Sc.predict_linear(L.CHALLENGER_COEFFICIENTS, L.CHALLENGER_INTERCEPT)
     return filled.select("id", half_even(pd, 6).alias("pd"))
 
@@ -519,8 +518,8 @@ def compare_ks(spark, sf):
     return ranking.compare_ks(R.stored_oot(spark, sf), digits=models.PD_DIGITS)
 
 
-_RANKED = ("ranked AS (SELECT is_bad, row_number() OVER (ORDER BY chall_pd DESC, md5(CAST(id AS VARCHAR)), id) AS place FROM oot)")
-_TOP = ("tops AS (SELECT place, sum(is_bad) OVER (ORDER BY place) AS bads, sum(is_bad) OVER () AS all_bads, "
+_RANKED = ("ranked AS (SELECT id, is_bad, row_number() OVER (ORDER BY chall_pd DESC, md5(CAST(id AS VARCHAR)), id) AS place FROM oot)")
+_TOP = ("tops AS (SELECT id, place, sum(is_bad) OVER (ORDER BY place) AS bads, sum(is_bad) OVER () AS all_bads, "
         "count(*) OVER () AS n FROM ranked)")
 
 
@@ -532,6 +531,13 @@ def gains_lift(spark, sf):
     return R.rounded(ranking.gains_lift(materialize(R.challenger_oot(spark, sf))), 6, "pct_pop", "gains", "lift")
 
 
+@query("gains_by_loan", S.sql(
+    "oot", f"SELECT id, place, {re('(place * 100e0 / n)', 6)} AS pct_pop, {re('(bads * 100e0 / all_bads)', 6)} AS gains, "
+    f"{re('((bads * 100e0 / all_bads) / (place * 100e0 / n))', 6)} AS lift FROM tops", _RANKED, _TOP))
+def gains_by_loan(spark, sf):
+    return R.rounded(ranking.gains_by_loan(materialize(R.challenger_oot(spark, sf)), digits=models.PD_DIGITS), 6, "pct_pop", "gains", "lift")
+
+
 @query("capture_at", S.sql(
     "oot", f"SELECT share, place AS n_top, {re('(bads * 100e0 / all_bads)', 6)} AS captured_pct "
     "FROM tops, (SELECT unnest([0.1e0, 0.3e0]) AS share) WHERE place = CAST(floor(n * share) AS BIGINT) + 1", _RANKED, _TOP))
@@ -558,7 +564,7 @@ def _measured() -> str:
     + " FROM measured GROUP BY model", _measured()))
 def model_comparison(spark, sf):
     long = ranking.long_scores(R.scored(spark, sf), evaluation.MODELS, ["split"])
-    table = ranking.model_comparison(long)
+    table = ranking.model_comparison(long, digits=models.PD_DIGITS)
     return R.rounded(table, 6, *[n for n in table.columns if n != "model"])
 
 
@@ -657,20 +663,15 @@ def ztest_auc(spark, sf):
     return champion.ztest_auc(bootstrap.summarize_replicates(_hashed(spark, sf)))
 
 
-_POSTERIOR = ("numbered AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY replicate) - 1 AS i, "
-              "count(*) OVER (PARTITION BY model) AS size FROM replicates)",
-              "picked AS (SELECT (b.auc > a.auc) AS win, b.auc - a.auc AS uplift FROM "
-              f"(SELECT {_uniform_sql('CAST(k AS VARCHAR)', '0')} AS ua, {_uniform_sql('CAST(k AS VARCHAR)', '1')} AS ub "
-              f"FROM (SELECT unnest(range({DRAWS})) AS k)) "
-              "JOIN numbered a ON a.model = 'champion' AND a.i = CAST(floor(ua * a.size) AS BIGINT) "
-              "JOIN numbered b ON b.model = 'challenger' AND b.i = CAST(floor(ub * b.size) AS BIGINT))",
-              f"posterior AS (SELECT {re('avg(CAST(win AS INTEGER))', 4)} AS prob_challenger_wins, {re('avg(uplift)', 6)} AS expected_uplift, "
-              f"{re('quantile_cont(uplift, 0.025)', 6)} AS uplift_ci_lower, {re('quantile_cont(uplift, 0.975)', 6)} AS uplift_ci_upper FROM picked)")
+_POSTERIOR = ("gaps AS (SELECT b.auc - a.auc AS uplift FROM replicates a, replicates b "
+              "WHERE a.model = 'champion' AND b.model = 'challenger')",
+              f"posterior AS (SELECT {re('avg(CAST(uplift > 0 AS INTEGER))', 4)} AS prob_challenger_wins, {re('avg(uplift)', 6)} AS expected_uplift, "
+              f"{re('quantile_cont(uplift, 0.025)', 6)} AS uplift_ci_lower, {re('quantile_cont(uplift, 0.975)', 6)} AS uplift_ci_upper FROM gaps)")
 
 
 @query("bayesian_ab", S.sql("oot", "SELECT * FROM posterior", *_BOOT, *_POSTERIOR))
 def bayesian_ab(spark, sf):
-    return champion.bayesian_ab(_hashed(spark, sf), DRAWS)
+    return champion.bayesian_ab(_hashed(spark, sf))
 
 
 _KS_BOTH = ("ks_both AS (SELECT a AS raw_a, b AS raw_b, b > a AS challenger_wins FROM (SELECT (SELECT max(tpr - fpr) FROM champ) AS a, "
@@ -686,7 +687,7 @@ def decide(spark, sf):
     loans = R.stored_oot(spark, sf)
     replicates = _replicates(loans)
     return champion.decide(champion.ztest_auc(bootstrap.summarize_replicates(replicates)),
-                           champion.bayesian_ab(replicates, DRAWS), ranking.compare_ks(loans, digits=models.PD_DIGITS))
+                           champion.bayesian_ab(replicates), ranking.compare_ks(loans, digits=models.PD_DIGITS))
 
 
 _AUC_OUT = ", ".join(f"{re(f'{m}.{v}', 6)} AS {m}_auc_{v}" for m in evaluation.MODELS for v in ("mean", "std", "lower", "upper"))
@@ -704,7 +705,7 @@ _RECORD = (f"SELECT *, {re('(chall_approval_rate - champ_approval_rate)', 4)} AS
 
 @query("decision_record", S.sql("oot", _RECORD, *_EVERYTHING, _IMPACT))
 def decision_record(spark, sf):
-    record = evaluation.compare_models(R.stored_oot(spark, sf), REPLICATES, DRAWS, hashed=True)
+    record = evaluation.compare_models(R.stored_oot(spark, sf), REPLICATES, hashed=True)
     names = [n for n in record.columns if "_auc_" in n or n.endswith("_gini")]
     return R.rounded(R.rounded(record, 6, *names), 4, "approval_rate_diff")
 
@@ -718,12 +719,26 @@ def _split_metrics(spark, sf, fit, names):
     return ranking.model_metrics(table, ["split"])
 
 
-@query("fit_scorecard")
+# At the fitted weights the predicted and the observed defaults agree, in all and weighted by every input.
+_BALANCED = "CASE WHEN is_bad = 1 THEN 0.5e0 / rate ELSE 0.5e0 / (1 - rate) END"
+_MOMENTS = "SELECT feature, v AS observed, v AS predicted FROM (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {re(f'(sum(w * is_bad * {x}) / sum(w))', 8)} AS v FROM weighted_loans"
+    for f, x in [("intercept", "1e0"), *[(f, f"coalesce({f}, 0e0)") for f in V.WOE_FEATURES]]) + ")"
+
+
+@query("fit_scorecard", S.sql(
+    "encoded", _MOMENTS, f"weighted_loans AS (SELECT *, {_BALANCED} AS w FROM encoded, "
+    "(SELECT avg(is_bad) AS rate FROM encoded WHERE split = 'train') WHERE split = 'train')"))
 def fit_scorecard(spark, sf):
-    ready = materialize(W.model_input(*R.with_woe(spark, sf)))
-    model = models.fit_scorecard(ready.where(c("split") == "train"))
-    coefficients, _ = models.coefficients_of(model)
-    return models.scorecard_points(ready, coefficients)
+    train = materialize(W.model_input(*R.with_woe(spark, sf)).where(c("split") == "train"))
+    return R.rounded(models.score_equations(train, models.fit_scorecard(train)), 8, "observed", "predicted")
+
+
+@query("scorecard_points")
+def scorecard_points(spark, sf):
+    train = materialize(W.model_input(*R.with_woe(spark, sf)).where(c("split") == "train"))
+    coefficients, _ = models.coefficients_of(models.fit_scorecard(train))
+    return models.scorecard_points(train, coefficients)
 
 
 @query("fit_forest")

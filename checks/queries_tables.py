@@ -139,19 +139,25 @@ def layer_summary(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("describe_layer", S.sql("staged", "SELECT CAST(n AS INTEGER) AS position, name AS \"column\", s.* FROM (SELECT "
-       + "unnest([" + ", ".join(f"'{n}'" for n in [
-           "id", "loan_amnt", "funded_amnt", "term_months", "int_rate", "installment", "grade",
-           "sub_grade", "emp_length_yrs", "home_ownership", "annual_inc", "verification_status",
-           "purpose", "addr_state", "dti", "delinq_2yrs", "fico_range_low", "fico_range_high",
-           "fico_avg", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal", "revol_util",
-           "total_acc", "collections_12_mths_ex_med", "acc_now_delinq", "tot_coll_amt",
-           "tot_cur_bal", "issue_date", "vintage_year", "vintage_quarter", "application_type",
-           "loan_status", "is_bad"]) + "]) AS name, unnest(range(1, 36)) AS n), "
+_STAGED_TYPES = {
+    "id": "bigint", "loan_amnt": "double", "funded_amnt": "double", "term_months": "int", "int_rate": "float",
+    "installment": "double", "grade": "string", "sub_grade": "string", "emp_length_yrs": "int",
+    "home_ownership": "string", "annual_inc": "double", "verification_status": "string", "purpose": "string",
+    "addr_state": "string", "dti": "double", "delinq_2yrs": "bigint", "fico_range_low": "bigint",
+    "fico_range_high": "bigint", "fico_avg": "double", "inq_last_6mths": "bigint", "open_acc": "bigint",
+    "pub_rec": "int", "revol_bal": "bigint", "revol_util": "float", "total_acc": "bigint",
+    "collections_12_mths_ex_med": "int", "acc_now_delinq": "int", "tot_coll_amt": "bigint", "tot_cur_bal": "bigint",
+    "issue_date": "timestamp_ntz", "vintage_year": "bigint", "vintage_quarter": "bigint",
+    "application_type": "string", "loan_status": "string", "is_bad": "int",
+}
+
+
+@query("describe_layer", S.sql("staged", "SELECT CAST(n AS INTEGER) AS position, name AS \"column\", dtype, s.* FROM (SELECT "
+       f"unnest({list(_STAGED_TYPES)}) AS name, unnest({list(_STAGED_TYPES.values())}) AS dtype, unnest(range(1, 36)) AS n), "
        f"(SELECT count(*) AS n_rows, CAST(35 AS INTEGER) AS n_columns, {S.dr('avg(is_bad)', 4)} AS bad_rate "
        "FROM staged) s"))
 def describe_layer(spark, sf):
-    return profile.describe_layer(R.staged(spark, sf)).drop("dtype")
+    return profile.describe_layer(R.staged(spark, sf))
 
 
 # ------------------------------------------- 2.2 projections and predicates
@@ -279,7 +285,7 @@ def null_out_of_range(spark, sf):
 
 @query("round_rate", S.sql("staged", "SELECT id, round(int_rate, 2) AS int_rate FROM staged"))
 def round_rate(spark, sf):
-    return R.staged(spark, sf).select("id", F.round("int_rate", 2).alias("int_rate"))
+    return R.staged(spark, sf).select("id", C.round_rate(c("int_rate")).alias("int_rate"))
 
 
 @query("safe_ratio", S.sql("clean", "SELECT id, " + ", ".join(
@@ -325,13 +331,13 @@ def cut_right(spark, sf):
 _CAPPED = ["loan_amnt", "annual_inc", "revol_util", "dti"]
 
 
-@query("winsorize_at", S.sql("staged", "SELECT id, is_bad, \"column\", round_even(least(value, cap), 6) AS value FROM (" + " UNION ALL ".join(
+@query("winsorize_at", S.sql("staged", "SELECT id, is_bad, \"column\", round_even(least(value, cap), 6) AS value, round_even(cap, 6) AS cap FROM (" + " UNION ALL ".join(
     f"SELECT id, is_bad, '{n}' AS \"column\", CAST({n} AS DOUBLE) AS value, "
     f"(SELECT quantile_cont(CAST({n} AS DOUBLE), 0.99) FROM staged WHERE is_bad = 0) AS cap FROM staged"
     for n in _CAPPED) + ") WHERE value IS NOT NULL"))
 def winsorize_at(spark, sf):
     capped = distributions.winsorize_at(R.staged(spark, sf), _CAPPED, ids=["id"])
-    return R.rounded(capped, 6, "value").select("id", "is_bad", "column", "value")
+    return R.rounded(capped, 6, "value", "cap")
 
 
 @query("normalize_codes", S.sql("clean", "SELECT id, upper(grade) AS grade, upper(home_ownership) AS home_ownership FROM clean"))

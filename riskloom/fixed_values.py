@@ -194,5 +194,4 @@ LOSS_GIVEN_DEFAULT = 0.60
 SIGNIFICANCE_LEVEL = 0.05
 WIN_PROBABILITY = 0.80
 BOOTSTRAP_ITERATIONS = 1000
-POSTERIOR_DRAWS = 100_000
 # ------------------------------------------------------------ end fixed values

@@ -16,6 +16,11 @@ def cap(x: Column, name: str) -> Column:
     return F.least(x, F.lit(V.UPPER_CAPS[name]))
 
 
+def round_rate(x: Column) -> Column:
+    """An interest rate with two digits."""
+    return F.round(x, 2)
+
+
 def null_out_of_range(x: Column, low: float, high: float) -> Column:
     """NULL outside the range, else rounded to two digits."""
     return F.when((x >= low) & (x <= high), F.round(x, 2))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom import fixed_values as V
 from riskloom.functions.numeric import half_even, norm_sf
-from riskloom.operators.bootstrap import hash_uniform
 
 CHAMPION, CHALLENGER = "champion", "challenger"
+POSTERIOR = ["prob_challenger_wins", "expected_uplift", "uplift_ci_lower", "uplift_ci_upper"]
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
@@ -50,38 +52,66 @@ def ztest_auc(summary: DataFrame, alpha: float = V.SIGNIFICANCE_LEVEL,
                     (p < alpha).alias("significant"), F.lit(float(alpha)).alias("alpha")))
 
 
-def bayesian_ab(replicates: DataFrame, n_samples: int = V.POSTERIOR_DRAWS) -> DataFrame:
+def difference_at(a: np.ndarray, b: np.ndarray, rank: int) -> float:
+    """The ``rank``-th least (from 0) of all differences b_j - a_i of two ascending lists.
+
+    The answer is narrowed down over the doubles in their order, 64 halvings at
+    most; how many differences are at most x is a binary search per b_j, since
+    b_j - a_i falls as i grows.  No list of differences is ever made.
+    """
+    def ordered(x: float) -> int:
+        bits = int(np.float64(x).view(np.int64))
+        return bits if bits >= 0 else -(bits & (2**63 - 1))
+
+    def double(n: int) -> float:
+        return float(np.int64(n).view(np.float64)) if n >= 0 else -float(np.int64(-n).view(np.float64))
+
+    def at_most(x: float) -> int:
+        low, high = np.zeros(len(b), np.int64), np.full(len(b), len(a))
+        while (low < high).any():
+            middle = (low + high) // 2
+            fits = (b - a[np.minimum(middle, len(a) - 1)] <= x) & (low < high)
+            high = np.where(fits, middle, high)
+            low = np.where(fits | (low >= high), low, middle + 1)
+        return int((len(a) - low).sum())
+
+    low, high = ordered(b[0] - a[-1]), ordered(b[-1] - a[0])
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if at_most(double(middle)) > rank else (middle + 1, high)
+    return double(low)
+
+
+def difference_quantile(a: np.ndarray, b: np.ndarray, share: float) -> float:
+    """A quantile of all differences b_j - a_i, linear between neighbouring ranks."""
+    position = share * (len(a) * len(b) - 1)
+    low, high = (difference_at(a, b, int(r)) for r in (np.floor(position), np.ceil(position)))
+    return low + (high - low) * (position - np.floor(position))
+
+
+def _posterior(replicates: pd.DataFrame) -> pd.DataFrame:
+    a, b = (np.sort(replicates.loc[replicates["model"] == m, "auc"].to_numpy(float)) for m in (CHAMPION, CHALLENGER))
+    if not len(a) or not len(b):
+        return pd.DataFrame([[None] * 4], columns=POSTERIOR, dtype=float)
+    wins = int(np.searchsorted(a, b, side="left").sum())
+    bounds = [difference_quantile(a, b, share) for share in (0.025, 0.975)]
+    return pd.DataFrame([[wins / (len(a) * len(b)), b.mean() - a.mean(), *bounds]], columns=POSTERIOR)
+
+
+def bayesian_ab(replicates: DataFrame) -> DataFrame:
     """Chance that the challenger wins and the spread of its uplift.
 
-    Draws with replacement, independent for both models, from the bootstrap
-    distributions.  Draw i picks its two replicates by the md5 of i.  Both
-    distributions have one row per replicate, so they are broadcast.
+    Both models draw from their bootstrap distributions independently, so every
+    pair of replicates is equally likely, and all of them are counted: the
+    chance by ranks of one list in the other, the bounds by selection on the two
+    sorted lists.  One task reads one number per model and replicate.  Without
+    replicates of a model all is NULL.
     """
-    order = W.partitionBy("model").orderBy("replicate")
-    numbered = replicates.select(
-        "model", "auc", (F.row_number().over(order) - 1).cast("bigint").alias("position"),
-        F.count("*").over(W.partitionBy("model")).alias("size"))
-    sizes = numbered.groupBy("model").agg(F.max("size").alias("size"))
-    digest = F.md5(F.col("draw").cast("string"))
-    draws = replicates.sparkSession.range(n_samples).withColumnRenamed("id", "draw")
-    size = sizes.agg(_of(CHAMPION, "size").alias("a"), _of(CHALLENGER, "size").alias("b"))
-    size = size.select(F.struct("a", "b")).scalar()
-    picks = draws.select(
-        F.floor(hash_uniform(digest, F.lit(0)) * size["a"]).alias("pick_a"),
-        F.floor(hash_uniform(digest, F.lit(1)) * size["b"]).alias("pick_b"))
-
-    def side(model: str, name: str) -> DataFrame:
-        return F.broadcast(numbered.where(F.col("model") == model).select(
-            F.col("position").alias(f"pick_{name}"), F.col("auc").alias(name)))
-
-    drawn = picks.join(side(CHAMPION, "a"), "pick_a").join(side(CHALLENGER, "b"), "pick_b")
-    uplift = drawn.select((F.col("b") > F.col("a")).cast("int").alias("win"),
-                          (F.col("b") - F.col("a")).alias("uplift"))
-    return uplift.agg(
-        half_even(F.avg("win"), 4).alias("prob_challenger_wins"),
-        half_even(F.avg("uplift"), 6).alias("expected_uplift"),
-        half_even(F.percentile("uplift", 0.025), 6).alias("uplift_ci_lower"),
-        half_even(F.percentile("uplift", 0.975), 6).alias("uplift_ci_upper"))
+    exact = replicates.select("model", "auc").groupBy().applyInPandas(
+        _posterior, ", ".join(f"{name} double" for name in POSTERIOR))
+    chance, *uplift = POSTERIOR
+    return exact.select(half_even(F.col(chance), 4).alias(chance),
+                        *[half_even(F.col(name), 6).alias(name) for name in uplift])
 
 
 def business_impact(scored: DataFrame, threshold: float = V.APPROVAL_THRESHOLD,

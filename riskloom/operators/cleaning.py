@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import fixed_values as V
-from riskloom.functions.cleaning import cap, impute, null_out_of_range
+from riskloom.functions.cleaning import cap, impute, null_out_of_range, round_rate
 
 
 def filter_valid(staged: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def cap_upper(df: DataFrame) -> DataFrame:
 def clean_loans(staged: DataFrame) -> DataFrame:
     """Thirty columns of the valid loans, one narrow pass."""
     rules = {
-        "int_rate": F.round("int_rate", 2),
+        "int_rate": round_rate(F.col("int_rate")),
         "dti": null_out_of_range(F.col("dti"), *V.DTI_RANGE),
         "annual_inc": cap(F.col("annual_inc"), "annual_inc"),
         "revol_util": cap(impute("revol_util"), "revol_util"),

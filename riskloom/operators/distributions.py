@@ -86,26 +86,30 @@ def score_histogram(scored: DataFrame, probability: str = "champ_pd", bins: int
             .withColumn("left_edge", low + F.col("bin") * width))
 
 
-def correlation_matrix(df: DataFrame, columns: list[str] = V.CORRELATION_COLUMNS) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str] = V.CORRELATION_COLUMNS,
+                       pilot_rows: int = 1000) -> DataFrame:
     """Pearson correlations over rows without any NULL, as (row, column, corr).
 
-    Two passes: means, then sums of centred products, one plain sum per pair.
-    The complete rows are written once, so ``df`` itself is computed once.
+    One pass of plain sums, which merge in any order: values, and products of
+    values, counted from a pilot mean.  The pilot is the mean of the first
+    ``pilot_rows`` complete rows; any number near the mean will do, as it drops
+    out of the result and only keeps the sums from losing digits.
     """
-    complete = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna())
-    means = complete.agg(*[F.avg(c).alias(c) for c in columns]).select(F.struct(*columns)).scalar()
-    centred = complete.withColumn("_mean", means).selectExpr(
-        *[f"`{c}` - _mean.`{c}` AS `{c}`" for c in columns])
+    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    pilot = complete.limit(pilot_rows).agg(*[F.avg(c).alias(c) for c in columns]).first()
     # Text expressions: a hundred sums as Column objects are slow to build.
+    shifted = complete.selectExpr(*[f"`{c}` - {float(pilot[c] or 0.0)!r}D AS `{c}`" for c in columns])
     pairs = list(combinations_with_replacement(columns, 2))
-    sums = centred.selectExpr(*[f"sum(`{a}` * `{b}`) AS `{a}|{b}`" for a, b in pairs])
+    sums = shifted.selectExpr("count(*) AS `|n`", *[f"sum(`{c}`) AS `{c}`" for c in columns],
+                              *[f"sum(`{a}` * `{b}`) AS `{a}|{b}`" for a, b in pairs])
+    moments = sums.selectExpr(*[f"`{a}|{b}` - try_divide(`{a}` * `{b}`, `|n`) AS `{a}|{b}`" for a, b in pairs])
     cells = []
     for a, b in pairs:
         value = "1D" if a == b else f"try_divide(`{a}|{b}`, sqrt(`{a}|{a}`) * sqrt(`{b}|{b}`))"
         cells += [(x, y, value) for x, y in sorted({(a, b), (b, a)})]
     entries = ", ".join(f"named_struct('feature_a', '{x}', 'feature_b', '{y}', 'corr', {value})"
                         for x, y, value in cells)
-    return sums.selectExpr(f"inline(array({entries}))")
+    return moments.selectExpr(f"inline(array({entries}))")
 
 
 def target_correlation_rank(matrix: DataFrame, target: str = "is_bad") -> DataFrame:

@@ -254,6 +254,45 @@ def gains_lift(scored: DataFrame, probability: str = "prob", key: str = "id",
                       (gains / pct_pop).alias("lift"))
 
 
+def ranked_loans(scored: DataFrame, probability: str = "prob", key: str = "id",
+                 digits: int | None = None) -> DataFrame:
+    """Every loan with its ``place`` from the riskiest on and the ``bads`` up to it.
+
+    Columns: key, prob, is_bad, place, bads, n, n_pos.  A loan's place is what
+    lies above its tick, plus the tick's loans in earlier md5 buckets, plus its
+    row in its own bucket.  A window sees one bucket, 1 in 65,536 of a tick, or
+    the bucket totals of one tick, so no sort ever holds all loans.
+    """
+    scored = _rounded(scored, probability, digits)
+    table = threshold_table(scored, probability=probability, digits=digits)
+    rows = (scored.where(F.col(probability).isNotNull())
+            .select(F.col(key).alias("row_key"), F.col(probability).alias("prob"), "is_bad", _mixed(key).alias("mixed"))
+            .withColumn("bucket", F.substring("mixed", 1, 4)))
+    counted = rows.groupBy("prob", "bucket").agg(F.count("*").alias("n"), F.sum("is_bad").alias("pos"))
+    order = W.partitionBy("prob").orderBy("bucket")
+    above = F.col("pos_before") + F.col("neg_before")
+    starts = counted.withColumns({"n_seen": _before("n", order), "pos_seen": _before("pos", order)}).join(
+        table.drop("pos", "neg"), "prob").select(
+        "prob", "bucket", (above + F.col("n_seen")).alias("first"),
+        (F.col("pos_before") + F.col("pos_seen")).alias("bads_first"), "n_pos", (F.col("n_pos") + F.col("n_neg")).alias("n"))
+    inside = W.partitionBy("prob", "bucket").orderBy("mixed", "row_key")
+    numbered = rows.withColumns({
+        "row": F.row_number().over(inside),
+        "more": F.sum("is_bad").over(inside.rowsBetween(W.unboundedPreceding, 0))})
+    return numbered.join(starts, ["prob", "bucket"]).select(
+        F.col("row_key").alias(key), "prob", "is_bad", (F.col("first") + F.col("row")).alias("place"),
+        (F.col("bads_first") + F.col("more")).alias("bads"), "n", "n_pos")
+
+
+def gains_by_loan(scored: DataFrame, probability: str = "prob", key: str = "id",
+                  digits: int | None = None) -> DataFrame:
+    """A point of the gains and lift curves for every loan, riskiest first by ``place``."""
+    pct_pop = F.col("place") * 100.0 / F.col("n")
+    gains = F.col("bads") * 100.0 / F.col("n_pos")
+    return ranked_loans(scored, probability, key, digits).select(
+        key, "place", pct_pop.alias("pct_pop"), gains.alias("gains"), (gains / pct_pop).alias("lift"))
+
+
 def capture_at(scored: DataFrame, shares: list[float] = (0.10, 0.30), probability: str = "prob",
                key: str = "id", digits: int | None = None) -> DataFrame:
     """Share of bads in the top ``int(n * share) + 1`` loans."""

@@ -9,6 +9,7 @@ from riskloom.operators.bootstrap import (bootstrap_replicates, hashed_replicate
                                           summarize_replicates)
 from riskloom.operators.champion import (CHALLENGER, CHAMPION, bayesian_ab, business_impact,
                                          decision_record, ztest_auc)
+from riskloom.operators.models import PD_DIGITS
 from riskloom.operators.ranking import compare_ks
 from riskloom.sources.storage import materialize
 
@@ -16,8 +17,7 @@ MODELS = {CHAMPION: "champ_pd", CHALLENGER: "chall_pd"}
 
 
 def compare_models(scored: DataFrame, n: int = V.BOOTSTRAP_ITERATIONS,
-                   n_samples: int = V.POSTERIOR_DRAWS, threshold: float = V.APPROVAL_THRESHOLD,
-                   lgd: float = V.LOSS_GIVEN_DEFAULT, hashed: bool = False) -> DataFrame:
+                   threshold: float = V.APPROVAL_THRESHOLD, lgd: float = V.LOSS_GIVEN_DEFAULT, hashed: bool = False) -> DataFrame:
     """The decision record of two scored models on one population.
 
     The replicates, a row per model and replicate, are computed once and kept in
@@ -26,5 +26,5 @@ def compare_models(scored: DataFrame, n: int = V.BOOTSTRAP_ITERATIONS,
     draw = hashed_replicates if hashed else bootstrap_replicates
     replicates = materialize(draw(scored, MODELS, n))
     summary = summarize_replicates(replicates)
-    return decision_record(summary, ztest_auc(summary), bayesian_ab(replicates, n_samples),
-                           compare_ks(scored), business_impact(scored, threshold, lgd))
+    return decision_record(summary, ztest_auc(summary), bayesian_ab(replicates),
+                           compare_ks(scored, digits=PD_DIGITS), business_impact(scored, threshold, lgd))

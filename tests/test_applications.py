@@ -1,6 +1,7 @@
 """Validation and scoring of applications, models, and the whole warehouse."""
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -137,15 +138,37 @@ def test_scorecard_fit(spark, sf, woe):
     train = ready.where("split = 'train'")
     model = M.fit_scorecard(train)
     coefficients, intercept = M.coefficients_of(model)
-    by_model = M.score_with(model, train, V.WOE_FEATURES, "pd")
-    by_hand = M.score_champion(by_model, coefficients, intercept)
-    assert by_hand.where(F.abs(F.col("pd") - F.col("champ_pd")) > 1e-6).count() == 0
+    ready_made = M._vectors(train.withColumns({"weight": M.balanced_weight(train), "label": F.col("is_bad").cast("double")}),
+                            V.WOE_FEATURES)
+    library = LogisticRegression(featuresCol="inputs", labelCol="label", weightCol="weight", tol=1e-12,
+                                 maxIter=500).fit(ready_made)
+    by_hand = M.score_champion(M.score_with(library, train, V.WOE_FEATURES, "pd"), coefficients, intercept)
+    assert by_hand.where(F.abs(F.col("pd") - F.col("champ_pd")) > 2e-6).count() == 0
+    assert model.steps < 15 and model.change < 1e-10
+    for row in M.score_equations(train, model).collect():
+        assert row.observed == pytest.approx(row.predicted, abs=1e-10)
     # Balanced classes: the mean prediction is about a half.
     assert by_hand.agg(F.avg("pd")).first()[0] == pytest.approx(0.5, abs=0.05)
     points = {r.feature: r.points_per_unit_woe for r in M.scorecard_points(ready, coefficients).collect()}
     assert points["grade_woe"] == pytest.approx(-28.8539 * coefficients["grade_woe"], rel=1e-4)
 
 
+def test_scorecard_fit_on_odd_inputs(spark):
+    """An input without spread, one that repeats another, gaps, one outcome only, separated outcomes."""
+    rows = [(i % 3 == 0 and 1 or i % 2, float(i % 5) if i % 7 else None, 0.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "is_bad int, a double, flat double").withColumn("twin", F.col("a"))
+    model = M.fit_scorecard(df, ["a", "flat", "twin"], balanced=False)
+    alone = M.fit_scorecard(df, ["a"], balanced=False)
+    assert model.coefficients["flat"] == pytest.approx(0, abs=1e-9)
+    assert model.coefficients["a"] == pytest.approx(model.coefficients["twin"], abs=1e-8)
+    assert 2 * model.coefficients["a"] == pytest.approx(alone.coefficients["a"], abs=1e-8)
+    with pytest.raises(ValueError, match="outcomes"):
+        M.fit_scorecard(df.where("is_bad = 1"), ["a"], balanced=False)
+    apart = df.withColumn("a", F.col("is_bad").cast("double"))
+    with pytest.raises(ValueError, match="no fit"):
+        M.fit_scorecard(apart, ["a"], balanced=False)
+
+
 def test_scoring_rejects_foreign_inputs(spark, sf):
     with pytest.raises(ValueError):
         M.score_champion(Q.derived(spark, sf), {"loan_status": 1.0}, 0.0)
@@ -154,7 +177,7 @@ def test_scoring_rejects_foreign_inputs(spark, sf):
 def test_missing_inputs_count_as_zero(spark):
     df = spark.createDataFrame([(None, 700.0, 10.0)], "dti double, fico_avg double, int_rate double")
     full = df.fillna(0.0)
-    args = (L.CHALLENGER_COEFFICIENTS, L.CHALLENGER_INTERCEPT)
+    args = ({name: L.CHALLENGER_COEFFICIENTS[name] for name in df.columns}, L.CHALLENGER_INTERCEPT)
     assert M.score_challenger(df, *args).first().chall_pd == M.score_challenger(full, *args).first().chall_pd
     assert cleaning.fill_missing(df, ["dti"]).first().dti == 0
 

@@ -103,12 +103,23 @@ def test_ztest_and_posterior(spark):
     assert test.significant == (test.p_value < 0.05)
     paired = C.ztest_auc(summary, replicates=replicates).first()
     assert paired.z_score == pytest.approx((b.mean() - a.mean()) / (b - a).std(), abs=6e-5)
-    posterior = C.bayesian_ab(replicates, 50_000).first()
+    posterior = C.bayesian_ab(replicates).first()
     gaps = (b[:, None] - a[None, :]).ravel()
-    assert posterior.prob_challenger_wins == pytest.approx((gaps > 0).mean(), abs=0.01)
-    assert posterior.expected_uplift == pytest.approx(gaps.mean(), abs=5e-5)
-    assert posterior.uplift_ci_lower == pytest.approx(np.percentile(gaps, 2.5), abs=2e-4)
-    assert posterior.uplift_ci_upper == pytest.approx(np.percentile(gaps, 97.5), abs=2e-4)
+    assert tuple(posterior) == pytest.approx((round((gaps > 0).mean(), 4), *(round(x, 6) for x in (
+        gaps.mean(), np.percentile(gaps, 2.5), np.percentile(gaps, 97.5)))), abs=1e-9)
+    assert tuple(C.bayesian_ab(replicates.where("model = 'champion'")).first()) == (None,) * 4
+
+
+def test_differences_by_rank():
+    """Every rank of all differences, with ties, negatives, zeros and lists of unequal length."""
+    rng = np.random.default_rng(3)
+    for a, b in [(rng.normal(size=9), rng.normal(size=14)), (rng.integers(0, 3, 12) / 4, rng.integers(0, 3, 5) / 4),
+                 (np.array([0.5]), np.array([0.5])), (np.zeros(4), np.array([-1e-300, 0.0, 1e300]))]:
+        a, b = np.sort(a.astype(float)), np.sort(b.astype(float))
+        gaps = np.sort((b[:, None] - a[None, :]).ravel())
+        assert [C.difference_at(a, b, k) for k in range(len(gaps))] == gaps.tolist()
+        for share in (0, 0.025, 0.3, 1):
+            assert C.difference_quantile(a, b, share) == pytest.approx(np.quantile(gaps, share), rel=1e-12, abs=1e-300)
 
 
 def test_business_impact(scored, rows):

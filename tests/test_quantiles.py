@@ -84,3 +84,17 @@ def test_correlations_against_pandas(spark):
         assert value == pytest.approx(want.loc[a, b], abs=1e-9)
     order = [abs(r.corr) for r in D.target_correlation_rank(matrix).collect()]
     assert order == sorted(order, reverse=True) and len(order) == 2
+
+
+def test_correlations_far_from_zero(spark):
+    """Means 10^8 times the deviation, one constant column, and the loans scanned once."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=4000)
+    a, b = 1e8 + x, -1e8 + 0.5 * x + rng.normal(size=4000)
+    rows = [(float(p), float(q), 7.0) for p, q in zip(a, b)] + [(None, 1.0, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, flat double")
+    matrix = D.correlation_matrix(df, ["a", "b", "flat"], pilot_rows=10)
+    found = {(r.feature_a, r.feature_b): r.corr for r in matrix.collect()}
+    assert found["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-7)
+    assert found["a", "flat"] is None and found["flat", "flat"] == 1.0
+    assert matrix._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1

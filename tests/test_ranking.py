@@ -126,3 +126,20 @@ def test_loans_are_scanned_once_and_only_cell_totals_meet(spark, tmp_path):
     assert path not in plan    # later steps read the ticks
     # One task sees the thousand coarse cells, one the result; never the ticks.
     assert plan.count("Exchange SinglePartition") <= 2
+
+
+@pytest.mark.parametrize("digits", [None, 3])
+def test_gains_by_loan(spark, digits):
+    """A point per loan, as a sort of all loans gives it; loans without a probability have none."""
+    rows = population(900, digits=digits)
+    got = {r.id: r for r in R.gains_by_loan(frame(spark, rows + [(-1, None, 1)]), digits=digits).collect()}
+    order = sorted(rows, key=lambda r: (-r[1], hashlib.md5(str(r[0]).encode()).hexdigest(), r[0]))
+    n_pos, bads = sum(b for _, _, b in rows), 0
+    assert len(got) == len(rows)
+    for place, (i, _, bad) in enumerate(order, start=1):
+        bads += bad
+        assert got[i].place == place
+        assert got[i].gains == pytest.approx(bads * 100 / n_pos)
+        assert got[i].lift == pytest.approx((bads / n_pos) / (place / len(rows)))
+    by_percentile = R.gains_lift(frame(spark, rows), digits=digits).collect()
+    assert all(r.gains == pytest.approx(next(g.gains for g in got.values() if g.place == r.n_top)) for r in by_percentile)

@@ -235,6 +235,17 @@ def test_samples(spark):
     assert first == again and len(first) == 100 and all(i % 2 == 0 for i in first)
     assert 40 < layers.sample_fraction(df, 100, "oot").count() < 180
     assert layers.sample_split(df, 5000, "oot").count() == 500
+    assert layers.sample_split(df, 0, "oot").count() == 0
+
+
+def test_samples_take_the_least_digests(spark):
+    """Also with repeated and missing keys, at every size."""
+    rows = [(i // 3 if i % 10 else None, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, row int").withColumn("split", F.lit("oot"))
+    order = df.withColumn("m", F.md5(F.col("id").cast("string"))).orderBy(F.asc_nulls_last("m"), "id").collect()
+    for n in (1, 7, 123, 359, 361, 400):
+        got = layers.sample_split(df, n, "oot").collect()
+        assert sorted(str(r.id) for r in got) == sorted(str(r.id) for r in order[:n])
 
 
 def test_broadcast_only_when_small(spark):
