@@ -23,7 +23,8 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from riskloom.llm.common import map_batches, texts
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+MARKS = tuple(".,;:!?")
 
 
 def byte_characters() -> dict[int, str]:
@@ -84,9 +85,12 @@ def tokenizer_of_file(path: str) -> str:
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    # Where neither two white-space characters meet nor any other than space and line feed
-    # occurs, no match of the pattern goes over the border before a space.
-    _odd = re.compile(r"\s\s|[^\S \n]")
+    # No match of the pattern goes over the border before a space or a line feed that has no
+    # white space on either side.  Texts in which no two such characters meet are cut there by
+    # plain splitting, others at such spaces only.  Rarer white space is left to the library.
+    _other = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    _rare = re.compile(r"[^\S \n\t\r]")
+    _border = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, definition: str, pattern: str):
         self.tokenizer = Tokenizer.from_str(definition)
@@ -103,26 +107,41 @@ class Encoder:
         self.names = [str(i) for i in range(len(self.bytes_of))]
 
     def encode(self, text: str) -> bytes:
-        if self._odd.search(text):
+        if not self._other.search(text) and text.count(" ") + text.count("\n") + 1 == len(text.split()):
+            first, *rest = text.replace("\n", " \n").split(" ")
+        elif not self._rare.search(text):
+            first, *rest = self._border.split(text)
+        else:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        first, *rest = text.split(" ")
         found = list(map(self.young.get, rest))
         if None in found:
             found = [self._word(w) if ids is None else ids for w, ids in zip(rest, found)]
         return self._merge(first) + b"".join(found)
 
     def _word(self, word: str) -> bytes:
-        """Ids of a space and ``word``; words not met again for long are forgotten."""
-        ids = self.young.get(word) or self.old.get(word) or self._merge(" " + word)
+        """Ids of ``word`` after a space, or after the line feed it starts with.
+
+        Words not met again for long are forgotten.
+        """
+        ids = self.young.get(word) or self.old.get(word) or self._merge(word if word[0] == "\n" else " " + word)
         if len(self.young) >= CACHED_WORDS:
             self.old, self.young = self.young, {}
         self.young[word] = ids
         return ids
 
     def _merge(self, text: str) -> bytes:
-        return array("I", [token.id for part in self.match.findall(text)
+        return array("I", [token.id for part in self._matches(text)
                            for token in self.model.tokenize(mapped(part.encode()))]).tobytes()
 
+    def _matches(self, text: str) -> list[str]:
+        """The matches of the pattern; letters after at most a space and before a mark are told without it."""
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha():
+            return [text]
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return [text[:-1], text[-1]]
+        return self.match.findall(text)
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 

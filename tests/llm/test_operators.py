@@ -26,6 +26,26 @@ def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
 
 
+def test_words_are_cut_where_no_match_crosses():
+    """Ids of texts with any mix of white space, marks and scripts, against both libraries."""
+    import random
+    rng = random.Random(1)
+    pieces = ["a", "Hello", "é", "12", " ", "  ", "\n", "\n\n", "\t", "\r\n", ".", "'s", "'", "<|endoftext|>", "日本",
+              "\u00a0", "\x1c", "\x85", "_", "-", "don't", " x", "word,", "(y)"]
+    ranks = bpe.tokenizer_of_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                              mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(file)
+    library.encode_special_tokens = True
+    one = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    two = bpe.Encoder(bpe.tokenizer_of_file(file), public_tokenizers.PATTERN)
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+        assert np.frombuffer(one.encode(text), "<u4").tolist() == known.encode_ordinary(text), text
+        assert np.frombuffer(two.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def given(spark, texts):
     """Documents with null columns and columns that clash with what operators add."""
     rows = [(i, t, None if i % 3 else "en", None if i % 5 == 4 else f"s{i % 4}", None, "x", "y", "z")
