@@ -49,11 +49,10 @@ placed AS (SELECT *, split_part(part, chr(2), 1) AS body, split_part(part, chr(2
 found AS (SELECT doc_id, owner, repository, kind, rank, CAST("end" AS BIGINT) AS "end",
                  CAST("end" - length(body) AS BIGINT) AS start, CAST("end" - length(value) AS BIGINT) AS value_start, value
           FROM placed WHERE i % 2 = 0 AND length(value) >= least),
-owned AS (SELECT value, count(DISTINCT owner) AS n_owners FROM found GROUP BY value),
-judged AS (SELECT f.*, n_owners >= 3 AS example, n_owners < 3 AND length(f.value) >= 12
-                  AND regexp_matches(f.value, '[0-9]')
-                  AND NOT list_bool_or(list_transform(range(1, length(f.value) - 2), lambda j:
-                      f.value[j] = f.value[j + 1] AND f.value[j] = f.value[j + 2] AND f.value[j] = f.value[j + 3])) AS live
+owned AS (SELECT value, count(DISTINCT owner) >= 3 OR count(DISTINCT (owner, repository)) >= 10 AS example,
+                 len(list_distinct(string_split(value, ''))) AS different FROM found GROUP BY value),
+judged AS (SELECT f.*, example, NOT example AND ((length(f.value) >= 20 AND different >= 8)
+                  OR (length(f.value) >= 8 AND different >= 5 AND regexp_matches(f.value, '[0-9]'))) AS live
            FROM found f JOIN owned USING (value)),
 spans AS (SELECT doc_id, kind, rank, start, "end", example FROM judged
           UNION ALL SELECT DISTINCT doc_id, 'live', 5, value_start, "end", FALSE FROM judged WHERE live)

@@ -1,9 +1,9 @@
 """Secret scan with corpus-wide ownership, in DataFrame functions only.
 
 Candidates are found per document.  Their hashes are counted over the whole
-corpus by distinct repository and owner: a value that several owners have is a
-copied example, a value of one owner that looks random is taken for live.  The
-method adds two kinds of span: ``vendor`` (tokens with a known prefix) and
+corpus by distinct repository and owner: a value that several owners or many
+repositories have is a copied example, another one that looks drawn is taken
+for live.  The method adds two kinds of span: ``vendor`` (tokens with a known prefix) and
 ``live`` (the value of a candidate that is taken for live).
 """
 
@@ -40,6 +40,7 @@ KINDS = [
 BASE_KINDS = ("assign", "access", "hex")
 ORDER = [k.name for k in KINDS] + ["live"]
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 10
 MARK = "[SECRET]"
 
 
@@ -60,18 +61,22 @@ def _matches(text: Column, kind: Kind) -> Column:
     return F.when(text.rlike(kind.hint), found).otherwise(empty)
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, repository, owner, kind, start, end, value_start, value), one row per match."""
+def candidates(docs: DataFrame, row: str, *others: str) -> DataFrame:
+    """``others`` with kind, start, end, value_start, value: one row per match.
+
+    ``row`` tells the rows of ``docs`` apart; they have text, repository and owner.
+    """
+    kept = [row, "repository", "owner", *others]
     every = F.concat(*[_matches(F.col("text"), kind) for kind in KINDS])
-    rows = docs.select("doc_id", "repository", "owner", F.posexplode(every).alias("place", "m"))
-    before = Window.partitionBy("doc_id", "kind").orderBy("place")
+    rows = docs.select(*kept, F.posexplode(every).alias("place", "m"))
+    before = Window.partitionBy(row, "kind").orderBy("place")
     least = F.create_map(*[F.lit(x) for k in KINDS for x in (k.name, k.least)])
-    return (rows.select("doc_id", "repository", "owner", "place", "m.*")
+    return (rows.select(*kept, "place", "m.*")
             .withColumn("end", F.sum(F.col("gap") + F.col("len")).over(before))
             .withColumn("start", F.col("end") - F.col("len"))
             .where(F.length("value") >= F.element_at(least, F.col("kind")))
             .withColumn("value_start", F.col("end") - F.length("value"))
-            .select("doc_id", "repository", "owner", "kind", "start", "end", "value_start", "value"))
+            .select(*kept, "kind", "start", "end", "value_start", "value"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -86,30 +91,48 @@ def ownership(found: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).alias("n_owners"))
 
 
-def looks_random(value: Column) -> Column:
-    """At least 12 characters, a digit among them, and no character four times in a row."""
-    return (F.length(value) >= 12) & value.rlike("[0-9]") & ~value.rlike(r"(.)\1{3}")
+def looks_live(value: Column) -> Column:
+    """Whether a value has the spread of characters that a drawn one has.
+
+    A drawn value uses many of the characters it could: from 8 characters on, at
+    least 5 different ones, and at least 8 from 20 characters on, however they
+    are placed.  Shorter ones than 20 need a digit besides, as words have none.
+    """
+    different = F.size(F.array_distinct(F.regexp_extract_all(value, F.lit("."), F.lit(0))))
+    return ((F.length(value) >= 20) & (different >= 8)) | (
+        (F.length(value) >= 8) & (different >= 5) & value.rlike("[0-9]"))
+
+
+def judged(found: DataFrame) -> DataFrame:
+    """``found`` with n_repositories, n_owners and ``class`` by the value's ownership and look.
+
+    A value that ``EXAMPLE_OWNERS`` owners or ``EXAMPLE_REPOSITORIES``
+    repositories have is a widely copied ``example``; of the others, those that
+    look drawn are ``live`` and the rest ``weak``.
+    """
+    hashed = materialize(found.withColumn("value_hash", F.sha2("value", 256)))
+    copied = (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
+    return hashed.join(ownership(hashed), "value_hash", "left").withColumn(
+        "class", F.when(copied, "example").when(looks_live(F.col("value")), "live").otherwise("weak"))
 
 
-def find_secrets(docs: DataFrame, repository: Column, owner: Column,
-                 example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def find_secrets(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     """One row per span: doc_id, kind, start, end, class, n_repositories, n_owners.
 
-    ``class`` is ``example`` for values that at least ``example_owners`` owners
-    have, ``live`` for other values that look random, else ``weak``.  A null
-    repository or owner counts as one of that name.  Null texts hold nothing;
-    rows without id and repeated ids are treated as ``identified`` says.
+    For ``class`` see ``judged``.  A null repository or owner counts as one of
+    that name.  Null texts hold nothing; rows without id and repeated ids are
+    treated as ``identified`` says.
     """
-    known = identified(docs.select("doc_id", "text", F.coalesce(repository, F.lit("")).alias("repository"),
-                                   F.coalesce(owner, F.lit("")).alias("owner")), "repository", "owner")
-    found = materialize(candidates(known).withColumn("value_hash", F.sha2("value", 256)))
-    judged = found.join(ownership(found), "value_hash", "left").withColumn(
-        "class", F.when(F.col("n_owners") >= example_owners, "example")
-        .when(looks_random(F.col("value")), "live").otherwise("weak"))
+    known = identified(docs.select("doc_id", "text", *_of(repository, owner)), "repository", "owner")
+    every = judged(candidates(known, "doc_id"))
     kept = ["doc_id", "kind", "start", "end", "class", "n_repositories", "n_owners"]
-    live = judged.where("class = 'live'").withColumn("kind", F.lit("live")).withColumn(
+    live = every.where("class = 'live'").withColumn("kind", F.lit("live")).withColumn(
         "start", F.col("value_start")).select(*kept).distinct()
-    return judged.select(*kept).unionByName(live)
+    return every.select(*kept).unionByName(live)
+
+
+def _of(repository: Column, owner: Column) -> list[Column]:
+    return [F.coalesce(repository, F.lit("")).alias("repository"), F.coalesce(owner, F.lit("")).alias("owner")]
 
 
 def _of_kind(kind: str):
@@ -140,14 +163,18 @@ def span_digests(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def redact_live(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
-    """``docs`` with live values replaced by a mark; other documents are untouched.
+    """``docs`` with live values replaced by a mark; null texts become empty.
 
-    ``n_chars`` follows the new text.  Rows without id keep their text.
+    ``n_chars`` follows the new text.  Every row counts and is masked by its own
+    text, whether its id is null or repeated: spans are looked up by the text's
+    128-bit digest, under which equal texts have equal spans.
     """
-    live = find_secrets(docs, repository, owner).where("kind = 'live'")
-    listed = live.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_live"))
     text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.md5(text).alias("_text"),
+                       text.alias("text"), *_of(repository, owner))
+    live = judged(candidates(rows, "row", "_text")).where("class = 'live'")
+    spans = live.select("_text", F.col("value_start").alias("start"), "end").distinct()
+    listed = spans.groupBy("_text").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_live"))
 
     def merge(done: Column, x: Column) -> Column:
         last = F.element_at(done, -1)
@@ -162,7 +189,7 @@ def redact_live(docs: DataFrame, repository: Column, owner: Column) -> DataFrame
     pieces = F.transform(edges, lambda x, i: F.substring(
         text, x["end"].cast("int") + 1,
         F.coalesce(F.get(edges, i + 1)["start"] - x["end"], F.length(text).cast("bigint")).cast("int")))
-    joined = docs.join(small_side(listed), "doc_id", "left")
+    joined = docs.withColumn("_text", F.md5(text)).join(small_side(listed), "_text", "left")
     redacted = F.when(F.col("_live").isNotNull(), F.array_join(pieces, MARK)).otherwise(text)
     return (joined.withColumn("text", redacted).withColumn("n_chars", F.length("text").cast("bigint"))
             .select(*docs.columns))

@@ -158,6 +158,30 @@ def test_live_secrets_are_masked_and_examples_stay(spark):
     assert found[4].n_chars == len(found[4].text)
 
 
+def test_masking_of_odd_rows_and_values(spark):
+    """Repeated and missing ids are masked by their own text; looks go by the spread of characters."""
+    hexed = "0a1b7777c2d3e4f5061728394a5b6c7d8e9f0a1b"
+    texts = [(7, "zzzz long intro before password=k1k2k3k4k5k6"), (7, "password=k1k2k3k4k5k6 first"),
+             (None, "no id: secret=Zx81Qp77mN"), (1, f'token = "{hexed}"'), (2, "password=hunter2x"),
+             (3, "password=required and token: xxxxxxxxxxxx"), (4, None), (4, "again token=hunter2x")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], schema)
+    masked = Counter((r.doc_id, r.text, r.n_chars) for r in secrets.redact_live(docs, *repository_and_owner()).collect())
+    want = [(7, "zzzz long intro before password=[SECRET]"), (7, "password=[SECRET] first"),
+            (None, "no id: secret=[SECRET]"), (1, 'token = "[SECRET]"'), (2, "password=[SECRET]"),
+            (3, "password=required and token: xxxxxxxxxxxx"), (4, ""), (4, "again token=[SECRET]")]
+    assert masked == Counter((i, t, len(t)) for i, t in want)
+
+
+def test_values_of_many_repositories_are_examples(spark):
+    """One owner's value in ten repositories is a copied example, in nine it is live."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for n, kind in ((9, "live"), (10, "example")):
+        docs = spark.createDataFrame([(i, "token=q9w8e7r6t5y4", f"l{i}", "one", 0) for i in range(n)], schema)
+        spans = secrets.find_secrets(docs, *repository_and_owner()).where("kind = 'assign'").collect()
+        assert {(s["class"], s.n_repositories, s.n_owners) for s in spans} == {(kind, n, 1)}
+
+
 # ------------------------------------------------------------------ 3 and 9
 @pytest.fixture(scope="module")
 def ranks():
