@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-DROP_SHUFFLE_FILES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_stored: ContextVar[list[tuple[DataFrame, str]] | None] = ContextVar("stored", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,7 +49,40 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    if _stored.get() is not None:
+        _stored.get().append((made, path))
+    return made
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is materialized inside is deleted at the end, but for what is kept.
+
+    Yields ``keep``, which takes a frame and returns it stored; it belongs to the
+    scope around this one, if there is one.  Nothing else that was made inside
+    may be read afterwards.
+    """
+    made: list[tuple[DataFrame, str]] = []
+    kept: list[tuple[DataFrame, str]] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        if all(df is not stored for stored, _ in made):
+            df = materialize(df)
+        kept.extend(entry for entry in made if entry[0] is df)
+        return df
+
+    token = _stored.set(made)
+    try:
+        yield keep
+    finally:
+        _stored.reset(token)
+        paths = {path for _, path in made} - {path for _, path in kept}
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if _stored.get() is not None:
+            _stored.get().extend(kept)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:

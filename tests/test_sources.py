@@ -260,3 +260,27 @@ def test_shared_dir_follows_the_session(spark):
     if given is not None:
         assert storage.shared_dir(spark) == given
     assert storage.scratch_path(spark, "a") != storage.scratch_path(spark, "a")
+
+
+def test_scratch_is_dropped_but_for_what_is_kept(spark, tmp_path):
+    """Also from a scope inside another, and after an error."""
+    def folders():
+        root = storage.scratch_path(spark, "x").rsplit("/", 1)[0]
+        system = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        return {s.getPath().getName() for s in system.listStatus(path)} if system.exists(path) else set()
+
+    before = folders()
+    with storage.scratch(spark) as keep:
+        storage.materialize(spark.range(3))
+        with storage.scratch(spark) as keep_inside:
+            first = storage.materialize(spark.range(5))
+            inside = keep_inside(first)
+            storage.materialize(spark.range(7))
+        assert inside is first and inside.count() == 5
+        result = keep(inside.where("id > 1"))
+        with pytest.raises(RuntimeError), storage.scratch(spark):
+            storage.materialize(spark.range(9))
+            raise RuntimeError
+    assert result.count() == 3
+    assert len(folders() - before) == 1
