@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.sources.storage import materialize
+from riskloom.sources.storage import materialize, scratch
 
 ROUNDS = 50
 SMALL_BUCKET = 16
@@ -14,22 +14,24 @@ SMALL_BUCKET = 16
 
 # ------------------------------------------------------------- connected components
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every id in ``edges`` (a, b); the component is its least id.
+    """(id, component), stored, of every id in ``edges`` (a, b); the component is its least id.
 
     Alternates the large-star and the small-star step until nothing changes.
     Each round is written to shared storage.  Minima are taken with partial
     aggregation, and a node with very many neighbours only makes its join
     partition large, which adaptive execution splits.
     """
-    links = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .where("u <> v").distinct())
-    state = _state(links)
-    for _ in range(ROUNDS):
-        links = materialize(_small_star(_large_star(links)))
-        last, state = state, _state(links)
-        if state == last:
-            return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-                links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    spark = edges.sparkSession
+    with scratch(spark) as keep:
+        links = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                            .where("u <> v").distinct())
+        state = _state(links)
+        for _ in range(ROUNDS):
+            links = materialize(_small_star(_large_star(links)))
+            last, state = state, _state(links)
+            if state == last:
+                return keep(links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+                    links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
 
 
@@ -82,7 +84,7 @@ def similar(pairs: DataFrame, threshold: int) -> DataFrame:
 
 def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds: int = 1,
                       need: DataFrame | None = None) -> DataFrame:
-    """(id, component) of all ids that link with another one.
+    """(id, component), stored, of all ids that link with another one.
 
     ``shared`` (sig, id) is stored and holds every pair that can link in some
     bucket; ``items_of(ids)`` gives the item arrays of ids.
@@ -102,6 +104,11 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
     that the counts known by then let link.  So no link is lost, and a group of
     copies does not cost its square.
     """
+    with scratch(shared.sparkSession) as keep:
+        return keep(_linked(shared, items_of, threshold, rounds, need))
+
+
+def _linked(shared: DataFrame, items_of: Items, threshold: int, rounds: int, need: DataFrame | None) -> DataFrame:
     sized = shared.join(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig")
     large = (F.col("size") > SMALL_BUCKET).cast("int")
     weight = materialize(sized.groupBy("id").agg(F.sum(F.floor(8 * F.log2("size"))).alias("weight"),
@@ -122,10 +129,10 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
              .where(bounding | (F.col("met") >= F.greatest("need_a", "need_b"))).select("a", "b", "large"))
     first = materialize(compared(first, items))
     links = materialize(similar(first, threshold))
-    classes = materialize(components(links))
+    classes = components(links)
     for _ in range(1, rounds):
         links = materialize(links.unionByName(similar(compared(_next_leaders(first, classes), items), threshold)))
-        classes = materialize(components(links))
+        classes = components(links)
     bound = first.where("large = 1").join(weight.where("large >= need").select(F.col("id").alias("a")), "a", "left_semi")
     rest = _between(bound, classes, items, threshold).unionByName(_in_small_buckets(shared, weight, classes)).distinct()
     rest = rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
@@ -182,43 +189,46 @@ def _next_leaders(first: DataFrame, classes: DataFrame) -> DataFrame:
 def _between(first: DataFrame, classes: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) under one leader, in different components, that could still link.
 
-    Two sets of sizes n and m link only if they share t / (100 + t) * (n + m)
-    items.  Items inside the leader give at most the lesser of what each shares
-    with the leader, which is known.  Where that is not enough, the two must
-    share items outside the leader, and these are joined on.  They are few and
-    rare in a group of near copies, as all they have in common is the leader.
+    Let d be the number of items in which a set of n differs from the leader.
+    Two sets of sizes n and m link if and only if they differ in at most
+    r = (100 - t) / (100 + t) * (n + m) items, and they differ in d + e less
+    twice what their differences share.  So with g = d - (100 - t) / (100 + t) * n
+    they have to share at least half of g + h of their differences.  Of two sets
+    that both link with the leader nothing is left to ask.  A set that does not
+    has at least g = - g(leader), so with every other one some difference is
+    shared: the rarest of its differences, all but as many as any partner has
+    to share, less one, hold one that the partner has among its own.  Only these
+    are joined on.  Differences that one set alone has join with nothing, and
+    what a group of near copies has in common with its leader is no difference.
     """
-    members = materialize(_members(first, classes).drop("leader_n"))
+    members = _members(first, classes)
+    unit = 100 + threshold
+    near = at_least(threshold, F.col("both"), F.col("n"), F.col("leader_n"))
+    members = materialize(members.withColumns({
+        "d": F.col("n") + F.col("leader_n") - 2 * F.col("both"), "near": near}).withColumn(
+        "g", unit * F.col("d") - (100 - threshold) * F.col("n")))
+    least = members.groupBy("leader").agg(F.min("g").alias("least"), F.min(F.when(~F.col("near"), F.col("g"))).alias("least_far"))
+    partner = F.when(F.col("near"), F.col("least_far")).otherwise(F.col("least"))
+    asked = F.greatest(F.lit(1), F.ceil((F.col("g") + partner) / (2 * unit)))
+    asking = (members.join(least.where("least_far is not null"), "leader")
+              .withColumn("prefix", F.col("d") - asked + 1).where("prefix > 0")
+              .select("leader", "id", "component", "near", "d", "g", "prefix"))
     inside = items.select(F.col("id").alias("leader"), F.col("items").alias("inside"))
-    outside = materialize(
-        members.join(items, "id").join(inside, "leader")
-        .select("leader", "id", F.explode(F.array_except("items", "inside")).alias("item")))
-    common = outside.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    outside = materialize(outside.join(common.select("leader", "item"), ["leader", "item"], "left_semi"))
-    extra = outside.groupBy("leader", "id").agg(F.count(F.lit(1)).alias("extra"))
-    # what a set shares with the leader or with anyone else under it has to reach the threshold
-    able = (members.join(extra, ["leader", "id"], "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
-            .where(100 * (F.col("both") + F.col("extra")) >= threshold * F.col("n")))
-    able = materialize(able.join(_main(able), "leader"))
+    differing = F.concat(F.array_except("items", "inside"), F.array_except("inside", "items"))
+    rows = materialize(asking.join(items, "id").join(inside, "leader")
+                       .select("leader", "id", "prefix", F.explode(differing).alias("item")))
+    holders = rows.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders"))
+    rarest = Window.partitionBy("leader", "id").orderBy("holders", "item")
+    held = materialize(rows.join(holders, ["leader", "item"]).withColumn("place", F.row_number().over(rarest))
+                       .where("place <= prefix and holders > 1").select("leader", "id", "item")
+                       .join(asking.drop("prefix"), ["leader", "id"]))
 
     def side(rows: DataFrame, k: str) -> DataFrame:
-        names = {"id": "i", "component": "c", "n": "n", "both": "b", "extra": "e"}
-        return rows.select(*[F.col(o) for o in rows.columns if o not in names],
-                           *[F.col(o).alias(f"{new}{k}") for o, new in names.items()])
-
-    def possible(shared: Column) -> Column:
-        """Whether two members with ``shared`` items outside the leader can link."""
-        return ((100 + threshold) * (F.least("b1", "b2") + shared) >= threshold * (F.col("n1") + F.col("n2")))
-
-    # one of two is outside the main component; if both are, one order is enough
-    differ = (F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("i1") < F.col("i2")))
-    pair = [F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")]
-    one, two = side(able.where("component <> main").drop("main"), "1"), side(able, "2")
-    without = one.join(two, "leader").where(differ & possible(F.lit(0))).select(*pair)
-
-    held = outside.join(able, ["leader", "id"])
-    one, two = side(held.where("component <> main").drop("main"), "1"), side(held, "2")
-    sharing = (one.join(two, ["leader", "item"]).where(differ & possible(F.least("e1", "e2")))
-               .groupBy("leader", "i1", "i2", "b1", "b2", "n1", "n2")
-               .agg(F.count(F.lit(1)).alias("shared")).where(possible(F.col("shared"))).select(*pair))
-    return without.unionByName(sharing).distinct()
+        return rows.select("leader", "item", *[F.col(name).alias(f"{name}{k}") for name in ("id", "component", "near", "d", "g")])
+
+    # a pair has a far one, which comes first; of two far ones one order is enough
+    shares = F.ceil((F.col("g1") + F.col("g2")) / (2 * unit))
+    fit = ((F.col("component1") != F.col("component2")) & (F.col("near2") | (F.col("id1") < F.col("id2")))
+           & (shares <= F.least("d1", "d2")))
+    return (side(held.where("not near"), "1").join(side(held, "2"), ["leader", "item"]).where(fit)
+            .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")).distinct())

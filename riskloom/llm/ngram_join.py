@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import mix, shingles, word_hashes, words_of
-from riskloom.sources.storage import materialize
+from riskloom.sources.storage import materialize, scratch
 
 THRESHOLD = 75
 BAND = 4  # a band reaches up to this many times its least size
@@ -79,18 +79,20 @@ def signatures(items: np.ndarray, salt: int = 0, threshold: int = THRESHOLD) ->
 
 
 def shingle_sets(docs: DataFrame, salt: int = 0) -> DataFrame:
-    """(doc_id, n_shingles, set, sigs) per document; ``set`` is a digest of the shingles."""
+    """(doc_id, n_shingles, set, set2, sigs) per document; the shingles' digest of 128 bits is in two halves."""
     def run(batch):
-        made = {"doc_id": batch["doc_id"], "n_shingles": [], "set": [], "sigs": []}
+        made = {"doc_id": batch["doc_id"], "n_shingles": [], "set": [], "set2": [], "sigs": []}
         for text in batch["text"]:
             items = shingles(word_hashes(words_of(text)))
             sigs = signatures(items, salt)
             made["n_shingles"].append(len(items))
-            made["set"].append(xxhash.xxh3_64_intdigest(items.tobytes()) - 2**63)
+            digest = xxhash.xxh3_128_intdigest(items.tobytes())
+            made["set"].append((digest >> 64) - 2**63)
+            made["set2"].append((digest & (2**64 - 1)) - 2**63)
             made["sigs"].append(None if sigs is None else sigs.view(np.int64))
         yield made
 
-    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, set bigint, sigs array<bigint>")
+    return map_batches(docs, run, "doc_id bigint, n_shingles bigint, set bigint, set2 bigint, sigs array<bigint>")
 
 
 def items_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -105,37 +107,45 @@ def items_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per document.
+    """(doc_id, n_shingles, component_id), one row per document, stored.
 
     Two documents link when their shingle sets have a Jaccard similarity of at
     least 75 percent; ``component_id`` is the least ``doc_id`` within reach.
     Null texts and texts without a word have no shingles and link with nothing;
     shorter texts than a shingle count as one shingle.  Rows without id and
-    repeated ids: see ``identified``.  Shingles and sets are compared by 64-bit
-    hashes, sets exactly otherwise.
+    repeated ids: see ``identified``.  Shingles are compared by 64-bit hashes,
+    equal sets by 128 bits of them.
     """
     known = identified(docs)
-    for salt in range(SALTS):
-        sets = materialize(shingle_sets(known, salt))
-        if sets.where("sigs is null").isEmpty():
-            break
-    else:
-        raise RuntimeError("no salt spreads every set over enough cells")
-    # from here on the first document of equal sets stands for all of them
-    filled = sets.where("n_shingles > 0")
-    equal = materialize(filled.select("doc_id", "n_shingles", "set").join(
-        filled.groupBy("set").agg(F.min("doc_id").alias("id")), "set").select("doc_id", "n_shingles", "id"))
-    single = filled.join(small_side(equal.where("doc_id <> id").select("doc_id")), "doc_id", "left_anti")
-    shared = materialize(shared_only(single.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))))
-    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * THRESHOLD / 100) / SPARE))
-    enough = materialize(shared.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
-                         .join(equal.where("doc_id = id").select("id", need.alias("need")), "id").where("c >= need"))
-    shared = materialize(shared_only(shared.join(enough, "id", "left_semi")))
-    classes = linked_components(shared, partial(items_of, known), THRESHOLD, need=enough.select("id", "need"))
-    placed = equal.join(classes, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    empty = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.unionByName(empty)
+    with scratch(docs.sparkSession) as keep:
+        equal, shared = _equal_and_shared(known)
+        need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * THRESHOLD / 100) / SPARE))
+        first = equal.where("n_shingles > 0 and doc_id = id").select("id", need.alias("need"))
+        enough = materialize(shared.groupBy("id").agg(F.count(F.lit(1)).alias("c")).join(first, "id").where("c >= need"))
+        shared = materialize(shared_only(shared.join(enough, "id", "left_semi")))
+        classes = linked_components(shared, partial(items_of, known), THRESHOLD, need=enough.select("id", "need"))
+        return keep(equal.join(classes, "id", "left").select(
+            "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
+
+
+def _equal_and_shared(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, id) with the first document of equal sets, and what ``shared_only`` leaves of those."""
+    with scratch(known.sparkSession) as keep:
+        for salt in range(SALTS):
+            sets = materialize(shingle_sets(known, salt))
+            if sets.where("sigs is null").isEmpty():
+                break
+        else:
+            raise RuntimeError("no salt spreads every set over enough cells")
+        filled = sets.where("n_shingles > 0")
+        same = [F.col("set"), F.col("set2")]
+        first = filled.groupBy(*same).agg(F.min("doc_id").alias("id"))
+        empty = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("id"))
+        equal = keep(filled.select("doc_id", "n_shingles", *same).join(first, ["set", "set2"])
+                     .select("doc_id", "n_shingles", "id").unionByName(empty))
+        # from here on the first document of equal sets stands for all of them
+        single = filled.join(small_side(equal.where("doc_id <> id").select("doc_id")), "doc_id", "left_anti")
+        return equal, keep(shared_only(single.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))))
 
 
 def keep_one(docs: DataFrame, *others: str) -> DataFrame:
