@@ -24,7 +24,7 @@ from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
 from riskloom.llm.shingles import WIDTH, mix, shingles, windows, word_hashes
 from riskloom.llm.spans import merged, without
-from riskloom.sources.storage import materialize
+from riskloom.sources.storage import materialize, scratch
 
 THRESHOLD = 75
 RECALL = 0.99
@@ -250,12 +250,14 @@ def cleaned(docs: DataFrame, *others: str, unwrap: bool = False) -> DataFrame:
     are treated as ``identified`` says.
     """
     known = identified(docs, *others)
-    spans = materialize(repeated_spans(known.select("doc_id", "text")))
+    with scratch(docs.sparkSession) as keep:
+        spans = keep(repeated_spans(known.select("doc_id", "text")))
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "similar")).alias("spans"))
     joined = known.join(small_side(listed), "doc_id", "left")
     if unwrap:
-        listed = repeated_passages(joined).groupBy("doc_id").agg(
-            F.collect_list(F.struct("start", "end")).alias("more"))
+        with scratch(docs.sparkSession) as keep:
+            found = keep(repeated_passages(joined))
+        listed = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("more"))
         joined = joined.join(small_side(listed), "doc_id", "left")
     else:
         joined = joined.withColumn("more", F.lit(None).cast("array<struct<start:bigint,end:bigint>>"))

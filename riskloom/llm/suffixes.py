@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.shingles import mix
 from riskloom.llm.spans import merged, without
-from riskloom.sources.storage import materialize
+from riskloom.sources.storage import materialize, scratch
 
 Q = 50
 LENGTH = 2 * Q  # two q-grams make a string, so a pair of identifiers tells it
@@ -180,7 +180,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     by 128 bits of hash.
     """
     known = identified(docs)
-    spans = materialize(repeated_spans(known))
+    with scratch(docs.sparkSession) as keep:
+        spans = keep(repeated_spans(known))
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = known.join(small_side(listed), "doc_id", "left")
 
