@@ -114,6 +114,11 @@ def rejected_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark_select(spark.read.parquet(f"{sf_dir}/orders.parquet"), REJECTED_VIEW)
 
 
+def write_rejected_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The rejected-applications files, some with line breaks in the title."""
+    rejected_raw(spark, sf_dir).write.options(header=True, escape='"').csv(path)
+
+
 # Lines that are no loans, under the header of the accepted-loans file: some end
 # after two fields, some have a word for the amount.
 BROKEN = {

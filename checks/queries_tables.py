@@ -55,7 +55,7 @@ def count_malformed(spark, sf):
        + ' FROM r WHERE "Amount Requested" IS NOT NULL')
 def read_rejected(spark, sf):
     path = scratch_path(spark, "rejected-csv")
-    L.rejected_raw(spark, sf).write.options(header=True, escape='"').csv(path)
+    L.write_rejected_files(spark, sf, path)
     return csv.read_rejected(spark, path)
 
 
@@ -115,6 +115,34 @@ def profile_columns(spark, sf):
     return profile.profile_columns(R.staged(spark, sf))
 
 
+@query("profile_by_split")
+def profile_by_split(spark, sf):
+    """Sketches of each split, merged."""
+    return profile.merged_profile(profile.profile_parts(R.derived(spark, sf), ["split"], _FEATURE_NUMBERS))
+
+
+_FEATURE_NUMBERS = [n for n in V.PROFILE_COLUMNS if n in S.CLEAN_COLUMNS]
+_MERGED = " UNION ALL ".join(
+    f"SELECT '{n}' AS \"column\", count(*) AS total_rows, count(*) - count(v) AS null_count, {S.dr('avg(v)', 4)} AS mean, "
+    f"{S.dr('stddev_samp(v)', 4)} AS std_dev, {S.dr('min(v)', 4)} AS min, {S.dr('max(v)', 4)} AS max, count(DISTINCT v) > 0 AS distinct_close, "
+    f"count(v) > 0 AS quartiles_close FROM (SELECT CAST({n} AS DOUBLE) AS v FROM features)" for n in _FEATURE_NUMBERS)
+
+
+@query("merged_profile", S.sql("features", _MERGED))
+def merged_profile(spark, sf):
+    """The merged sketches, held against exact distinct counts and the true ranks of their quartiles."""
+    made = R.derived(spark, sf)
+    merged = profile.merged_profile(profile.profile_parts(made, ["split"], _FEATURE_NUMBERS))
+    long = profile.unpivot_numeric(made, _FEATURE_NUMBERS).where("value is not null")
+    ranks = [(F.avg((c("value") < c(q)).cast("int")) <= p + 0.01) & (F.avg((c("value") <= c(q)).cast("int")) >= p - 0.01)
+             for q, p in profile.QUARTILES.items()]
+    truth = long.join(F.broadcast(merged), "column").groupBy("column").agg(
+        (F.abs(F.count_distinct("value") - F.max("distinct_count")) <= 0.04 * F.count_distinct("value")).alias("distinct_close"),
+        (ranks[0] & ranks[1] & ranks[2]).alias("quartiles_close"))
+    return merged.join(truth, "column").select(
+        "column", "total_rows", "null_count", "mean", "std_dev", "min", "max", "distinct_close", "quartiles_close")
+
+
 @query("write_csv_report", S.sql("staged", _PROFILE))
 def write_csv_report(spark, sf):
     path = scratch_path(spark, "profile-csv")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from riskloom import fixed_values as V
 from riskloom.functions.numeric import dround, half_even
 from riskloom.operators.quantiles import exact_quantiles, value_counts
 from riskloom.sources.storage import materialize
 
+HLL_BITS, KLL_SIZE = 14, 400
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
 
@@ -27,8 +28,12 @@ def profile_columns(df: DataFrame, columns: list[str] = V.PROFILE_COLUMNS,
     value.  ``approximate`` takes moments and sketches in a single pass instead
     and never shuffles values.
     """
-    long = unpivot_numeric(df, columns)
-    stats = _sketched(long) if approximate else _exact(materialize(value_counts(long, ["column"])))
+    if approximate:
+        return merged_profile(profile_parts(df, columns=columns))
+    return _rounded(_exact(materialize(value_counts(unpivot_numeric(df, columns), ["column"]))))
+
+
+def _rounded(stats: DataFrame) -> DataFrame:
     null_pct = half_even(F.try_divide(F.col("null_count") * 100.0, F.col("total_rows")), 2)
     return stats.select(
         "column", "total_rows", "null_count", null_pct.alias("null_pct"), "distinct_count",
@@ -36,13 +41,40 @@ def profile_columns(df: DataFrame, columns: list[str] = V.PROFILE_COLUMNS,
           for name in ("mean", "std_dev", "min", "max", *QUARTILES)])
 
 
-def _sketched(long: DataFrame) -> DataFrame:
-    return long.groupBy("column").agg(
-        F.count("*").alias("total_rows"), (F.count("*") - F.count("value")).alias("null_count"),
-        F.approx_count_distinct("value").alias("distinct_count"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std_dev"),
+def profile_parts(df: DataFrame, by: list[str] = (), columns: list[str] = V.PROFILE_COLUMNS) -> DataFrame:
+    """What ``merged_profile`` needs of each group of rows: one row per group and column.
+
+    Counts, range, mean and variance, and two sketches: one of distinct values
+    (standard error 0.8 percent) and one of ranks (quartiles within 1 percent
+    of their rank).  All are taken map-side, so no value is shuffled.  Parts are
+    meant to be stored: a new part of a layer is profiled alone and merged.
+    """
+    long = unpivot_numeric(df, columns, by)
+    hashed = F.when(F.col("value").isNotNull(), F.xxhash64(F.col("value") + 0.0))  # -0 is 0
+    return long.groupBy(*by, "column").agg(
+        F.count("*").alias("total_rows"), F.count("value").alias("n"),
+        F.avg("value").alias("mean"), F.var_pop("value").alias("variance"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-        *[F.percentile_approx("value", p, 10000).alias(name) for name, p in QUARTILES.items()])
+        F.hll_sketch_agg(hashed, HLL_BITS).alias("distinct"), F.kll_sketch_agg_double("value", KLL_SIZE).alias("ranks"))
+
+
+def merged_profile(parts: DataFrame) -> DataFrame:
+    """The profile of all rows behind ``parts``, with distinct values and quartiles estimated."""
+    whole = W.partitionBy("column")
+    mean = F.try_divide(F.sum(F.col("mean") * F.col("n")).over(whole), F.sum("n").over(whole))
+    centred = parts.withColumn("off", F.col("n") * (F.col("variance") + F.pow(F.col("mean") - mean, 2)))
+    present = F.col("n") > 0
+    merged = centred.groupBy("column").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.try_divide(F.sum(F.col("mean") * F.col("n")), F.sum("n")).alias("mean"), F.sum("off").alias("off"),
+        F.hll_sketch_estimate(F.hll_union_agg(F.when(present, F.col("distinct")))).alias("distinct_count"),
+        F.kll_merge_agg_double(F.when(present, F.col("ranks")), KLL_SIZE).alias("ranks"))
+    quartiles = [F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("ranks", F.lit(p))).alias(name)
+                 for name, p in QUARTILES.items()]
+    return _rounded(merged.select(
+        "column", "total_rows", (F.col("total_rows") - F.col("n")).alias("null_count"),
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), "mean",
+        F.sqrt(F.try_divide(F.col("off"), F.nullif(F.col("n") - 1, F.lit(0)))).alias("std_dev"), "min", "max", *quartiles))
 
 
 def _exact(counts: DataFrame) -> DataFrame:

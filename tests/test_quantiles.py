@@ -98,3 +98,31 @@ def test_correlations_far_from_zero(spark):
     assert found["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-7)
     assert found["a", "flat"] is None and found["flat", "flat"] == 1.0
     assert matrix._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_merged_sketches(spark):
+    """Parts stored one by one merge to the profile of all rows, within the stated bounds."""
+    rng = np.random.default_rng(5)
+    n = 30_000
+    pdf = pd.DataFrame({"part": rng.integers(0, 4, n), "a": 1e6 + np.round(rng.gamma(2, 1000, n), 1),
+                        "b": rng.integers(0, 3, n).astype(float)})
+    df = spark.createDataFrame(pdf).withColumns({
+        "a": F.when((F.col("part") != 3) & (F.col("a") < 1e6 + 9000), F.col("a")),   # a part without any value
+        "none": F.lit(None).cast("double")})
+    columns = ["a", "b", "none"]
+    parts = [P.profile_parts(df.where(F.col("part") == i), columns=columns) for i in range(4)]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    merged = {r.column: r for r in P.merged_profile(stored).collect()}
+    grouped = {r.column: r for r in P.merged_profile(P.profile_parts(df, ["part"], columns)).collect()}
+    exact = {r.column: r for r in P.profile_columns(df, columns).collect()}
+    for name in columns:
+        for rough in (merged[name], grouped[name]):
+            for field in ("total_rows", "null_count", "null_pct", "mean", "std_dev", "min", "max"):
+                assert rough[field] == pytest.approx(exact[name][field], rel=1e-9, abs=1e-4) or rough[field] == exact[name][field]
+            assert rough.distinct_count == pytest.approx(exact[name].distinct_count, rel=0.03)
+            if name != "none":
+                values = np.sort([r[0] for r in df.where(f"{name} is not null").select(name).collect()])
+                for field, p in P.QUARTILES.items():
+                    low, high = (np.searchsorted(values, rough[field], side) / len(values) for side in ("left", "right"))
+                    assert low - 0.01 <= p <= high + 0.01
+    assert merged["none"].p50 is None and merged["none"]["mean"] is None
