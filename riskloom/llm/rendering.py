@@ -35,12 +35,15 @@ CLOSES = {  # a start tag closes these if they are open, but not beyond the barr
 }
 IN_HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
 BARRIERS = {"table", "td", "th", "html", "body"}  # an end tag of something else does not reach beyond
+MOST_SPANNED = {"colspan": 1000, "rowspan": 65534}  # fixed values of HTML
+GAP = 2  # between columns
 CALLS = 4  # of Python functions for a level of the tree, at most
 
 # A quote counts only right after "="; elsewhere it is part of a name or value.
 VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
 NAMED = rf"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE}?+)?+"""
 TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{NAMED})*+)>""", re.S)
+UNCLOSED = re.compile(r"<!--.*\Z", re.S)
 ATTRIBUTE = re.compile(rf"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE}))?""")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -50,6 +53,7 @@ class Node:
     tag: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list = field(default_factory=list)
+    holds_cells: bool = False  # cells of the row that it is in are inside of it
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -108,6 +112,11 @@ class Builder:
                     break
         node = Node(tag, attributes(source))
         self.open[-1].children.append(node)
+        if tag in ("td", "th"):
+            for outer in reversed(self.open):
+                if outer.tag == "table" or outer.holds_cells:
+                    break
+                outer.holds_cells = True
         if tag not in VOID and not source.rstrip().endswith("/"):
             self.enter(node)
 
@@ -122,10 +131,11 @@ class Builder:
 
 def built(page: str) -> Builder:
     builder, at = Builder(), 0
-    while token := TOKEN.search(page, at):
+    last = page.rfind(">")  # beyond it no tag is closed, so none is looked for
+    while token := TOKEN.search(page, at) if at <= last else UNCLOSED.search(page, at):
         builder.text(page[at:token.start()])
         at = token.end()
-        if token[2] is None:  # comment or declaration
+        if token.re is UNCLOSED or token[2] is None:  # comment or declaration
             continue
         tag = token[2].lower()
         if token[1]:
@@ -133,7 +143,7 @@ def built(page: str) -> Builder:
             continue
         builder.start(tag, token[3])
         if tag in RAW:
-            closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            closing = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at) if at <= last else None
             inner, at = (page[at:closing.start()], closing.end()) if closing else (page[at:], len(page))
             if tag not in HIDDEN:
                 builder.text(inner)
@@ -144,7 +154,7 @@ def built(page: str) -> Builder:
 
 def visible(node: Node) -> bool:
     a = node.attributes
-    return not (node.tag in HIDDEN or "hidden" in a or a.get("aria-hidden") == "true"
+    return not (node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or a.get("aria-hidden") == "true"
                 or node.tag == "input" or UNSEEN.search(a.get("style", "")))
 
 
@@ -187,34 +197,80 @@ class Page:
             self.gap = spaced
 
 
-def holds_cells(node: Node) -> bool:
-    """Whether cells of the row that ``node`` is in are inside of it."""
-    waiting = [node]
-    while waiting:
-        part = waiting.pop()
-        if part.tag in ("td", "th"):
-            return True
-        if part.tag != "table":
-            waiting += [c for c in part.children if isinstance(c, Node)]
-    return False
+def _span(cell: Node, name: str) -> int:
+    """How many columns or rows a cell takes, within HTML's bounds; rowspan 0 is all that follow."""
+    given, most = cell.attributes.get(name, "1").strip(), MOST_SPANNED[name]
+    if not given.isdecimal():
+        return 1
+    return min(int(given[:6]), most) or (1 if name == "colspan" else most)
+
+
+def _placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """(column, end, lines) of each cell of each row, past the cells that reach down from rows above."""
+    taken: list[tuple[int, int, int]] = []  # columns from, to, and the first row below
+    grid = []
+    for number, row in enumerate(rows):
+        found, at, above = [], 0, [t for t in taken if t[2] > number] if row else []
+        waiting = iter(above)
+        block = next(waiting, None)
+        for lines, columns, down in row:
+            while block and block[0] <= at:
+                at, block = max(at, block[1]), next(waiting, None)
+            found.append((at, at + columns, lines))
+            if down > 1:
+                above.append((at, at + columns, number + down))
+            at += columns
+        grid.append(found)
+        if row:
+            taken = []
+            for start, end, until in sorted(above):
+                if taken and taken[-1][1] == start and taken[-1][2] == until:
+                    start = taken.pop()[0]
+                taken.append((start, end, until))
+    return grid
+
+
+def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """The lines of a table: every column as wide as its widest cell, a cell's lines below one another."""
+    grid = _placed(rows)
+    edges = sorted({edge for row in grid for start, end, _ in row for edge in (start, end)})
+    index = {edge: i for i, edge in enumerate(edges)}
+    starts = [0] * max(1, len(edges))  # where each column begins
+    reach: dict[int, list[tuple[int, int]]] = {}  # by end: begin and width of the cells that end there
+    for row in grid:
+        for start, end, lines in row:
+            reach.setdefault(index[end], []).append((index[start], max(map(len, lines), default=0)))
+    for i in range(1, len(edges)):
+        starts[i] = max([starts[i - 1], *[starts[begin] + width + GAP for begin, width in reach.get(i, [])]])
+    made = []
+    for row in grid:
+        if not any(lines for _, _, lines in row):
+            continue
+        for k in range(max(len(lines) for _, _, lines in row)):
+            line = ""
+            for start, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    line = line.ljust(starts[index[start]]) + lines[k]
+            made.append(line.rstrip())
+    return made
 
 
 def table_lines(node: Node) -> list[str]:
-    """Rows of cells, each column as wide as its widest cell; captions come first.
+    """Captions first, then rows of aligned cells, which keep their blocks, lists and spans.
 
     What is neither a row nor a cell comes first too; cells inside of it are cells.
     """
     rows, above = [], []
 
-    def cells(row: Node) -> list[str]:
+    def cells(row: Node) -> list[tuple[list[str], int, int]]:
         found, waiting = [], row.children[::-1]
         while waiting:
             child = waiting.pop()
             if isinstance(child, str):
                 above.extend([child.strip()] if child.strip() else [])
             elif visible(child) and child.tag in ("td", "th"):
-                found.append(" ".join(x for x in render(child) if x))
-            elif visible(child) and holds_cells(child):
+                found.append((render(child), _span(child, "colspan"), _span(child, "rowspan")))
+            elif visible(child) and child.holds_cells:
                 waiting += child.children[::-1]
             elif visible(child):
                 above.extend(x for x in render(Node("div", children=[child])) if x)
@@ -232,9 +288,7 @@ def table_lines(node: Node) -> list[str]:
                 above.extend(x for x in render(Node("div", children=[child])) if x)
 
     collect(node)
-    widths = [max(len(row[i]) for row in rows if i < len(row)) for i in range(max(map(len, rows), default=0))]
-    return above + [line for row in rows if (line := "  ".join(
-        cell.ljust(width) for cell, width in zip(row, widths)).rstrip())]
+    return above + _aligned(rows)
 
 
 def list_lines(node: Node) -> list[str]:

@@ -543,10 +543,7 @@ def test_pages_nested_deep(tag, depth):
     inner = ("<p hidden>no</p><div style='display:none'><div>no</div></div><table><tr><td>a<td>b<tr><td>c<td>d</table>"
              "<ol><li>e<li>f</ol><div>g</div></u>h")
     lines = [x.strip(" -") for x in rendering.page_text(f"<{tag}>" * depth + inner).split("\n") if x.strip()]
-    if "td" in tag:
-        assert lines == ["a  b c  d 1. e 2. f g h"]
-    else:
-        assert lines == ["a  b", "c  d", "1. e", "2. f", "g", "h"]
+    assert lines == ["a  b", "c  d", "1. e", "2. f", "g", "h"]   # a cell keeps its blocks
 
 
 def test_pages_keep_every_row(spark):
@@ -582,3 +579,76 @@ def test_rows_without_id_and_repeated_rows(spark, name):
     found = EVERY[name](docs).collect()
     assert {r.doc_id for r in found} == {1, 2}
     assert name == "9" or len(found) == 2
+
+
+# ------------------------------------------------------------------ 8, layout of cells
+def test_cells_keep_their_blocks():
+    page = "<table><tr><td><h1>Title</h1><p>para one</p><ul><li>x<li>y</ul><pre>a   b</pre></table>"
+    assert rendering.page_text(page) == "Title\n\npara one\n\n- x\n- y\n\na   b"
+    beside = rendering.page_text("<table><tr><td><p>a<p>b<td>c<tr><td>long cell<td>d</table>").split("\n")
+    assert beside == ["a          c", "", "b", "long cell  d"]
+
+
+def test_cells_that_span():
+    page = ("<table><tr><th colspan=2>Total<th>N<tr><td rowspan=2>a<td>bb<td>1<tr><td>c<td>2"
+            "<tr><td colspan=3>a line that is longer than all of them<td>z</table>")
+    assert rendering.page_text(page).split("\n") == [
+        "Total  N", "a  bb  1", "   c   2", "a line that is longer than all of them  z"]
+    assert rendering.page_text("<table><tr><td rowspan=0>a<td colspan=x>b<tr><td>c<tr><td>d</table>").split("\n") == [
+        "a  b", "   c", "   d"]
+    assert rendering.page_text("<table><tr><td colspan=99999999>a<td>b</table>") == "a  b"
+
+
+def test_every_visible_text_node_comes_out():
+    """In order, against the parser of the standard library, on pages of random structure."""
+    import random
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.words = []
+
+        def handle_data(self, data):
+            self.words += data.split()
+
+    rng = random.Random(2)
+    inline, blocks = ["b", "i", "span", "a"], ["div", "p", "ul", "li", "section", "blockquote", "h2", "pre"]
+
+    def part(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return f"w{rng.randint(0, 999)} "
+        tag = rng.choice(inline + blocks)
+        inner = "".join(part(depth - 1) for _ in range(rng.randint(1, 3)))
+        return f"<{tag}>{inner}</{tag}>" if rng.random() < 0.8 or tag in inline else f"<{tag}>{inner}"
+
+    for _ in range(300):
+        page = "".join(part(4) for _ in range(4))
+        parser = Words()
+        parser.feed(page)
+        parser.close()
+        words = [w for w in rendering.page_text(page).split() if w != "-"]
+        assert "".join(words) == "".join(parser.words), page
+
+
+@pytest.mark.parametrize("page", ["<p>" + "<a " * 330_000, "<table><tr>" + "<form>" * 3000 + "<td>x",
+                                  "<script>" + "</script " * 110_000, "<p>" + "<a x=\"" * 160_000 + ">",
+                                  "<!-- x" * 160_000, "<table>" + "<tr><td rowspan=60000 colspan=900>a<td>b" * 3000],
+                         ids=["open tags", "forms", "script", "quotes", "comments", "spans"])
+def test_hostile_pages_take_linear_time(page):
+    import time
+    start = time.process_time()
+    rendering.page_text(page)
+    assert time.process_time() - start < 4
+
+
+def test_closed_dialogs_are_hidden():
+    assert rendering.page_text("a<dialog>b</dialog><dialog open>c</dialog>") == "ac"
+
+
+def test_pages_of_an_empty_table_and_with_clashing_columns(spark):
+    schema = "page_id bigint, url string, html string"
+    assert rendering.extract(spark.createDataFrame([], schema)).count() == 0
+    rows = [(1, "u", "<p>x", "t", 1), (None, None, None, None, None), (1, "u", "<p>x", "t", 1)]
+    found = rendering.extract(spark.createDataFrame(rows, schema + ", text string, n_lines int")).collect()
+    assert Counter(map(tuple, found)) == Counter({(1, "u", "x", 1): 2, (None, None, "", 0): 1})
