@@ -76,12 +76,12 @@ def build(owner: np.ndarray, keys: np.ndarray, size: np.ndarray) -> Tables:
     return made
 
 
-def peel(left: Tables, right: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(only left, only right, peeled) per owner: how many keys, and whether all came out."""
+def peel(left: Tables, right: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, key, sign) of keys that one side has alone, left ones with sign 1; and per owner whether all came out."""
     rest = Tables(left.size, left.count - right.count, left.keys - right.keys, left.checks - right.checks)
     n = len(left.size)
     owner_of = np.repeat(np.arange(n), HASHES * left.size)
-    found = np.zeros((2, n), np.int64)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
     for _ in range(10_000):
         at = np.flatnonzero(np.abs(rest.count) == 1)
         sign = rest.count[at]
@@ -95,10 +95,17 @@ def peel(left: Tables, right: Tables) -> tuple[np.ndarray, np.ndarray, np.ndarra
         once = np.r_[True, (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])]
         owner, keys, sign = owner[once], keys[once], sign[once]
         rest.add(owner, keys, -sign)
-        found[0] += np.bincount(owner[sign > 0], minlength=n)
-        found[1] += np.bincount(owner[sign < 0], minlength=n)
+        found.append((owner, keys, sign))
     stuck = (rest.count != 0) | (rest.keys != 0) | (rest.checks != 0)
-    return found[0], found[1], np.bincount(owner_of[stuck], minlength=n) == 0
+    owner, keys, sign = map(np.concatenate, zip(*found))
+    return owner, keys, sign, np.bincount(owner_of[stuck], minlength=n) == 0
+
+
+def _chosen(bounds: np.ndarray, keys: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``texts``, key) of the keys of some texts, which start at ``bounds``."""
+    sizes = bounds[texts + 1] - bounds[texts]
+    at = np.arange(sizes.sum()) + np.repeat(bounds[texts] - np.cumsum(sizes) + sizes, sizes)
+    return np.repeat(np.arange(len(texts)), sizes), keys[at]
 
 
 def likeness(owner: np.ndarray, keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -111,16 +118,12 @@ def likeness(owner: np.ndarray, keys: np.ndarray, left: np.ndarray, right: np.nd
     n = np.diff(bounds)
     result, todo, cells = np.ones(len(left)), np.arange(len(left)), CELLS
 
-    def chosen(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = n[texts]
-        at = np.arange(sizes.sum()) + np.repeat(bounds[texts] - np.cumsum(sizes) + sizes, sizes)
-        return np.repeat(np.arange(len(texts)), sizes), keys[at]
-
     for _ in range(ROUNDS):
         size = np.full(len(todo), cells)
-        one = build(*chosen(left[todo]), size)
-        two = build(*chosen(right[todo]), size)
-        only, other, peeled = peel(one, two)
+        one = build(*_chosen(bounds, keys, left[todo]), size)
+        two = build(*_chosen(bounds, keys, right[todo]), size)
+        owner, _, sign, peeled = peel(one, two)
+        only = np.bincount(owner[sign > 0], minlength=len(todo))
         a, b = n[left[todo]], n[right[todo]]
         union = np.maximum(b + only, 1)
         result[todo[peeled]] = np.where(a + b == 0, 1.0, (a - only) / union)[peeled]
@@ -141,6 +144,91 @@ def fingerprints(owner: np.ndarray, keys: np.ndarray, n: int) -> list[str]:
             for i in range(n)]
 
 
+def stored_tables(marks: list[str]) -> Tables:
+    """The tables that ``fingerprints`` wrote."""
+    width, n = HASHES * CELLS, len(marks)
+    whole = b"".join(base64.b64decode(m)[4:] for m in marks)
+    cells = np.frombuffer(whole, np.dtype([("count", "<i4", width), ("keys", "<u8", width), ("checks", "<u8", width)]))
+    return Tables(np.full(n, CELLS), *[cells[name].reshape(-1).astype(kind) for name, kind in
+                                       (("count", np.int64), ("keys", np.uint64), ("checks", np.uint64))])
+
+
+def differing_keys(marks: list[tuple[str, str]], texts: list[tuple[str, str]]) -> list[tuple[list[int], list[int], int]]:
+    """(keys of the first alone, of the second alone, rounds) of each pair of stored fingerprints.
+
+    Only where the stored tables do not peel are tables of twice the size built
+    from both texts, and so on.
+    """
+    found: list = [None] * len(marks)
+    todo, cells = np.arange(len(marks)), CELLS
+    owner, keys = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    for number in range(1, ROUNDS + 1):
+        if number == 1:
+            one, two = (stored_tables([m[side] for m in marks]) for side in (0, 1))
+        else:
+            if number == 2:  # the texts of those that are left, side by side
+                left = todo
+                owner, keys = paragraph_keys([texts[i][0] for i in left] + [texts[i][1] for i in left])
+                bounds = np.searchsorted(owner, np.arange(2 * len(left) + 1))
+            at, size = np.searchsorted(left, todo), np.full(len(todo), cells)
+            one = build(*_chosen(bounds, keys, at), size)
+            two = build(*_chosen(bounds, keys, at + len(left)), size)
+        who, key, sign, peeled = peel(one, two)
+        for i in np.flatnonzero(peeled):
+            mine = who == i
+            found[todo[i]] = (sorted(key[mine & (sign > 0)].tolist()), sorted(key[mine & (sign < 0)].tolist()), number)
+        todo, cells = todo[~peeled], 2 * cells
+        if not len(todo):
+            return found
+    raise RuntimeError("paragraph tables did not peel")
+
+
+def sketch(docs: DataFrame) -> DataFrame:
+    """(doc_id, fingerprint), to be stored with a version of the documents; see ``identified`` for odd ids."""
+    def run(batch):
+        owner, keys = paragraph_keys(batch["text"])
+        yield {"doc_id": batch["doc_id"], "fingerprint": fingerprints(owner, keys, len(batch["text"]))}
+
+    return map_batches(identified(docs), run, "doc_id bigint, fingerprint string")
+
+
+def paragraphs_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest): every paragraph of every document, as ``differing_paragraphs`` names it."""
+    def run(batch):
+        owner, keys = paragraph_keys(batch["text"])
+        yield {"doc_id": np.array(batch["doc_id"], np.int64)[owner], "digest": [f"{k:016x}" for k in keys.tolist()]}
+
+    return map_batches(identified(docs), run, "doc_id bigint, digest string")
+
+
+def differing_paragraphs(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(doc_id, removed, added, rounds): digests of the paragraphs that one version has and the other not.
+
+    Both versions have doc_id, text and the ``fingerprint`` that ``sketch``
+    gave.  The stored tables are subtracted and peeled; texts are only looked at
+    where that gets stuck.  A document of one version alone differs from an
+    empty text.  A paragraph that a text repeats is a digest for each time.
+    Ids have to be there and unique in each version.
+    """
+    empty = fingerprints(np.zeros(0, np.int64), np.zeros(0, np.uint64), 1)[0]
+
+    def side(docs: DataFrame, k: str) -> DataFrame:
+        return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias(f"text{k}"),
+                           F.col("fingerprint").alias(f"mark{k}"))
+
+    both = side(before, "1").join(side(after, "2"), "doc_id", "full").select(
+        "doc_id", *[F.coalesce(f"text{k}", F.lit("")).alias(f"text{k}") for k in "12"],
+        *[F.coalesce(f"mark{k}", F.lit(empty)).alias(f"mark{k}") for k in "12"])
+
+    def run(batch):
+        found = differing_keys(list(zip(batch["mark1"], batch["mark2"])), list(zip(batch["text1"], batch["text2"])))
+        yield {"doc_id": batch["doc_id"], "removed": [[f"{k:016x}" for k in f[0]] for f in found],
+               "added": [[f"{k:016x}" for k in f[1]] for f in found], "rounds": [f[2] for f in found]}
+
+    return map_batches(both, run, "doc_id bigint, removed array<string>, added array<string>, rounds int",
+                       ["doc_id", "text1", "text2", "mark1", "mark2"])
+
+
 def edited(text: str, following: str) -> str:
     """``text`` with its last quarter replaced by as much of the start of ``following``."""
     part = len(text) // 4

@@ -652,3 +652,29 @@ def test_pages_of_an_empty_table_and_with_clashing_columns(spark):
     rows = [(1, "u", "<p>x", "t", 1), (None, None, None, None, None), (1, "u", "<p>x", "t", 1)]
     found = rendering.extract(spark.createDataFrame(rows, schema + ", text string, n_lines int")).collect()
     assert Counter(map(tuple, found)) == Counter({(1, "u", "x", 1): 2, (None, None, "", 0): 1})
+
+
+# ------------------------------------------------------------------ 1, two stored versions
+def test_differing_paragraphs(spark):
+    """Against sets of paragraphs: few changes, very many, repeated ones, documents of one version alone."""
+    base = "\n".join(f"paragraph {i} has some words of its own number {i * 7}" for i in range(200))
+    texts = {1: (base, base.replace("number 70", "another")), 2: (base, "\n".join(reversed(base.split("\n")))),
+             3: ("same\nsame\nsame", "same\nsame"), 4: (base, ""), 5: ("", ""), 6: (None, "new"),
+             7: (base, "\n".join(f"quite different line {i}" for i in range(300))), 8: ("gone", None), 9: (None, None)}
+    schema = "doc_id bigint, text string"
+    versions = []
+    for k in (0, 1):
+        docs = spark.createDataFrame([(i, t[k]) for i, t in texts.items() if i != 8 or k == 0], schema)
+        versions.append(docs.join(sketches.sketch(docs), "doc_id"))
+    found = by_id(sketches.differing_paragraphs(*versions))
+    assert set(found) == set(texts)
+
+    def keys(text):
+        return Counter(f"{k:016x}" for k in sketches.paragraph_keys([text or ""])[1].tolist())
+
+    for i, (old, new) in texts.items():
+        assert Counter(found[i].removed) == keys(old) - keys(new)
+        assert Counter(found[i].added) == keys(new) - keys(old)
+    assert found[1].rounds == found[2].rounds == 1 < found[7].rounds
+    listed = sketches.paragraphs_of(versions[0]).where("doc_id = 1").collect()
+    assert Counter(r.digest for r in listed) == keys(base)
