@@ -9,7 +9,7 @@ from checks import loan_view as L, registry as Q
 from riskloom import fixed_values as V
 from riskloom.operators import applications as A, cleaning, models as M, woe as W
 from riskloom.plans import warehouse
-from riskloom.sources.storage import scratch_path
+from riskloom.sources.storage import materialize, scratch_path
 from riskloom.streaming import scoring as stream
 
 GOOD = {"id": 1, "loan_amnt": 10000.0, "term_months": 36, "int_rate": 7.5, "grade": "a", "emp_length_yrs": 8.0,
@@ -78,12 +78,12 @@ def test_review_counts_as_declined(spark):
 
 
 def test_stream_equals_batch(spark, sf):
-    batch = queries()["score_applications"](spark, sf)
-    streamed = queries()["score_stream"](spark, sf)
+    batch = materialize(queries()["score_applications"](spark, sf))
+    streamed = materialize(queries()["score_stream"](spark, sf))
     scores = streamed.where("errors IS NULL").drop("errors")
     assert batch.exceptAll(scores).count() == 0 and scores.exceptAll(batch).count() == 0
     _, rejects = A.validate_applications(Q.applications(Q.derived(spark, sf)))
-    errors = rejects.select("id", F.concat_ws("; ", "errors").alias("errors"))
+    errors = materialize(rejects.select("id", F.concat_ws("; ", "errors").alias("errors")))
     rejected = streamed.where("errors IS NOT NULL").select("id", "errors")
     assert errors.exceptAll(rejected).count() == 0 and rejected.exceptAll(errors).count() == 0 < errors.count()
 
