@@ -24,12 +24,18 @@ DECLARED = r"""(?i)<html[^>]*?\blang\s*=\s*["']?([a-z]{2,3})"""
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bin of the trigram at every byte of all texts in a row, and where each text starts."""
+    """Bin of the trigram at every byte of all texts in a row, and where each text starts.
+
+    The two trigrams that would reach into the next text are in bin ``BINS``, which counts for nothing.
+    """
     parts = [t.encode().lower() + b"   " for t in texts]
     starts = np.cumsum([0] + [len(p) for p in parts])[:-1]
     data = np.frombuffer(b"".join(parts) + b"  ", np.uint8).astype(np.uint32)
     code = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
-    return (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14), starts
+    bins = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - 14)
+    for back in (1, 2):
+        bins[np.r_[starts[1:], len(bins)] - back] = BINS
+    return bins, starts
 
 
 def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -45,7 +51,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
             ends = np.r_[starts[1:], len(bins)]
             for lang in set(batch["lang"]):
                 own = [bins[a:b] for a, b, x in zip(starts, ends, batch["lang"]) if x == lang]
-                totals[lang] = totals.get(lang, 0) + np.bincount(np.concatenate(own), minlength=BINS)
+                totals[lang] = totals.get(lang, 0) + np.bincount(np.concatenate(own), minlength=BINS + 1)[:BINS]
         for lang, counts in totals.items():
             at = np.flatnonzero(counts)
             yield {"lang": [lang] * len(at), "bin": at, "n": counts[at]}
@@ -64,7 +70,7 @@ def text_scores(rows: DataFrame, languages: list[str], model: np.ndarray) -> Dat
 
     An empty text scores all languages alike and has no ``text_lang``.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast(np.pad(model, ((0, 0), (0, 1))))
     others = [(n, t) for n, t in rows.dtypes if n != "text"]
 
     def run(batch):

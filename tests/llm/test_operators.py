@@ -678,3 +678,66 @@ def test_differing_paragraphs(spark):
     assert found[1].rounds == found[2].rounds == 1 < found[7].rounds
     listed = sketches.paragraphs_of(versions[0]).where("doc_id = 1").collect()
     assert Counter(r.digest for r in listed) == keys(base)
+
+
+# ------------------------------------------------------------------ 6, against plain counting
+def plain_languages(rows, labelled):
+    """(text_lang, lang, probability) of (text, declared, suffix, host, domain) rows by dictionaries."""
+    import math
+
+    def bins(text):
+        data = text.encode().lower() + b"   "
+        return [((int.from_bytes((data + b"  ")[i:i + 3], "big") * 0x9E3779B1) % 2**32) >> 18 for i in range(len(data) - 2)]
+
+    languages = sorted({lang for _, lang in labelled if lang})
+    counts = {lang: Counter() for lang in languages}
+    for text, lang in labelled:
+        if lang and text is not None:
+            counts[lang].update(bins(text))
+    size = {lang: sum(c.values()) for lang, c in counts.items()}
+    scores = []
+    for text, *_ in rows:
+        here = [sum(math.log((counts[x][b] + 1) / (size[x] + 2**14)) for b in bins(text)) / 3 for x in languages]
+        scores.append([s - max(here) for s in here] if text.strip() else [0.0] * len(languages))
+    said = [languages[max(range(len(s)), key=lambda i: (s[i], -i))] if r[0].strip() else None for r, s in zip(rows, scores)]
+    total = Counter(x for x in said if x)
+    share = [(total[x] + 1) / (sum(total.values()) + len(languages)) for x in languages]
+    found = []
+    for n, (row, score) in enumerate(zip(rows, scores)):
+        def smoothed(place, towards):
+            key = row[place]
+            others = Counter(said[m] for m, r in enumerate(rows) if m != n and key is not None and r[place] == key and said[m])
+            return [(others[x] + 5 * t) / (sum(others.values()) + 5) for x, t in zip(languages, towards)]
+
+        host = smoothed(3, smoothed(4, share))
+        suffix, declared = smoothed(2, share), smoothed(1, share)
+        logs = [s + math.log(h) + math.log(x / p) + math.log(d / p)
+                for s, h, x, d, p in zip(score, host, suffix, declared, share)]
+        best = max(logs)
+        found.append((said[n], languages[logs.index(best)], 1 / sum(math.exp(v - best) for v in logs)))
+    return found
+
+
+def test_language_fusion_by_hand(spark):
+    """Hosts, domains, suffixes and declarations weigh in as counted by hand, missing ones not at all."""
+    import random
+    rng = random.Random(4)
+    words = {"en": ["the", "and", "house"], "fr": ["une", "été", "maison"], "de": ["das", "über", "haus"]}
+
+    def text(lang, n):
+        return " ".join(rng.choice(words[lang]) for _ in range(n))
+
+    labelled = [(text(x, 30), x) for x in words for _ in range(5)] + [(None, "en"), ("lost", None)]
+    rows = []
+    for i in range(60):
+        lang = rng.choice(list(words))
+        host = rng.choice([None, "a.one.fr", "b.one.fr", "two.de", "c.two.de"])
+        rows.append((text(lang, rng.choice([0, 1, 2, 12])) or rng.choice(["", "  ", "qqq"]), rng.choice([None, "fr", "de"]),
+                     host and host.rsplit(".", 1)[1], host, host and ".".join(host.split(".")[-2:])))
+    schema = "doc_id bigint, page_id bigint, text string, declared string, suffix string, host string, domain string"
+    df = spark.createDataFrame([(i, None, *r) for i, r in enumerate(rows)], schema)
+    got = by_id(language.identify(df, spark.createDataFrame(labelled, "text string, lang string")))
+    for i, (said, lang, probability) in enumerate(plain_languages(rows, labelled)):
+        assert got[i].text_lang == said and got[i].probability == pytest.approx(probability, abs=1e-4)
+        if probability > 0.51:
+            assert got[i].lang == lang
