@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pytest
 
+from riskloom.functions.hashing import md5_words
 from riskloom.operators import bootstrap as B, champion as C
 
 MODELS = {"champion": "champ_pd", "challenger": "chall_pd"}
@@ -61,6 +62,41 @@ def test_hashed_replicates_by_hand(scored, rows):
             assert got[model, replicate] == pytest.approx(want, abs=1e-11)
 
 
+def test_hashed_replicates_make_no_row_per_loan_and_replicate(scored):
+    plan = B.hashed_replicates(scored, MODELS, 1000)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "explode" not in plan and "mapinarrow" in plan
+
+
+@pytest.mark.parametrize("parts", ["1", "13"])
+def test_hashed_replicates_with_ties_cut_apart(spark, parts):
+    """A hot probability, ids of all lengths that repeat or are missing, loans without probability or outcome."""
+    rng = np.random.default_rng(5)
+    ids = [None, "", "é", "x" * 60, *map(str, rng.integers(0, 10 ** 7, 196))] * 2
+    prob = [None if u < 0.05 else 0.25 if u < 0.5 else float(round(u, 2)) for u in rng.random(400)]
+    bad = [None if u < 0.05 else int(u < 0.4) for u in rng.random(400)]
+    rows = list(zip(ids, bad, prob))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        scored = spark.createDataFrame(rows, "id string, is_bad int, prob double")
+        got = {r.replicate: r.auc for r in B.hashed_replicates(scored, {"champion": "prob"}, 7).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == 7
+    for replicate, auc in got.items():
+        known = [(B.LARGEST_DRAW if i is None else draw(i, replicate), y, p) for i, y, p in rows if y is not None]
+        won = sum(w * v * (0.5 if p == q else 1.0 if q is None else float(p > q))
+                  for w, y, p in known if y == 1 and p is not None for v, z, q in known if z == 0)
+        total = sum(w for w, y, _ in known if y == 1) * sum(w for w, y, _ in known if y == 0)
+        assert auc == pytest.approx(won / total, abs=1e-11)
+
+
+def test_digests_of_many_texts():
+    keys, suffixes = [b"", b"7", b"12", "é".encode(), b"x" * 50, b"x" * 54, b"y" * 60], [b"-0", b"-12", b"-345", b""]
+    for key, words in zip(keys, md5_words(keys, suffixes)):
+        assert words.astype(">u4").tobytes() == b"".join(hashlib.md5(key + s).digest() for s in suffixes)
+
+
 def test_tick_bootstrap_has_the_right_spread(scored, rows):
     summary = {r.model: r for r in B.bootstrap_auc(scored, MODELS, n=800).collect()}
     rng, bad = np.random.default_rng(0), np.array([r[1] for r in rows])
