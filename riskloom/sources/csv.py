@@ -48,7 +48,8 @@ def _text_records(spark: SparkSession, path: str, header: list[str]) -> DataFram
     plain = plain.where(~F.col("_metadata.file_path").isin(open_files))
     records = assembled_records(spark, path, open_files, header)
     ddl = ", ".join(f"{_quoted(name)} string" for name in [*header, CORRUPT])
-    parsed = records.select(F.from_csv("record", ddl, {"escape": '"', **permissive}).alias("r")).select("r.*")
+    # a generated row is parsed once, whatever is asked of its fields; conditions on plain columns would each parse it
+    parsed = records.select(F.inline(F.array(F.from_csv("record", ddl, {"escape": '"', **permissive}))))
     return plain.select(*map(_quoted, [*header, CORRUPT])).unionByName(parsed)
 
 

@@ -127,6 +127,14 @@ def test_malformed_records_are_counted_and_shown(spark, tmp_path):
         + [("type", '4,"two\nlines",many'), ("type", '4,"one, line",many')])
 
 
+def test_assembled_records_are_parsed_once(spark, tmp_path):
+    """Conditions on many columns do not parse a record again for each."""
+    (tmp_path / "a.csv").write_text('id,title,amount\n1,"two\nlines",1\nx,"two\nlines",2\n')
+    shown = csv.malformed_records(spark, str(tmp_path), KNOWN)
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    assert [tuple(r) for r in shown.collect()] == [("type", 'x,"two\nlines",2')]
+
+
 def test_stray_and_unclosed_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,title,amount\n1,5" pipe,1\n2,"a\nb",2\n3,"open,3\n4,rest,4\n')
     got, counts = read_back(spark, tmp_path)
