@@ -92,7 +92,9 @@ def sample_split(spark, sf):
 @query("register_view", S.sql("staged", "SELECT purpose, count(*) AS n FROM staged GROUP BY purpose"))
 def register_view(spark, sf):
     layers.register_view(R.staged(spark, sf), "staged_loans")
-    return spark.sql("SELECT purpose, count(*) AS n FROM staged_loans GROUP BY purpose")
+    found = spark.sql("SELECT purpose, count(*) AS n FROM staged_loans GROUP BY purpose")
+    spark.catalog.dropTempView("staged_loans")   # resolved above; a session's list of tables stays as it was
+    return found
 
 
 def _profile_sql() -> str:
