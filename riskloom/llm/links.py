@@ -35,6 +35,18 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
 
 
+def extended(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` (id, component), stored, after further ``links`` (a, b); only classes are put together."""
+    with scratch(classes.sparkSession) as keep:
+        for end in ("a", "b"):
+            named = classes.select(F.col("id").alias(end), "component")
+            links = links.join(named, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+        moved = components(links)
+        least = moved.select(F.col("id").alias("component"), F.col("component").alias("least"))
+        known = classes.join(least, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+        return keep(known.unionByName(moved.join(classes, "id", "left_anti")))
+
+
 def _state(links: DataFrame) -> tuple:
     """Count and order-free hash of the links."""
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -54,10 +66,11 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- buckets of signatures
 def shared_only(rows: DataFrame) -> DataFrame:
-    """The distinct (sig, id) whose signature at least two ids have."""
+    """The distinct (sig, id, size) whose signature at least two ids have; ``size`` counts the rows with it."""
     bucket = Window.partitionBy("sig")
-    return (rows.withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
-            .where("low <> high").select("sig", "id").distinct())
+    return (rows.withColumns({"low": F.min("id").over(bucket), "high": F.max("id").over(bucket),
+                              "size": F.count(F.lit(1)).over(bucket)})
+            .where("low <> high").select("sig", "id", "size").distinct())
 
 
 Items = Callable[[DataFrame], DataFrame]
@@ -86,146 +99,191 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
                       need: DataFrame | None = None) -> DataFrame:
     """(id, component), stored, of all ids that link with another one.
 
-    ``shared`` (sig, id) is stored and holds every pair that can link in some
-    bucket; ``items_of(ids)`` gives the item arrays of ids.
+    ``shared`` (sig, id, size) is stored and holds every pair that can link in
+    some bucket; ``items_of(ids)`` gives the item arrays of ids.  ``need`` (id,
+    need) says how many signatures an id shares with any id it links with, one
+    if not given; an id with fewer links with nothing.
 
-    First each bucket is compared with one leader only, the id whose signatures
-    are in the largest buckets, which is linear in the rows and joins a group of
-    near copies around its centre.  Pairs that are neither needed as a bound
-    below nor share enough signatures under the leader wait for the small
-    buckets.  Further ``rounds`` compare what meets under a leader with one more
-    of them.
+    Pairs of small buckets are counted: what they share there, and what they may
+    share in large ones, has to be enough.  Two ids that meet in no small bucket
+    share all they need in large ones, so each can do without the largest of
+    its buckets, one less than it needs (``_listed``): what the rarest shared
+    signature is, is not among them.  So what very many ids have in common is
+    not gone through.
 
-    What is left are pairs of one bucket in different components.  ``need`` (id,
-    need) says how many signatures an id shares with any id it links with, one
-    if not given.  Pairs that meet in small buckets are counted there.  An id
-    with fewer signatures in large buckets than it needs meets each partner in
-    a small one too.  For the others ``_between`` lists the pairs under a leader
-    that the counts known by then let link.  So no link is lost, and a group of
-    copies does not cost its square.
+    Each bucket left is compared with one leader only, the id whose signatures
+    are in the largest buckets, which is linear in the rows and joins a group of
+    near copies around its centre.  Then ``rounds`` times each group of several
+    components is compared with one more of its members, the most central one
+    and then others outside its largest component.  For what is left ``_between``
+    lists the pairs that the counts known by then let link.  So no link is lost,
+    and a group of copies does not cost its square.
     """
     with scratch(shared.sparkSession) as keep:
         return keep(_linked(shared, items_of, threshold, rounds, need))
 
 
 def _linked(shared: DataFrame, items_of: Items, threshold: int, rounds: int, need: DataFrame | None) -> DataFrame:
-    sized = shared.join(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig")
-    large = (F.col("size") > SMALL_BUCKET).cast("int")
-    weight = materialize(sized.groupBy("id").agg(F.sum(F.floor(8 * F.log2("size"))).alias("weight"),
-                                                 F.sum(large).alias("large")))
-    if need is None:
-        need = weight.select("id", F.lit(1).alias("need"))
-    weight = materialize(weight.join(need, "id"))
-    items = materialize(items_of(weight.select("id")))
-    leader = sized.join(weight, "id").groupBy("sig").agg(
-        F.max(F.struct("weight", "id"))["id"].alias("leader"), F.max("size").alias("size"))
-    met = (shared.join(leader, "sig").where("id <> leader").groupBy(
-        F.col("id").alias("a"), F.col("leader").alias("b"))
-        .agg(F.max(large).alias("large"), F.count(F.lit(1)).alias("met")))
-    one = weight.select(F.col("id").alias("a"), F.col("large").alias("own"), F.col("need").alias("need_a"))
-    two = weight.select(F.col("id").alias("b"), F.col("need").alias("need_b"))
-    bounding = (F.col("large") == 1) & (F.col("own") >= F.col("need_a"))
-    first = (met.join(one, "a").join(two, "b")
-             .where(bounding | (F.col("met") >= F.greatest("need_a", "need_b"))).select("a", "b", "large"))
+    listed = materialize(_listed(shared, need))
+    items = materialize(items_of(listed.select("id")))
+    rows = listed.withColumn("bucket", F.explode("buckets")).select(
+        "bucket.sig", "bucket.size", "id", "weight", "large", "need")
+    leader = F.max(F.struct("weight", "id", "need")).over(Window.partitionBy("sig"))
+    met = (rows.withColumn("leader", leader).where("id <> leader.id")
+           .groupBy(F.col("id").alias("a"), F.col("leader.id").alias("b"), "large", "need",
+                    F.col("leader.need").alias("other"))
+           .agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("met")))
+    bounding = (F.col("size") > SMALL_BUCKET) & (F.col("large") >= F.col("need"))
+    first = (met.withColumn("bounding", bounding).where("bounding or met >= greatest(need, other)")
+             .select("a", "b", "bounding"))
     first = materialize(compared(first, items))
-    links = materialize(similar(first, threshold))
-    classes = components(links)
-    for _ in range(1, rounds):
-        links = materialize(links.unionByName(similar(compared(_next_leaders(first, classes), items), threshold)))
-        classes = components(links)
-    bound = first.where("large = 1").join(weight.where("large >= need").select(F.col("id").alias("a")), "a", "left_semi")
-    rest = _between(bound, classes, items, threshold).unionByName(_in_small_buckets(shared, weight, classes)).distinct()
+    classes = components(similar(first, threshold))
+    group = Group(first.where("bounding"), classes, items, threshold)
+    for number in range(rounds):
+        more = materialize(similar(compared(group.next_leaders(classes, number), items), threshold))
+        if more.isEmpty():
+            break
+        classes = extended(classes, more)
+    rest = group.between(classes).unionByName(_in_small_buckets(listed, classes)).distinct()
     rest = rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialize(similar(compared(rest, items), threshold))
-    if more.isEmpty():
-        return classes
-    return components(links.unionByName(more))
+    return classes if more.isEmpty() else extended(classes, more)
+
 
+def _listed(shared: DataFrame, need: DataFrame | None) -> DataFrame:
+    """(id, weight, large, need, buckets) of ids with enough signatures.
 
-def _in_small_buckets(shared: DataFrame, weight: DataFrame, classes: DataFrame) -> DataFrame:
+    ``large`` counts their large buckets; ``buckets`` leaves out the largest of these, one less than needed.
+    """
+    listed = shared.groupBy("id").agg(
+        F.sum(F.floor(8 * F.log2("size"))).alias("weight"), F.sum((F.col("size") > SMALL_BUCKET).cast("int")).alias("large"),
+        F.sort_array(F.collect_list(F.struct("size", "sig"))).alias("buckets"))
+    listed = listed.withColumn("need", F.lit(1)) if need is None else listed.join(need, "id")
+    left = F.size("buckets") - F.least(F.col("need") - 1, "large")
+    return listed.where(F.size("buckets") >= F.col("need")).select(
+        "id", "weight", "large", "need", F.slice("buckets", F.lit(1), left.cast("int")).alias("buckets"))
+
+
+def _in_small_buckets(listed: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of small buckets in different components that share enough signatures.
 
     What the two may share in large buckets counts as shared.
     """
-    placed = (shared.join(weight.select("id", "large", "need"), "id").join(classes, "id", "left")
-              .withColumn("component", F.coalesce("component", "id")))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                      F.count(F.lit(1)).alias("size"))
-    rows = materialize(placed.join(mixed.where((F.col("low") != F.col("high")) & (F.col("size") <= SMALL_BUCKET))
-                                   .select("sig"), "sig"))
-    one = rows.select("sig", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "large", "need")])
-    two = rows.select("sig", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "large", "need")])
-    met = (one.join(two, "sig").where("id1 < id2 and component1 <> component2")
-           .groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("met"), F.max(F.least("large1", "large2")).alias("large"),
-                                      F.max(F.greatest("need1", "need2")).alias("need")))
-    return met.where("met + large >= need").select(F.col("id1").alias("a"), F.col("id2").alias("b"))
-
-
-def _members(first: DataFrame, classes: DataFrame) -> DataFrame:
-    """(leader, id, both, n, leader_n, component) of leaders under which several components meet."""
-    members = (first.select(F.col("a").alias("id"), F.col("b").alias("leader"), "both",
-                            F.col("na").alias("n"), F.col("nb").alias("leader_n"))
-               .join(classes, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    mixed = members.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(mixed.where("low <> high").select("leader"), "leader")
-
-
-def _main(members: DataFrame) -> DataFrame:
-    """(leader, main): the component that most members of a leader are in."""
-    return (members.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("leader").agg(F.max(F.struct("c", "component"))["component"].alias("main")))
-
-
-def _next_leaders(first: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one more leader, the most like the first outside its main component, with all others."""
-    members = materialize(_members(first, classes))
-    likeness = F.col("both") / (F.col("n") + F.col("leader_n") - F.col("both"))
-    chosen = (members.join(_main(members), "leader").where("component <> main").groupBy("leader")
-              .agg(F.max(F.struct(likeness.alias("likeness"), "id", "component")).alias("next")))
-    return (members.join(chosen, "leader").where("component <> next.component")
-            .select(F.least("id", "next.id").alias("a"), F.greatest("id", "next.id").alias("b")).distinct())
-
-
-def _between(first: DataFrame, classes: DataFrame, items: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) under one leader, in different components, that could still link.
+    placed = listed.join(classes, "id", "left").withColumn(
+        "bucket", F.explode(F.filter("buckets", lambda x: x["size"] <= SMALL_BUCKET)))
+    one = F.struct("id", F.coalesce("component", "id").alias("component"), "large", "need")
+    beside = F.filter("met", lambda x: (x["id"] > F.col("one.id")) & (x["component"] != F.col("one.component")))
+    pairs = (placed.groupBy("bucket.sig").agg(F.collect_list(one).alias("met")).where(F.size("met") > 1)
+             .select("met", F.explode("met").alias("one")).select("one", F.explode(beside).alias("two")))
+    met = pairs.groupBy(F.col("one.id").alias("a"), F.col("two.id").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), F.max(F.least("one.large", "two.large")).alias("large"),
+        F.max(F.greatest("one.need", "two.need")).alias("need"))
+    return met.where("met + large >= need").select("a", "b")
+
+
+class Group:
+    """Members of leaders under which several components meet, and what they hold outside the group's centre.
 
     Two sets of sizes n and m link only if they share t / (100 + t) * (n + m)
-    items.  Items inside the leader give at most the lesser of what each shares
-    with the leader, which is known.  Where that is not enough, the two must
-    share items outside the leader, and these are joined on.  They are few and
-    rare in a group of near copies, as all they have in common is the leader.
+    items.  The centre is what the leader has and what more than half of the
+    members have; of it two sets share at most the lesser of what each has.
+    Where that is not enough, the two must share items outside the centre.
+    They are few and rare in a group of near copies.
     """
-    members = materialize(_members(first, classes).drop("leader_n"))
-    inside = items.select(F.col("id").alias("leader"), F.col("items").alias("inside"))
-    outside = materialize(
-        members.join(items, "id").join(inside, "leader")
-        .select("leader", "id", F.explode(F.array_except("items", "inside")).alias("item")))
-    common = outside.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    outside = materialize(outside.join(common.select("leader", "item"), ["leader", "item"], "left_semi"))
-    extra = outside.groupBy("leader", "id").agg(F.count(F.lit(1)).alias("extra"))
-    # what a set shares with the leader or with anyone else under it has to reach the threshold
-    able = (members.join(extra, ["leader", "id"], "left").withColumn("extra", F.coalesce("extra", F.lit(0)))
-            .where(100 * (F.col("both") + F.col("extra")) >= threshold * F.col("n")))
-    able = materialize(able.join(_main(able), "leader"))
-
-    def side(rows: DataFrame, k: str) -> DataFrame:
-        names = {"id": "i", "component": "c", "n": "n", "both": "b", "extra": "e"}
-        return rows.select(*[F.col(o) for o in rows.columns if o not in names],
-                           *[F.col(o).alias(f"{new}{k}") for o, new in names.items()])
-
-    def possible(shared: Column) -> Column:
-        """Whether two members with ``shared`` items outside the leader can link."""
-        return ((100 + threshold) * (F.least("b1", "b2") + shared) >= threshold * (F.col("n1") + F.col("n2")))
-
-    # one of two is outside the main component; if both are, one order is enough
-    differ = (F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("i1") < F.col("i2")))
-    pair = [F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")]
-    one, two = side(able.where("component <> main").drop("main"), "1"), side(able, "2")
-    without = one.join(two, "leader").where(differ & possible(F.lit(0))).select(*pair)
-
-    held = outside.join(able, ["leader", "id"])
-    one, two = side(held.where("component <> main").drop("main"), "1"), side(held, "2")
-    sharing = (one.join(two, ["leader", "item"]).where(differ & possible(F.least("e1", "e2")))
-               .groupBy("leader", "i1", "i2", "b1", "b2", "n1", "n2")
-               .agg(F.count(F.lit(1)).alias("shared")).where(possible(F.col("shared"))).select(*pair))
-    return without.unionByName(sharing).distinct()
+
+    def __init__(self, bound: DataFrame, classes: DataFrame, items: DataFrame, threshold: int):
+        self.threshold = threshold
+        members = materialize(_mixed(bound.select(
+            F.col("a").alias("id"), F.col("b").alias("leader"), "both", F.col("na").alias("n"),
+            F.col("nb").alias("centre")), classes).drop("component"))
+        inside = items.select(F.col("id").alias("leader"), F.col("items").alias("inside"))
+        rows = members.join(inside, "leader").join(items, "id").select(
+            "leader", "id", "n", "both", F.explode(F.array_except("items", "inside")).alias("item"))
+        # what a set shares with the leader or with anyone else under it has to reach the threshold
+        able = 100 * (F.col("both") + F.col("extra")) >= threshold * F.col("n")
+        rows = self._shared(rows).withColumn("extra", F.count(F.lit(1)).over(Window.partitionBy("leader", "id"))).where(able)
+        held = self._shared(rows).groupBy("leader", "id").agg(
+            F.sort_array(F.collect_list(F.struct("holders", "item"))).alias("held"))
+        held = members.join(held, ["leader", "id"], "left").withColumn("extra", F.coalesce(F.size("held"), F.lit(0)))
+        held = materialize(held.withColumn("extra", F.greatest("extra", F.lit(0))).where(able))
+        size = held.groupBy("leader").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"))
+        common = lambda x: (2 * x["holders"] > F.col("members")) & (x["holders"] > SMALL_BUCKET)
+        none = F.array().cast("array<struct<holders:bigint,item:bigint>>")
+        held = (held.join(size, "leader").withColumn("held", F.coalesce("held", none))
+                .withColumn("more", F.size(F.filter("held", common)))
+                .withColumn("held", F.filter("held", lambda x: ~common(x))))
+        self.members = materialize(held.select(
+            "leader", "id", "n", (F.col("both") + F.col("more")).alias("both"), "held", F.size("held").alias("extra"),
+            F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["holders"]).alias("popular"),
+            (F.col("centre") + F.max("more").over(Window.partitionBy("leader"))).alias("centre"),
+            F.greatest("low", F.ceil(threshold * F.col("n") / 100)).alias("low")))
+
+    @staticmethod
+    def _shared(rows: DataFrame) -> DataFrame:
+        """``rows`` (leader, id, item, ...) whose item several members of the leader have."""
+        return rows.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("leader", "item"))).where("holders > 1")
+
+    def next_leaders(self, classes: DataFrame, number: int) -> DataFrame:
+        """Pairs of one more leader of each group with its members in other components.
+
+        The first is the most like the centre; others are outside the main component, from the largest there.
+        """
+        members = materialize(_with_main(_mixed(self.members.drop("held"), classes)))
+        likeness = F.col("both") / (F.col("n") + F.col("centre") - F.col("both"))
+        order = [likeness] if number == 0 else ["there", "popular", likeness]
+        chosen = members if number == 0 else members.where("component <> main")
+        chosen = chosen.groupBy("leader").agg(F.max(F.struct(*order, "id", "component")).alias("next"))
+        return (members.join(chosen, "leader").where("component <> next.component")
+                .select(F.least("id", "next.id").alias("a"), F.greatest("id", "next.id").alias("b")).distinct())
+
+    def _asked(self, one: Column, two: Column, both: Column) -> Column:
+        """How many items outside the centre sets of two sizes have to share that share ``both`` inside."""
+        return F.ceil(self.threshold * (one + two) / (100 + self.threshold)) - both
+
+    def between(self, classes: DataFrame) -> DataFrame:
+        """Pairs (a, b) under one leader, in different components, that could still link.
+
+        Where two have to share q items, the rarest that they share has q - 1
+        others after it among those of either, in order of rarity.  So only
+        places from which enough are left are joined on, and what very many
+        members hold is joined on only where little else is held.
+        """
+        members = materialize(_with_main(_mixed(self.members.drop("held"), classes)).withColumn(
+            "asked", self._asked(F.col("n"), F.col("low"), F.col("both"))))
+
+        def side(rows: DataFrame, k: str, *names: str) -> DataFrame:
+            return rows.select("leader", *names, *[F.col(c).alias(f"{c}{k}") for c in kept])
+
+        # one of two is outside the main component; if both are, one order is enough
+        differ = (F.col("component1") != F.col("component2")) & (
+            (F.col("component2") == F.col("main")) | (F.col("id1") < F.col("id2")))
+        asked = self._asked(F.col("n1"), F.col("n2"), F.least("both1", "both2"))
+        pair = [F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b")]
+        kept = ["id", "component", "n", "both"]
+        free = members.where("asked <= 0")
+        without = (side(free.where("component <> main"), "1", "main").join(side(free, "2"), "leader")
+                   .where(differ & (asked <= 0)).select(*pair))
+
+        kept = [*kept, "left"]
+        first = F.slice("held", F.lit(1), F.greatest(F.lit(0), F.col("extra") - F.greatest("asked", F.lit(1)) + 1).cast("int"))
+        held = members.where("asked <= extra").join(self.members.select("leader", "id", "held"), ["leader", "id"])
+        held = materialize(held.select("leader", "main", "id", "component", "n", "both", "extra", F.posexplode(first))
+                           .select("leader", "main", *kept[:-1], "col.item", (F.col("extra") - F.col("pos")).alias("left")))
+        sharing = (side(held.where("component <> main"), "1", "item", "main").join(side(held, "2", "item"), ["leader", "item"])
+                   .where(differ & (asked <= F.least("left1", "left2"))).select(*pair))
+        return without.unionByName(sharing).distinct()
+
+
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``members`` (leader, id, ...) with their component, of leaders under which several components meet."""
+    group = Window.partitionBy("leader")
+    return (members.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            .withColumns({"_low": F.min("component").over(group), "_high": F.max("component").over(group)})
+            .where("_low <> _high").drop("_low", "_high"))
+
+
+def _with_main(members: DataFrame) -> DataFrame:
+    """``members`` with how many of a leader's are in their component, ``there``, and the ``main`` one with most."""
+    there = F.count(F.lit(1)).over(Window.partitionBy("leader", "component"))
+    main = F.max(F.struct("there", "component")).over(Window.partitionBy("leader"))["component"]
+    return members.withColumn("there", there).withColumn("main", main)

@@ -121,9 +121,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         equal, shared = _equal_and_shared(known)
         need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * THRESHOLD / 100) / SPARE))
         first = equal.where("n_shingles > 0 and doc_id = id").select("id", need.alias("need"))
-        enough = materialize(shared.groupBy("id").agg(F.count(F.lit(1)).alias("c")).join(first, "id").where("c >= need"))
-        shared = materialize(shared_only(shared.join(enough, "id", "left_semi")))
-        classes = linked_components(shared, partial(items_of, known), THRESHOLD, need=enough.select("id", "need"))
+        classes = linked_components(shared, partial(items_of, known), THRESHOLD, rounds=2, need=first)
         return keep(equal.join(classes, "id", "left").select(
             "doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
 
