@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import (bpe, language, ngram_join, packing, paragraphs, quality, rendering, secrets,
+from riskloom.llm import (bpe, language, links, ngram_join, packing, paragraphs, quality, rendering, secrets,
                           sketches, suffixes)
 from riskloom.llm.queries import repository_and_owner
 
@@ -319,6 +319,46 @@ def test_near_duplicates_around_one_centre(spark):
     check_near(docs, texts)
 
 
+def test_near_duplicates_off_the_centre_and_with_a_common_passage(spark):
+    """No copy is the centre itself, and many texts share a passage that does not make them similar."""
+    rng, base = np.random.default_rng(11), [f"b{i}" for i in range(120)]
+    texts = {}
+    for i in range(80):
+        words = list(base)
+        for k in rng.choice(20, 3 + i % 4, replace=False):
+            words[6 * k] = f"e{rng.integers(3)}"
+        texts[i] = " ".join(words)
+    for i in range(80, 140):
+        words = base[:60] + [f"own{i - i % 3}n{k}" for k in range(60)]
+        words[70 + 9 * (i % 3)] = f"changed{i}"
+        texts[i] = " ".join(words)
+    check_near(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), texts)
+
+
+def test_largest_buckets_and_common_items_are_not_joined_on(spark):
+    """An id leaves out one bucket less than it needs; what most members hold counts as inside the centre."""
+    rows = [(sig, i, 40 + sig) for sig in range(3) for i in range(40)]
+    rows += [(10 + i // 2, i, 2) for i in range(40)]
+    shared = spark.createDataFrame(rows, "sig bigint, id bigint, size bigint")
+    need = spark.createDataFrame([(i, 1 + i % 4) for i in range(39)] + [(39, 5)], "id bigint, need int")
+    found = {r.id: (r.large, [b.sig for b in r.buckets]) for r in links._listed(shared, need).collect()}
+    assert found == {i: (3, [10 + i // 2, 0, 1, 2][:4 - i % 4]) for i in range(39)}
+
+    # members lack 16 items of the centre 0-99 each, the leader lacks 0-9; each pair of members shares an item of its own
+    items = [(1000, list(range(10, 110)))]
+    for i in range(40):
+        items.append((i, [x for x in range(100) if (x - 2 * i) % 100 >= 16] + [500 + i // 2] + [600 + 20 * i + k for k in range(15)]))
+    first = [(i, 1000, len(set(x) & set(items[0][1])), len(x), 100) for i, x in items[1:]]
+    items = spark.createDataFrame(items, "id bigint, items array<bigint>")
+    first = spark.createDataFrame(first, "a bigint, b bigint, both bigint, na bigint, nb bigint")
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    group = links.Group(first, none, items, 75)
+    held = {r.id: [x["item"] for x in r.held] for r in group.members.collect()}
+    assert held == {i: [500 + i // 2] for i in held} and len(held) > 20
+    pairs = {(r.a, r.b) for r in group.between(none).collect()}
+    assert all(a // 2 == b // 2 for a, b in pairs)
+
+
 def test_similar_sets_share_enough_signatures():
     rng = np.random.default_rng(5)
     for size in [1, 2, 3, 4, 5, 11, 12, 15, 16, 20, 47, 48, 63, 64, 90, 200, 255, 256, 700]:
