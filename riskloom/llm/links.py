@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.llm.common import small_side
 from riskloom.sources.storage import materialize, scratch
 
 ROUNDS = 50
@@ -82,10 +83,15 @@ def at_least(threshold: int, both: Column, a: Column, b: Column) -> Column:
 
 
 def compared(pairs: DataFrame, items: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with how many items both have, ``both``, and set sizes ``na``, ``nb``."""
-    left = items.select(F.col("id").alias("a"), F.col("items").alias("x"))
-    right = items.select(F.col("id").alias("b"), F.col("items").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select(
+    """``pairs`` (a, b, ...) with how many items both have, ``both``, and set sizes ``na``, ``nb``.
+
+    What is shuffled is the items of ``a`` once per pair and those of each ``b`` once.
+    """
+    pairs = small_side(pairs)
+    wanted = small_side(pairs.select(F.col("b").alias("id")).distinct())
+    left = items.select(F.col("id").alias("a"), F.col("items").alias("x")).join(pairs, "a")
+    right = items.join(wanted, "id", "left_semi").select(F.col("id").alias("b"), F.col("items").alias("y"))
+    return left.join(right, "b").select(
         *pairs.columns, F.size(F.array_intersect("x", "y")).alias("both"),
         F.size("x").alias("na"), F.size("y").alias("nb"))
 
@@ -125,7 +131,7 @@ def linked_components(shared: DataFrame, items_of: Items, threshold: int, rounds
 
 def _linked(shared: DataFrame, items_of: Items, threshold: int, rounds: int, need: DataFrame | None) -> DataFrame:
     listed = materialize(_listed(shared, need))
-    items = materialize(items_of(listed.select("id")))
+    items = materialize(items_of(listed.select("id")).select("id", "items", F.size("items").alias("n")))
     rows = listed.withColumn("bucket", F.explode("buckets")).select(
         "bucket.sig", "bucket.size", "id", "weight", "large", "need")
     leader = F.max(F.struct("weight", "id", "need")).over(Window.partitionBy("sig"))
@@ -144,7 +150,8 @@ def _linked(shared: DataFrame, items_of: Items, threshold: int, rounds: int, nee
         if more.isEmpty():
             break
         classes = extended(classes, more)
-    rest = group.between(classes).unionByName(_in_small_buckets(listed, classes)).distinct()
+    placed = items.select("id", "n").join(classes, "id", "left")
+    rest = group.between(classes).unionByName(_in_small_buckets(listed, placed, threshold)).distinct()
     rest = rest.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialize(similar(compared(rest, items), threshold))
     return classes if more.isEmpty() else extended(classes, more)
@@ -164,15 +171,17 @@ def _listed(shared: DataFrame, need: DataFrame | None) -> DataFrame:
         "id", "weight", "large", "need", F.slice("buckets", F.lit(1), left.cast("int")).alias("buckets"))
 
 
-def _in_small_buckets(listed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of small buckets in different components that share enough signatures.
+def _in_small_buckets(listed: DataFrame, placed: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of small buckets in different components that share enough signatures and are of like sizes.
 
-    What the two may share in large buckets counts as shared.
+    What the two may share in large buckets counts as shared.  ``placed`` (id,
+    n, component) has the sizes of sets; the smaller one may lie in the other.
     """
-    placed = listed.join(classes, "id", "left").withColumn(
+    placed = listed.join(placed, "id").withColumn(
         "bucket", F.explode(F.filter("buckets", lambda x: x["size"] <= SMALL_BUCKET)))
-    one = F.struct("id", F.coalesce("component", "id").alias("component"), "large", "need")
-    beside = F.filter("met", lambda x: (x["id"] > F.col("one.id")) & (x["component"] != F.col("one.component")))
+    one = F.struct("id", F.coalesce("component", "id").alias("component"), "large", "need", "n")
+    beside = F.filter("met", lambda x: (x["id"] > F.col("one.id")) & (x["component"] != F.col("one.component"))
+                      & at_least(threshold, F.least(x["n"], F.col("one.n")), x["n"], F.col("one.n")))
     pairs = (placed.groupBy("bucket.sig").agg(F.collect_list(one).alias("met")).where(F.size("met") > 1)
              .select("met", F.explode("met").alias("one")).select("one", F.explode(beside).alias("two")))
     met = pairs.groupBy(F.col("one.id").alias("a"), F.col("two.id").alias("b")).agg(
@@ -196,8 +205,9 @@ class Group:
         members = materialize(_mixed(bound.select(
             F.col("a").alias("id"), F.col("b").alias("leader"), "both", F.col("na").alias("n"),
             F.col("nb").alias("centre")), classes).drop("component"))
-        inside = items.select(F.col("id").alias("leader"), F.col("items").alias("inside"))
-        rows = members.join(inside, "leader").join(items, "id").select(
+        leaders = small_side(members.select(F.col("leader").alias("id")).distinct())
+        inside = items.join(leaders, "id", "left_semi").select(F.col("id").alias("leader"), F.col("items").alias("inside"))
+        rows = items.select("id", "items").join(small_side(members), "id").join(inside, "leader").select(
             "leader", "id", "n", "both", F.explode(F.array_except("items", "inside")).alias("item"))
         # what a set shares with the leader or with anyone else under it has to reach the threshold
         able = 100 * (F.col("both") + F.col("extra")) >= threshold * F.col("n")

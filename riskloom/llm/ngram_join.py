@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
-from riskloom.llm.shingles import mix, shingles, word_hashes, words_of
+from riskloom.llm.shingles import mix, shingles_of, words_of
 from riskloom.sources.storage import materialize, scratch
 
 THRESHOLD = 75
@@ -69,7 +69,7 @@ def signatures(items: np.ndarray, salt: int = 0, threshold: int = THRESHOLD) ->
         spread.sort()
         bits = 1 + (BAND.bit_length() - 1) * (band + 1)
         cell = spread >> np.uint64(64 - bits)
-        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         wanted = differ + spare(size)
         if len(starts) < wanted:
             return None
@@ -82,8 +82,7 @@ def shingle_sets(docs: DataFrame, salt: int = 0) -> DataFrame:
     """(doc_id, n_shingles, set, set2, sigs) per document; the shingles' digest of 128 bits is in two halves."""
     def run(batch):
         made = {"doc_id": batch["doc_id"], "n_shingles": [], "set": [], "set2": [], "sigs": []}
-        for text in batch["text"]:
-            items = shingles(word_hashes(words_of(text)))
+        for items in shingles_of([words_of(text) for text in batch["text"]]):
             sigs = signatures(items, salt)
             made["n_shingles"].append(len(items))
             digest = xxhash.xxh3_128_intdigest(items.tobytes())
@@ -100,8 +99,8 @@ def items_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = docs.join(small_side(ids.select(F.col("id").alias("doc_id"))), "doc_id")
 
     def run(batch):
-        yield {"id": batch["doc_id"], "items": [shingles(word_hashes(words_of(t))).view(np.int64)
-                                                for t in batch["text"]]}
+        found = shingles_of([words_of(text) for text in batch["text"]])
+        yield {"id": batch["doc_id"], "items": [items.view(np.int64) for items in found]}
 
     return map_batches(wanted, run, "id bigint, items array<bigint>", ["doc_id", "text"])
 

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import xxhash
 
 WIDTH = 5
-KNOWN_WORDS = 300_000
-
-
-class WordHashes(dict):
-    """64-bit hash of each word; forgets all of them when there are too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-WORDS = WordHashes()
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -31,7 +19,7 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -45,7 +33,27 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def shingles(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct hashes of all windows of ``width`` words; of all words if there are fewer."""
-    return np.unique(windows(hashes, min(width, len(hashes)))) if len(hashes) else hashes
+    return _distinct(windows(hashes, min(width, len(hashes)))) if len(hashes) else hashes
+
+
+def shingles_of(texts: list[list[bytes]], width: int = WIDTH) -> list[np.ndarray]:
+    """``shingles`` of each text, given as words; all are hashed together."""
+    hashes = word_hashes([word for words in texts for word in words])
+    wide = windows(hashes, width) if len(hashes) >= width else hashes[:0]
+    found, start = [], 0
+    for end in accumulate(map(len, texts)):
+        whole = end - start >= width
+        found.append(_distinct(wide[start:end - width + 1]) if whole else shingles(hashes[start:end], width))
+        start = end
+    return found
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """``values``, at least one, sorted and once each."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
 
 
 def words_of(text: str) -> list[bytes]:
