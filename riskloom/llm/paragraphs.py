@@ -17,13 +17,14 @@ import re
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm import suffixes
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
-from riskloom.llm.shingles import WIDTH, mix, shingles, windows, word_hashes
-from riskloom.llm.spans import merged, without
+from riskloom.llm.shingles import WIDTH, mix, shingles_of, windows, word_hashes
+from riskloom.llm.spans import collected, merged, unpacked, without
 from riskloom.sources.storage import materialize, scratch
 
 THRESHOLD = 75
@@ -131,7 +132,8 @@ def units(docs: DataFrame) -> DataFrame:
             return
         ids = np.array(batch["doc_id"], np.int64)
         yield {"doc_id": ids[lines.doc], "start": lines.start, "end": lines.end,
-               "id": lines.digests(lines.first, 1), "sigs": list(lines.band_keys().view(np.int64))}
+               "id": lines.digests(lines.first, 1), "sigs": pa.ListArray.from_arrays(
+                   np.arange(len(lines.count) + 1, dtype=np.int32) * BANDS, lines.band_keys().view(np.int64).ravel())}
         cut = lines.cut_places()
         first = np.union1d(lines.first, cut)
         size = np.diff(np.r_[first, len(lines.hashes)])
@@ -143,23 +145,24 @@ def units(docs: DataFrame) -> DataFrame:
         start = np.where(first == lines.first[line], lines.start[line], start)
         kept = parted[line] & (size >= WIDTH)
         yield {"doc_id": ids[lines.doc[line[kept]]], "start": start[kept], "end": end[kept],
-               "id": lines.digests(first, 2)[kept], "sigs": [None] * int(kept.sum())}
+               "id": lines.digests(first, 2)[kept], "sigs": pa.nulls(int(kept.sum()), pa.list_(pa.int64()))}
 
     return map_batches(docs, run, "doc_id bigint, start bigint, end bigint, id bigint, sigs array<bigint>")
 
 
 def _items(docs: DataFrame, found: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, items): the shingles of one occurrence of each line in ``ids``."""
-    place = found.join(ids, "id").groupBy("id").agg(F.min(F.struct("doc_id", "start", "end")).alias("p"))
+    place = found.join(small_side(ids), "id").groupBy("id").agg(F.min(F.struct("doc_id", "start", "end")).alias("p"))
     listed = place.groupBy("p.doc_id").agg(F.collect_list(F.struct("id", "p.start", "p.end")).alias("lines"))
     wanted = docs.join(small_side(listed), "doc_id")
 
     def run(batch):
+        ids, words = [], []
         for text, lines in zip(batch["text"], batch["lines"]):
             data = text.encode()
-            yield {"id": [x["id"] for x in lines], "items": [
-                shingles(word_hashes(data[x["start"]:x["end"]].lower().split())).view(np.int64)
-                for x in lines]}
+            ids += [x["id"] for x in lines]
+            words += [data[x["start"]:x["end"]].lower().split() for x in lines]
+        yield {"id": ids, "items": [items.view(np.int64) for items in shingles_of(words)]}
 
     return map_batches(wanted, run, "id bigint, items array<bigint>", ["text", "lines"])
 
@@ -214,12 +217,8 @@ def unwrapped(text: str) -> str:
     return b" ".join(text.encode().lower().split()).decode()
 
 
-def _pairs(spans: list | None) -> list[tuple[int, int]]:
-    return [(x["start"], x["end"]) for x in spans or []]
-
-
-def _similar(spans: list | None) -> list[tuple[int, int]]:
-    return merged(_pairs([x for x in spans or [] if x["similar"]]))
+def _similar(spans: list[int] | None) -> list[tuple[int, int]]:
+    return merged([(a, b) for a, b, similar in unpacked(spans) if similar])
 
 
 def replaced(spans: list[tuple[int, int]], removed: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -252,24 +251,24 @@ def cleaned(docs: DataFrame, *others: str, unwrap: bool = False) -> DataFrame:
     known = identified(docs, *others)
     with scratch(docs.sparkSession) as keep:
         spans = keep(repeated_spans(known.select("doc_id", "text")))
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "similar")).alias("spans"))
+    listed = spans.groupBy("doc_id").agg(collected("start", "end", "similar").alias("spans"))
     joined = known.join(small_side(listed), "doc_id", "left")
     if unwrap:
         with scratch(docs.sparkSession) as keep:
             found = keep(repeated_passages(joined))
-        listed = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("more"))
+        listed = found.groupBy("doc_id").agg(collected("start", "end").alias("more"))
         joined = joined.join(small_side(listed), "doc_id", "left")
     else:
-        joined = joined.withColumn("more", F.lit(None).cast("array<struct<start:bigint,end:bigint>>"))
+        joined = joined.withColumn("more", F.lit(None).cast("array<bigint>"))
 
     def run(batch):
         made = {name: batch[name] for name in ("doc_id", *others)}
         made |= {"text": [], "n_spans": [], "n_removed": []}
         for text, found, more in zip(batch["text"], batch["spans"], batch["more"]):
-            runs = merged(_pairs(found))
+            runs = merged([(a, b) for a, b, _ in unpacked(found)])
             if more:
                 removed = _similar(found)
-                inner = passages(without(text.encode(), removed), _pairs(more))
+                inner = passages(without(text.encode(), removed), [(a, b) for a, b, _ in unpacked(more)])
                 runs = merged(runs + replaced(inner, removed))
             made["text"].append(without(text.encode(), runs).decode() if runs else text)
             made["n_spans"].append(len(runs))

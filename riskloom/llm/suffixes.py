@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.shingles import mix
-from riskloom.llm.spans import merged, without
+from riskloom.llm.spans import collected, merged, unpacked, without
 from riskloom.sources.storage import materialize, scratch
 
 Q = 50
@@ -126,13 +126,13 @@ def refined(runs: DataFrame) -> DataFrame:
 
 def single_strings(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
     """(doc_id, low) of strings in ``open_runs`` of which an earlier copy exists."""
-    listed = open_runs.groupBy("doc_id").agg(F.collect_list(F.struct("low", "span")).alias("runs"))
+    listed = open_runs.groupBy("doc_id").agg(collected("low", "end").alias("runs"))
     wanted = docs.join(small_side(listed), "doc_id")
 
     def rows(batch):
         ids = np.array(batch["doc_id"], np.int64)
-        low = np.array([r["low"] for runs in batch["runs"] for r in runs], np.int64)
-        span = np.array([r["span"] for runs in batch["runs"] for r in runs], np.int64)
+        packed = np.array([r for runs in batch["runs"] for r in runs], np.int64)
+        low, span = packed >> 32, packed & (1 << 31) - 1
         owner = np.repeat(np.arange(len(ids)), [len(runs) for runs in batch["runs"]])
         strings = np.repeat(low, span + 1) + np.arange((span + 1).sum()) - np.repeat(
             np.cumsum(span + 1) - span - 1, span + 1)
@@ -165,7 +165,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = materialize(refined(string_runs(docs)))
     whole = found.where("repeated").select("doc_id", F.col("low").alias("start"),
                                            (F.col("low") + F.col("span") + LENGTH).alias("end"))
-    single = single_strings(docs, found.where("not repeated"))
+    single = single_strings(docs, found.where("not repeated").withColumn("end", F.expr("low + span")))
     return islands(whole.unionByName(
         single.select("doc_id", F.col("low").alias("start"), (F.col("low") + LENGTH).alias("end"))))
 
@@ -182,13 +182,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     known = identified(docs)
     with scratch(docs.sparkSession) as keep:
         spans = keep(repeated_spans(known))
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    listed = spans.groupBy("doc_id").agg(collected("start", "end").alias("spans"))
     joined = known.join(small_side(listed), "doc_id", "left")
 
     def rows(batch):
         made = {"doc_id": batch["doc_id"], "kept": [], "n_bytes": [], "n_removed": [], "n_spans": []}
         for text, spans in zip(batch["text"], batch["spans"]):
-            data, runs = text.encode(), merged([(s["start"], s["end"]) for s in spans or []])
+            data, runs = text.encode(), merged([(a, b) for a, b, _ in unpacked(spans)])
             made["kept"].append(without(data, runs))
             made["n_bytes"].append(len(data))
             made["n_removed"].append(sum(b - a for a, b in runs))

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskloom.llm import (bpe, language, links, ngram_join, packing, paragraphs, quality, rendering, secrets,
-                          sketches, suffixes)
+                          shingles, sketches, suffixes)
+from riskloom.llm.common import small_side
 from riskloom.llm.queries import repository_and_owner
+from riskloom.llm.spans import collected, unpacked
 
 PROSE = " ".join(f"word{i}" for i in range(90))
 LONG = " ".join(f"long{i % 7000}x{i}" for i in range(20000))
@@ -359,6 +361,51 @@ def test_largest_buckets_and_common_items_are_not_joined_on(spark):
     assert all(a // 2 == b // 2 for a, b in pairs)
 
 
+def test_pairs_of_unlike_sizes_in_small_buckets_are_left_out(spark):
+    """Of 20 and 14 items not 75 percent can be shared, of 20 and 15 they can."""
+    size = {i: 20 if i < 5 else 15 if i < 10 else 14 for i in range(15)}
+    shared = spark.createDataFrame([(1, i, 15) for i in size], "sig bigint, id bigint, size bigint")
+    placed = spark.createDataFrame([(i, n, None) for i, n in size.items()], "id bigint, n int, component bigint")
+    found = {(r.a, r.b) for r in links._in_small_buckets(links._listed(shared, None), placed, 75).collect()}
+    assert found == {(a, b) for a in size for b in size if a < b and not (a < 5 and b >= 10)}
+
+
+def test_compared_shuffles_only_what_pairs_ask_for(spark):
+    """Items of ids in no pair stay where they are."""
+    items = spark.createDataFrame([(i, list(range(i, i + 100))) for i in range(200)], "id bigint, items array<bigint>")
+    pairs = spark.createDataFrame([(i, 100, "x") for i in range(90, 100)], "a bigint, b bigint, more string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = links.compared(pairs, items)
+        assert {(r.a, r.b, r.more, r.both, r.na, r.nb) for r in made.collect()} == {
+            (i, 100, "x", i, 100, 100) for i in range(90, 100)}
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") >= 2
+
+
+def test_shingles_of_many_texts():
+    rng = np.random.default_rng(8)
+    texts = [[f"w{rng.integers(9)}".encode() for _ in range(n)] for n in (0, 1, 4, 5, 6, 0, 70, 3)]
+    for found, words in zip(shingles.shingles_of(texts), texts, strict=True):
+        wide = shingles.windows(shingles.word_hashes(words), min(5, len(words))) if words else []
+        assert found.tolist() == sorted(set(map(int, wide)))
+    assert [x.tolist() for x in shingles.shingles_of([[], [b"a"]])] == [[], shingles.shingles_of([[b"a"]])[0].tolist()]
+
+
+def test_spans_are_kept_in_one_long_each(spark):
+    spans = [(0, 0, False), (7, 9, True), (2**31 - 8, 2**31 - 1, True), (0, 2**31 - 1, False), (5, 2**31 - 1, True)]
+    rows = spark.createDataFrame([(i % 2, *s) for i, s in enumerate(spans)], "k int, start bigint, end bigint, flag boolean")
+    listed = rows.groupBy("k").agg(collected("start", "end", "flag").alias("spans"))
+    assert sorted(s for r in listed.collect() for s in unpacked(r.spans)) == sorted(spans)
+    assert unpacked(None) == []
+    # a broadcast carries eight bytes for each of them
+    many = spark.createDataFrame([(1, list(range(1000)))], "k int, spans array<bigint>")
+    assert "broadcast" in small_side(many, 64 + 8 * 1000)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in small_side(many, 63 + 8 * 1000)._jdf.queryExecution().analyzed().toString()
+
+
 def test_similar_sets_share_enough_signatures():
     rng = np.random.default_rng(5)
     for size in [1, 2, 3, 4, 5, 11, 12, 15, 16, 20, 47, 48, 63, 64, 90, 200, 255, 256, 700]:
