@@ -4,6 +4,8 @@ import csv as text_csv
 
 import io
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import Observation, functions as F, types as T
@@ -292,3 +294,21 @@ def test_scratch_is_dropped_but_for_what_is_kept(spark, tmp_path):
             raise RuntimeError
     assert result.count() == 3
     assert len(folders() - before) == 1
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return set(re.findall(r"shuffle_\d+_\d+_\d+", found.mkString(" ")))
+
+    before = files()
+    rows = spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.collect_list("id").alias("ids"))
+    with storage.scratch(spark) as keep:
+        made = keep(rows)
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before
+    assert made.count() == 1000 and rows.count() == 1000
+    assert spark.conf.get(storage.SHUFFLE_CLEANUP) == "false"
