@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import small_side
+from riskloom.llm.common import fits, small_side
 from riskloom.sources.storage import materialize, scratch
 
 ROUNDS = 50
 SMALL_BUCKET = 16
+FEW_TASKS, FEW_ROWS = 8, 400_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which comes from some ``rows`` rows, in a few tasks if these are few: starting a task costs more than they do."""
+    return df.coalesce(FEW_TASKS) if rows <= FEW_ROWS else df
 
 
 # ------------------------------------------------------------- connected components
 def components(edges: DataFrame) -> DataFrame:
     """(id, component), stored, of every id in ``edges`` (a, b); the component is its least id.
 
-    Alternates the large-star and the small-star step until nothing changes.
+    Alternates the large-star and the small-star step until only stars are left.
     Each round is written to shared storage.  Minima are taken with partial
     aggregation, and a node with very many neighbours only makes its join
     partition large, which adaptive execution splits.
@@ -26,13 +32,12 @@ def components(edges: DataFrame) -> DataFrame:
     with scratch(spark) as keep:
         links = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                             .where("u <> v").distinct())
-        state = _state(links)
+        rows = links.count()
         for _ in range(ROUNDS):
-            links = materialize(_small_star(_large_star(links)))
-            last, state = state, _state(links)
-            if state == last:
+            if _are_stars(links, rows):
                 return keep(links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-                    links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
+                    few(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct(), rows)))
+            links = materialize(_small_star(_large_star(links, rows), rows))
     raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
 
 
@@ -48,21 +53,24 @@ def extended(classes: DataFrame, links: DataFrame) -> DataFrame:
         return keep(known.unionByName(moved.join(classes, "id", "left_anti")))
 
 
-def _state(links: DataFrame) -> tuple:
-    """Count and order-free hash of the links."""
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(links: DataFrame, rows: int) -> bool:
+    """Whether every upper end has one link only and is no lower end; a lower end is then the least of its component."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = few(ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")), rows)
+    return ends.where("up > 0 and up + down > 1").agg(F.count(F.lit(1))).first()[0] == 0
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, rows: int) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = few(both.groupBy("u").agg(F.min("v").alias("m")), rows).select("u", F.least("u", "m").alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+def _small_star(links: DataFrame, rows: int) -> DataFrame:
+    least = few(links.groupBy("u").agg(F.min("v").alias("m")), rows)
     moved = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return few(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), rows)
 
 
 # ------------------------------------------------------------- buckets of signatures
@@ -87,8 +95,12 @@ def compared(pairs: DataFrame, items: DataFrame) -> DataFrame:
 
     What is shuffled is the items of ``a`` once per pair and those of each ``b`` once.
     """
-    pairs = small_side(pairs)
-    wanted = small_side(pairs.select(F.col("b").alias("id")).distinct())
+    pairs = materialize(pairs)
+    wanted = pairs.select(F.col("b").alias("id"))
+    if fits(pairs):
+        pairs, wanted = F.broadcast(pairs), F.broadcast(wanted)
+    else:
+        wanted = small_side(wanted.distinct())
     left = items.select(F.col("id").alias("a"), F.col("items").alias("x")).join(pairs, "a")
     right = items.join(wanted, "id", "left_semi").select(F.col("id").alias("b"), F.col("items").alias("y"))
     return left.join(right, "b").select(
@@ -146,7 +158,8 @@ def _linked(shared: DataFrame, items_of: Items, threshold: int, rounds: int, nee
     classes = components(similar(first, threshold))
     group = Group(first.where("bounding"), classes, items, threshold)
     for number in range(rounds):
-        more = materialize(similar(compared(group.next_leaders(classes, number), items), threshold))
+        more = similar(compared(group.next_leaders(classes, number), items), threshold)
+        more = materialize(few(more, group.rows))
         if more.isEmpty():
             break
         classes = extended(classes, more)
@@ -222,6 +235,7 @@ class Group:
         held = (held.join(size, "leader").withColumn("held", F.coalesce("held", none))
                 .withColumn("more", F.size(F.filter("held", common)))
                 .withColumn("held", F.filter("held", lambda x: ~common(x))))
+        self.rows = members.count()
         self.members = materialize(held.select(
             "leader", "id", "n", (F.col("both") + F.col("more")).alias("both"), "held", F.size("held").alias("extra"),
             F.aggregate("held", F.lit(0).cast("bigint"), lambda total, x: total + x["holders"]).alias("popular"),
@@ -238,13 +252,14 @@ class Group:
 
         The first is the most like the centre; others are outside the main component, from the largest there.
         """
-        members = materialize(_with_main(_mixed(self.members.drop("held"), classes)))
+        members = materialize(few(_with_main(_mixed(self.members.drop("held"), classes)), self.rows))
         likeness = F.col("both") / (F.col("n") + F.col("centre") - F.col("both"))
         order = [likeness] if number == 0 else ["there", "popular", likeness]
         chosen = members if number == 0 else members.where("component <> main")
-        chosen = chosen.groupBy("leader").agg(F.max(F.struct(*order, "id", "component")).alias("next"))
-        return (members.join(chosen, "leader").where("component <> next.component")
-                .select(F.least("id", "next.id").alias("a"), F.greatest("id", "next.id").alias("b")).distinct())
+        chosen = few(chosen.groupBy("leader").agg(F.max(F.struct(*order, "id", "component")).alias("next")), self.rows)
+        pairs = (members.join(chosen, "leader").where("component <> next.component")
+                 .select(F.least("id", "next.id").alias("a"), F.greatest("id", "next.id").alias("b")).distinct())
+        return few(pairs, self.rows)
 
     def _asked(self, one: Column, two: Column, both: Column) -> Column:
         """How many items outside the centre sets of two sizes have to share that share ``both`` inside."""
@@ -258,8 +273,9 @@ class Group:
         places from which enough are left are joined on, and what very many
         members hold is joined on only where little else is held.
         """
-        members = materialize(_with_main(_mixed(self.members.drop("held"), classes)).withColumn(
-            "asked", self._asked(F.col("n"), F.col("low"), F.col("both"))))
+        members = _with_main(_mixed(self.members.drop("held"), classes)).withColumn(
+            "asked", self._asked(F.col("n"), F.col("low"), F.col("both")))
+        members = materialize(few(members, self.rows))
 
         def side(rows: DataFrame, k: str, *names: str) -> DataFrame:
             return rows.select("leader", *names, *[F.col(c).alias(f"{c}{k}") for c in kept])

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.llm import suffixes
 from riskloom.llm.common import identified, map_batches, small_side
 from riskloom.llm.links import linked_components, shared_only
-from riskloom.llm.shingles import WIDTH, mix, shingles_of, windows, word_hashes
+from riskloom.llm.shingles import WIDTH, hashes_of_words, mix, shingles_of, windows, word_hashes, words_in  # noqa: F401
 from riskloom.llm.spans import collected, merged, unpacked, without
 from riskloom.sources.storage import materialize, scratch
 
@@ -59,28 +59,26 @@ class Lines:
     """The lines of a batch of texts with at least so many words, and all their words in a row."""
 
     def __init__(self, texts: list[str], least: int = WIDTH, fold: bool = True):
-        words: list[bytes] = []
-        docs, starts, ends, counts, bodies = [], [], [], [], []
-        for doc, text in enumerate(texts):
-            data, at = text.encode(), 0
-            data = data.lower() if fold else data
-            for line in data.split(b"\n"):
-                end = min(at + len(line) + 1, len(data))
-                found = line.split()
-                if len(found) >= least:
-                    words += found
-                    docs.append(doc)
-                    starts.append(at)
-                    ends.append(end)
-                    counts.append(len(found))
-                    bodies.append(line)
-                at = end
-        self.bodies = bodies
-        self.doc, self.start, self.end, self.count = (np.array(x, np.int64) for x in (docs, starts, ends, counts))
-        self.hashes = word_hashes(words)
-        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        encoded = [text.encode() for text in texts]
+        data = b"\n".join([*encoded, b""])  # every text ends with a line feed, and so does its last line
+        data = data.lower() if fold else data
+        size = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        origin = np.cumsum(size + 1) - size - 1
+        begin, stop = words_in(data)
+        feeds = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n"))
+        before = np.searchsorted(begin, feeds)
+        count = np.diff(before, prepend=0)
+        line = np.flatnonzero(count >= least)
+        start = np.r_[0, feeds[:-1] + 1][line]
+        self.doc = np.searchsorted(origin, start, "right") - 1
+        self.start = start - origin[self.doc]
+        self.end = np.minimum(feeds[line] + 1 - origin[self.doc], size[self.doc])
+        self.count = count[line]
+        kept = np.repeat(count >= least, count)
+        self.hashes = hashes_of_words(data, stop - begin)[kept]
+        self.place = begin[kept] - np.repeat(origin[self.doc], self.count)  # in its text, in bytes
         self.first = np.cumsum(self.count) - self.count
-        self.line = np.repeat(np.arange(len(counts)), self.count)
+        self.line = np.repeat(np.arange(len(line)), self.count)
 
     def band_keys(self) -> np.ndarray:
         """A row for each line: one key per band of its MinHashes."""
@@ -103,18 +101,6 @@ class Lines:
             at = at[(self.hashes[at] < self.hashes[at - j]) & (self.hashes[at] <= self.hashes[at + j])]
         return at
 
-    def offset(self, words: np.ndarray) -> np.ndarray:
-        """Where each of ``words`` starts in its text, in bytes."""
-        before = np.cumsum(self.sizes + 1) - self.sizes - 1
-        line = self.line[words]
-        inner = before[words] - before[self.first[line]]
-        length = np.fromiter(map(len, self.bodies), np.int64, len(self.bodies))
-        plain = np.add.reduceat(self.sizes + 1, self.first) - 1 == length
-        for i in np.flatnonzero(~plain[line]):  # not single spaces throughout
-            starts = [m.start() for m in WORD.finditer(self.bodies[line[i]])]
-            inner[i] = starts[words[i] - self.first[line[i]]]
-        return self.start[line] + inner
-
     def digests(self, first: np.ndarray, kind: int) -> np.ndarray:
         """Of the word sequences from each of ``first`` to before the next."""
         place = np.arange(len(self.hashes)) - np.repeat(first, np.diff(np.r_[first, len(self.hashes)]))
@@ -139,7 +125,7 @@ def units(docs: DataFrame) -> DataFrame:
         size = np.diff(np.r_[first, len(lines.hashes)])
         line = lines.line[first]
         parted = np.bincount(lines.line[cut], minlength=len(lines.count)) > 0
-        start = lines.offset(first)
+        start = lines.place[first]
         inner = np.r_[line[1:] == line[:-1], False]
         end = np.where(inner, np.r_[start[1:], 0], lines.end[line])
         start = np.where(first == lines.first[line], lines.start[line], start)
@@ -196,14 +182,14 @@ def passages(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]
 
     A run ends before the next word of its line; one that starts a line takes the line feed too.
     """
-    words = np.array([m.span() for m in WORD.finditer(data)], np.int64).reshape(-1, 2)
-    ends = np.cumsum(words[:, 1] - words[:, 0] + 1) - 1
-    starts = ends - (words[:, 1] - words[:, 0])
+    begin, stop = words_in(data)
+    ends = np.cumsum(stop - begin + 1) - 1
+    starts = ends - (stop - begin)
     found = []
     for start, end in merged(spans):
         first, last = np.searchsorted(starts, start), np.searchsorted(ends, end, "right") - 1
         if first <= last:
-            a, b = words[first, 0], words[last, 1]
+            a, b = begin[first], stop[last]
             rest = BLANKS.match(data, b).end()
             line = data.rfind(b"\n", 0, a) + 1
             if not data[line:a].strip() and data[rest:rest + 1] in (b"\n", b""):

@@ -5,23 +5,48 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 WIDTH = 5
+BLANK = b" \t\n\x0b\f\r"
+IN_WORD = bytes(byte not in BLANK for byte in range(256))
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit over all of them."""
     x = x + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def words_in(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words between ASCII white space start and end in ``data``."""
+    word = np.frombuffer(b"\0" + data.translate(IN_WORD) + b"\0", np.int8)
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    return edges[::2], edges[1::2]
+
+
+def hashes_of_words(data: bytes, sizes: np.ndarray) -> np.ndarray:
+    """``word_hashes`` of the words of ``data``, which have these sizes; equal words are hashed once."""
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(sizes), [
+        None, pa.py_buffer(ends), pa.py_buffer(data.translate(None, BLANK))]).dictionary_encode()
+    _, places, held = words.dictionary.buffers()
+    places = np.frombuffer(places, np.int64)[:len(words.dictionary) + 1].tolist()
+    held = held.to_pybytes() if held else b""
+    return word_hashes([held[a:b] for a, b in zip(places, places[1:])])[words.indices.to_numpy()]
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of each ``width`` words in a row, by the place of the first."""
     last = len(hashes) - width + 1

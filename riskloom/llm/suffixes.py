@@ -22,7 +22,7 @@ from riskloom.sources.storage import materialize, scratch
 
 Q = 50
 LENGTH = 2 * Q  # two q-grams make a string, so a pair of identifiers tells it
-STEP = 1 << 19  # strings of a document that are looked at together
+STEP = 1 << 17  # strings of a document that are looked at together, few enough for a core's cache
 PLACE_BITS = 21  # of the least-hash search, enough for the places of a buffer
 
 _random = np.random.default_rng(2024)
@@ -50,13 +50,30 @@ class Buffer:
         sizes = np.array([len(p[2]) for p in parts])
         starts = np.cumsum(sizes) - sizes
         n = len(data)
-        self.owner = np.repeat([p[0] for p in parts], sizes)
-        self.place = np.arange(n) + np.repeat(np.array([p[1] for p in parts]) - starts, sizes)
-        self.part = np.repeat(np.arange(len(parts)), sizes)
+        self._owners = np.array([p[0] for p in parts])
+        self._moved = np.array([p[1] for p in parts]) - starts
+        self.part = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
         power, inverse = powers()
+        values = BYTE_VALUES[data]
+        values *= power[:n]
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * power[:n], out=total[1:])
-        self.gram = mix((total[Q:] - total[:-Q]) * inverse[:n - Q + 1])
+        np.cumsum(values, out=total[1:])
+        grams = total[Q:] - total[:-Q]
+        grams *= inverse[:n - Q + 1]
+        self.gram = mix(grams)
+
+    @property
+    def place(self) -> np.ndarray:
+        """Of every byte in its document."""
+        return self.places(np.arange(len(self.part)))
+
+    def places(self, at: np.ndarray) -> np.ndarray:
+        """Where each of ``at`` is in its document."""
+        return at + self._moved[self.part[at]]
+
+    def owners(self, at: np.ndarray) -> np.ndarray:
+        """The number of the document that holds each of ``at``."""
+        return self._owners[self.part[at]]
 
     def strings(self) -> np.ndarray:
         """Where a string of ``LENGTH`` bytes starts that stays within its part."""
@@ -82,17 +99,18 @@ class Buffer:
         return low, high, self.gram[chosen[first]], run + (high - low).astype(np.uint64)
 
 
-def buffers(documents: list[bytes]) -> Iterator[Buffer]:
-    """All strings of ``documents``, each in one buffer of bounded size."""
+def buffers(documents: list[bytes], ranges: list[list[tuple[int, int]]] | None = None) -> Iterator[Buffer]:
+    """All strings of ``documents``, each in one buffer of bounded size; of their ``ranges`` only, if given."""
     parts, size = [], 0
     for i, data in enumerate(documents):
-        for at in range(0, max(0, len(data) - LENGTH + 1), STEP):
-            part = data[at:at + STEP + LENGTH - 1]
-            parts.append((i, at, part))
-            size += len(part)
-            if size >= STEP:
-                yield Buffer(parts)
-                parts, size = [], 0
+        for first, last in [(0, len(data))] if ranges is None else ranges[i]:
+            for at in range(first, max(first, last - LENGTH + 1), STEP):
+                part = data[at:min(at + STEP + LENGTH - 1, last)]
+                parts.append((i, at, part))
+                size += len(part)
+                if size >= STEP:
+                    yield Buffer(parts)
+                    parts, size = [], 0
     if parts:
         yield Buffer(parts)
 
@@ -103,8 +121,8 @@ def string_runs(docs: DataFrame) -> DataFrame:
         ids = np.array(batch["doc_id"], np.int64)
         for b in buffers([t.encode() for t in batch["text"]]):
             low, high, bucket, run = b.runs()
-            yield {"bucket": bucket.view(np.int64), "run": run.view(np.int64), "doc_id": ids[b.owner[low]],
-                   "low": b.place[low], "span": (high - low).astype(np.int32)}
+            yield {"bucket": bucket.view(np.int64), "run": run.view(np.int64), "doc_id": ids[b.owners(low)],
+                   "low": b.places(low), "span": (high - low).astype(np.int32)}
 
     return map_batches(docs, rows, "bucket bigint, run bigint, doc_id bigint, low bigint, span int")
 
@@ -115,13 +133,12 @@ def refined(runs: DataFrame) -> DataFrame:
     ``repeated`` runs equal an earlier one as a whole.  The others are first of
     their kind in a bucket where runs differ, so parts of them may be repeated.
     """
-    bucket = Window.partitionBy("bucket")
-    kind = Window.partitionBy("bucket", "run")
-    here = F.struct("doc_id", "low")
-    return (runs.withColumn("first", F.min(here).over(kind))
-            .withColumn("least", F.min("run").over(bucket)).withColumn("most", F.max("run").over(bucket))
-            .withColumn("repeated", here != F.col("first"))
-            .where("repeated or least <> most").select("doc_id", "low", "span", "repeated"))
+    inside = Window.partitionBy("bucket").orderBy("run", "doc_id", "low")
+    bucket = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    repeated = F.coalesce(F.lag("run").over(inside) == F.col("run"), F.lit(False))
+    return (runs.select("doc_id", "low", "span", repeated.alias("repeated"),
+                        (F.min("run").over(bucket) != F.max("run").over(bucket)).alias("differ"))
+            .where("repeated or differ").drop("differ"))
 
 
 def single_strings(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
@@ -131,23 +148,18 @@ def single_strings(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
 
     def rows(batch):
         ids = np.array(batch["doc_id"], np.int64)
-        packed = np.array([r for runs in batch["runs"] for r in runs], np.int64)
-        low, span = packed >> 32, packed & (1 << 31) - 1
-        owner = np.repeat(np.arange(len(ids)), [len(runs) for runs in batch["runs"]])
-        strings = np.repeat(low, span + 1) + np.arange((span + 1).sum()) - np.repeat(
-            np.cumsum(span + 1) - span - 1, span + 1)
-        keys = np.repeat(owner, span + 1) << 40 | strings
-        for b in buffers([t.encode() for t in batch["text"]]):
+        # a run with the one that starts where it stops: each string is in one of the ranges
+        ranges = [[(a, b + LENGTH - 1) for a, b in merged([(a, b) for a, b, _ in unpacked(runs)])]
+                  for runs in batch["runs"]]
+        for b in buffers([t.encode() for t in batch["text"]], ranges):
             at = b.strings()
-            at = at[np.isin(b.owner[at] << 40 | b.place[at], keys)]
             yield {"here": b.gram[at].view(np.int64), "later": b.gram[at + Q].view(np.int64),
-                   "doc_id": ids[b.owner[at]], "low": b.place[at]}
+                   "doc_id": ids[b.owners(at)], "low": b.places(at)}
 
     pairs = map_batches(wanted, rows, "here bigint, later bigint, doc_id bigint, low bigint",
                         ["doc_id", "text", "runs"])
-    place = F.struct("doc_id", "low")
-    first = F.min(place).over(Window.partitionBy("here", "later"))
-    return pairs.withColumn("first", first).where(place != F.col("first")).select("doc_id", "low")
+    number = F.row_number().over(Window.partitionBy("here", "later").orderBy("doc_id", "low"))
+    return pairs.withColumn("number", number).where("number > 1").select("doc_id", "low")
 
 
 def islands(spans: DataFrame) -> DataFrame:
@@ -165,7 +177,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = materialize(refined(string_runs(docs)))
     whole = found.where("repeated").select("doc_id", F.col("low").alias("start"),
                                            (F.col("low") + F.col("span") + LENGTH).alias("end"))
-    single = single_strings(docs, found.where("not repeated").withColumn("end", F.expr("low + span")))
+    single = single_strings(docs, found.where("not repeated").withColumn("end", F.expr("low + span + 1")))
     return islands(whole.unionByName(
         single.select("doc_id", F.col("low").alias("start"), (F.col("low") + LENGTH).alias("end"))))
 

@@ -828,3 +828,62 @@ def test_language_fusion_by_hand(spark):
         assert got[i].text_lang == said and got[i].probability == pytest.approx(probability, abs=1e-4)
         if probability > 0.51:
             assert got[i].lang == lang
+
+
+# ------------------------------------------------------------------ costs of op5
+def test_lines_hash_equal_words_once(monkeypatch):
+    """A batch of many equal words hashes few, with the words, places and hashes of a plain reading."""
+    from riskloom.llm import shingles
+
+    asked, plain = [], shingles.word_hashes
+
+    def counting(words):
+        asked.extend(words)
+        return plain(words)
+
+    for module in (shingles, paragraphs):
+        monkeypatch.setattr(module, "word_hashes", counting)
+    texts = ["", "One two two  three\tfour five \n\n six seven six seven one\r\n", "x\n" * 3, "one two " * 200 + " end"]
+    for least, fold in ((1, False), (5, True)):
+        asked.clear()
+        lines, words, places, spans = paragraphs.Lines(texts, least, fold), [], [], []
+        for doc, text in enumerate(texts):
+            data, at = text.encode(), 0
+            for line in data.split(b"\n"):
+                found = list(paragraphs.WORD.finditer(line))
+                if len(found) >= least:
+                    words += [m.group().lower() if fold else m.group() for m in found]
+                    places += [at + m.start() for m in found]
+                    spans.append((doc, at, min(at + len(line) + 1, len(data)), len(found)))
+                at += len(line) + 1
+        assert list(zip(lines.doc, lines.start, lines.end, lines.count)) == spans
+        assert lines.place.tolist() == places and lines.hashes.tolist() == plain(words).tolist()
+        assert len(asked) == len(set(asked)) < 20
+
+
+def test_open_runs_are_read_alone(spark, monkeypatch):
+    """Strings of open runs are looked up without going through the rest of their documents."""
+    text = "".join(chr(97 + x) for x in np.random.default_rng(5).integers(0, 26, 3000))
+    docs = spark.createDataFrame([(1, text), (2, text[::-1])], "doc_id long, text string")
+    runs = spark.createDataFrame([(1, 40, 45), (1, 45, 47), (1, 90, 91), (2, 2900, 2901)], "doc_id long, low long, end long")
+    ranges = [[(40, 146), (90, 190)], [(2900, 3000)]]
+    read = [len(b.part) for b in suffixes.buffers([text.encode(), text[::-1].encode()], ranges)]
+    assert sum(read) == 306
+    twice = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 2))
+    found = suffixes.single_strings(twice, runs.unionByName(runs.withColumn("doc_id", F.col("doc_id") + 2)))
+    assert sorted(map(tuple, found.collect())) == [(3, x) for x in (*range(40, 47), 90)] + [(4, 2900)]
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Stars are final without another round; chains and clashes are not taken for them."""
+    rounds, step = [], links._large_star
+    monkeypatch.setattr(links, "_large_star", lambda *a: rounds.append(1) or step(*a))
+    for limit in (links.FEW_ROWS, 0):
+        monkeypatch.setattr(links, "FEW_ROWS", limit)
+        for edges, least in (([(1, 2), (1, 3), (7, 5)], 0), ([(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (9, 6), (6, 6)], 1)):
+            rounds.clear()
+            made = links.components(spark.createDataFrame(edges, "a long, b long"))
+            found = {r.id: r.component for r in made.collect()}
+            assert found == ({1: 1, 2: 1, 3: 1, 7: 5, 5: 5} if not least else
+                             {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 9: 6, 8: 6, 6: 6})
+            assert len(rounds) >= 1 if least else not rounds
